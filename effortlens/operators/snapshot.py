@@ -1,0 +1,19 @@
+"""Daily snapshots of open tasks as a relation; the sink lives in ``sources``."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def append_snapshot(
+    history: DataFrame, snapshot: DataFrame, idempotent: bool = False
+) -> DataFrame:
+    """History with a snapshot added.
+
+    A second run on the same day doubles that day's rows, as a plain append does;
+    ``idempotent=True`` makes the new rows replace the days they cover.
+    """
+    if idempotent:
+        days = snapshot.select("snapshot_date").distinct()
+        history = history.join(days, "snapshot_date", "left_anti").select(*history.columns)
+    return history.unionByName(snapshot)
