@@ -1,0 +1,113 @@
+import pytest
+from pyspark.sql import functions as F
+
+from effortlens import schema
+from effortlens.functions import effort
+
+
+def minutes_of(spark, number, text, display):
+    row = spark.createDataFrame(
+        [(number, text, display)], "n double, t string, d string"
+    ).select(effort.duration_minutes(F.col("n"), F.col("t"), F.col("d")).alias("m"))
+    return row.first().m
+
+
+@pytest.mark.parametrize(
+    "number, text, display, expected",
+    [
+        (90.0, "2h", None, 90.0),
+        (0.0, "2h", None, 0.0),
+        (None, "10h", None, 600.0),
+        (None, "10H", None, 600.0),
+        (None, "1.5時間", None, 90.0),
+        (None, "600分", None, 600.0),
+        (None, "45 min", None, 45.0),
+        (None, "30", None, 30.0),
+        (None, "10 this month", None, 600.0),
+        (None, "1,200", None, 1.0),
+        (None, "n/a", None, None),
+        (None, "", "2h", 120.0),
+        (None, None, "2h", 120.0),
+        (None, "n/a", "2h", None),
+        (None, "", "", None),
+        (None, None, None, None),
+        (None, "-.5h", None, -30.0),
+        (None, "+3 分", None, 3.0),
+        (None, "約2.25h以上", None, 135.0),
+        (None, "5.", None, 5.0),
+    ],
+)
+def test_duration(spark, number, text, display, expected):
+    assert minutes_of(spark, number, text, display) == expected
+
+
+def effort_of(spark, fields):
+    rows = [(name, number, text, None) for name, number, text in fields]
+    df = spark.createDataFrame(
+        [(rows,)], f"custom_fields array<{schema.CUSTOM_FIELD.simpleString()}>"
+    )
+    readable = df.select(effort.readable_fields(F.col("custom_fields")).alias("r"))
+    row = readable.select(
+        effort.estimate_from(F.col("r")).alias("est"), effort.actual_from(F.col("r")).alias("act")
+    ).first()
+    return row.est, row.act
+
+
+@pytest.mark.parametrize(
+    "fields, expected",
+    [
+        ([("Estimated time", 30.0, None), ("Estimate", 60.0, None)], (60.0, None)),
+        ([("Estimate", 30.0, None), ("Estimate", None, "n/a")], (30.0, None)),
+        ([("見積/実績", None, "2h")], (120.0, None)),
+        ([("見積/実績", None, "n/a"), ("実績", None, "1h")], (None, 60.0)),
+        ([("ACTUAL TIME", None, "15"), ("工数", 20.0, None)], (None, 20.0)),
+        ([("稼働", None, "3h"), ("Spent Time", None, "x")], (None, 180.0)),
+        ([("Priority", 3.0, None), (None, 4.0, None)], (None, None)),
+        ([("見積もり時間", None, "90分"), ("実働", 0.0, None)], (90.0, 0.0)),
+        ([], (None, None)),
+    ],
+)
+def test_field_choice(spark, fields, expected):
+    assert effort_of(spark, fields) == expected
+
+
+def test_absent_field_array(spark):
+    df = spark.createDataFrame(
+        [(None,)], f"custom_fields array<{schema.CUSTOM_FIELD.simpleString()}>"
+    )
+    readable = df.select(effort.readable_fields(F.col("custom_fields")).alias("r"))
+    assert readable.select(effort.estimate_from(F.col("r"))).first()[0] is None
+
+
+@pytest.mark.parametrize(
+    "minutes, expected",
+    [
+        (None, "0時間0分"),
+        (0.0, "0時間0分"),
+        (59.4, "0時間59分"),
+        (59.5, "1時間0分"),
+        (0.5, "0時間0分"),
+        (1.5, "0時間2分"),
+        (2.5, "0時間2分"),
+        (125.0, "2時間5分"),
+        (-30.0, "-1時間30分"),
+    ],
+)
+def test_label(spark, minutes, expected):
+    df = spark.createDataFrame([(minutes,)], "m double")
+    assert df.select(effort.label_from_minutes(F.col("m"))).first()[0] == expected
+
+
+def test_label_from_hours(spark):
+    df = spark.createDataFrame([(1.25,), (None,)], "h double")
+    labels = [r[0] for r in df.select(effort.label_from_hours(F.col("h"))).collect()]
+    assert labels == ["1時間15分", "0時間0分"]
+
+
+@pytest.mark.parametrize(
+    "est, act, expected",
+    [(0.0, None, False), (None, None, False), (None, 5.0, True), (1.0, 0.0, True)],
+)
+def test_has_effort(spark, est, act, expected):
+    df = spark.createDataFrame([(est, act)], "e double, a double")
+    assert df.select(effort.has_effort(F.col("e"), F.col("a"))).first()[0] is expected

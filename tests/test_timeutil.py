@@ -1,0 +1,103 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from effortlens.functions import timeutil as tu
+
+
+def one(spark, value, kind, expression):
+    return spark.createDataFrame([(value,)], f"v {kind}").select(expression(F.col("v"))).first()[0]
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("2024-01-31T15:00:00.123Z", datetime(2024, 1, 31, 15, 0, 0, 123000)),
+        ("2024-01-31T15:00:00+09:00", datetime(2024, 1, 31, 6)),
+        ("2024-01-31T15:00:00-0500", datetime(2024, 1, 31, 20)),
+        # Inside a daylight-saving gap of the session zone.
+        ("2024-03-10T02:30:00+00:00", datetime(2024, 3, 10, 2, 30)),
+        ("2024-03-10T02:30:00Z", datetime(2024, 3, 10, 2, 30)),
+        ("soon", None),
+        (None, None),
+    ],
+)
+def test_parse_instant(spark, text, expected):
+    assert one(spark, text, "string", tu.parse_instant) == expected
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("2024-01-05", date(2024, 1, 5)),
+        ("2024-1-5", date(2024, 1, 5)),
+        ("2024-02-30", None),
+        ("2024-01", None),
+        ("2024-01-05T00:00:00Z", None),
+        ("x", None),
+        (None, None),
+    ],
+)
+def test_parse_day(spark, text, expected):
+    assert one(spark, text, "string", tu.parse_day) == expected
+
+
+@pytest.mark.parametrize(
+    "instant, month, day",
+    [
+        (datetime(2024, 1, 31, 15), "2024-02", date(2024, 2, 1)),
+        (datetime(2024, 1, 31, 14, 59, 59), "2024-01", date(2024, 1, 31)),
+        (datetime(2023, 12, 31, 15), "2024-01", date(2024, 1, 1)),
+    ],
+)
+def test_local_calendar(spark, instant, month, day):
+    assert one(spark, instant, "timestamp_ntz", tu.local_month) == month
+    assert one(spark, instant, "timestamp_ntz", tu.local_day) == day
+
+
+def test_iso_millis(spark):
+    cases = {
+        datetime(2024, 3, 10, 2, 30): "2024-03-10T02:30:00.000Z",
+        datetime(2024, 3, 10, 2, 30, 0, 120000): "2024-03-10T02:30:00.120Z",
+        datetime(2024, 3, 10, 2, 30, 1, 999999): "2024-03-10T02:30:01.999Z",
+    }
+    for instant, text in cases.items():
+        assert one(spark, instant, "timestamp_ntz", tu.iso_millis) == text
+
+
+def test_day_start_agrees_with_the_column(spark):
+    assert one(spark, "2024-02-01", "string", tu.local_day_start) == datetime(2024, 1, 31, 15)
+    assert tu.day_start_utc(date(2024, 2, 1)) == datetime(2024, 1, 31, 15)
+
+
+def test_range_has_half_open_local_bounds(spark):
+    instants = [
+        datetime(2024, 1, 31, 14, 59, 59),
+        datetime(2024, 1, 31, 15),
+        datetime(2024, 2, 29, 14, 59, 59),
+        datetime(2024, 2, 29, 15),
+    ]
+    df = spark.createDataFrame([(i,) for i in instants], "c timestamp_ntz")
+    kept = df.filter(tu.within_local_month(F.col("c"), "2024-02")).collect()
+    assert [r.c for r in kept] == instants[1:3]
+
+
+def test_month_arguments_are_checked():
+    assert tu.month_bounds("2024-12") == (date(2024, 12, 1), date(2025, 1, 1))
+    for bad in ("2024-13", "2024-1", "x", "2024-01'; --"):
+        with pytest.raises(ValueError):
+            tu.month_bounds(bad)
+
+
+def test_months_between():
+    assert tu.months_between(date(2023, 11, 30), date(2024, 1, 1)) == [
+        "2023-11",
+        "2023-12",
+        "2024-01",
+    ]
+
+
+def test_local_today():
+    assert tu.local_today(datetime(2024, 1, 31, 15)) == date(2024, 2, 1)
+    assert tu.local_today(datetime(2024, 1, 31, 14, 59)) == date(2024, 1, 31)
