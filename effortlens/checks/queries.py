@@ -254,7 +254,7 @@ def snapshot_append(spark, sf_dir):
 @_query
 def snapshot_replace(spark, sf_dir):
     history, today = _history_and_snapshot(spark, sf_dir)
-    return snapshot.append_snapshot(history, today, idempotent=True)
+    return snapshot.append_snapshot(history, today, replaced_day=fx.AS_OF)
 
 
 @_query

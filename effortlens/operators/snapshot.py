@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def append_snapshot(
-    history: DataFrame, snapshot: DataFrame, idempotent: bool = False
+    history: DataFrame, snapshot: DataFrame, replaced_day: date | None = None
 ) -> DataFrame:
     """History with a snapshot added.
 
-    A second run on the same day doubles that day's rows, as a plain append does;
-    ``idempotent=True`` makes the new rows replace the days they cover.
+    A second run on the same day doubles that day's rows, as a plain append does. Name
+    the day as ``replaced_day`` to drop what history holds of it first.
     """
-    if idempotent:
-        days = snapshot.select("snapshot_date").distinct()
-        history = history.join(days, "snapshot_date", "left_anti").select(*history.columns)
+    if replaced_day is not None:
+        history = history.filter(F.col("snapshot_date") != F.lit(replaced_day))
     return history.unionByName(snapshot)
