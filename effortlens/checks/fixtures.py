@@ -28,8 +28,24 @@ _FROM_SUPPLIER = {"assignee_name"}
 _FROM_ORDERS = {"created_at"}
 
 
+# Declared, so that no query starts with a job that infers a schema from a file.
+_SCHEMAS = {
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _ntz_plus_minutes(instant: Column, minutes: Column) -> Column:
@@ -37,7 +53,8 @@ def _ntz_plus_minutes(instant: Column, minutes: Column) -> Column:
 
 
 def _task_id() -> Column:
-    return F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber"))
+    line = F.col("l_linenumber").cast("string")
+    return F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), line)
 
 
 def _due_on() -> Column:
@@ -69,42 +86,47 @@ def _assignee_name() -> Column:
     return F.when(turn == 1, "").when(turn != 0, F.col("s_name"))
 
 
-def _task_columns() -> dict[str, Column]:
-    estimate = F.when(F.col("l_tax") != 0, F.col("l_quantity") * 10)
-    brand = F.col("p_brand")
-    return {
-        "task_id": _task_id(),
-        "task_name": F.col("p_name"),
-        "project_id": brand,
-        "project_name": F.concat(F.lit(" "), brand, F.lit(" ")),
-        "assignee_name": _assignee_name(),
-        "completed_at": _completed_at(),
-        "created_at": F.col("o_orderdate"),
-        "due_on": _due_on(),
-        "modified_at": _modified_at(),
-        "inserted_at": _ntz_plus_minutes(
-            F.col("l_shipdate"), F.col("l_partkey") + F.col("l_suppkey")
-        ),
-        "estimated_time": estimate,
-        "actual_time": _actual() / 60.0,
-        "actual_time_raw": _actual(),
-        "is_subtask": F.col("l_linenumber") > 1,
-        "parent_task_id": F.when(
-            F.col("l_linenumber") > 1, F.concat(F.col("l_orderkey"), F.lit("-1"))
-        ),
-        "project_gid": brand,
-        "assignee_gid": _assignee_gid(),
-        "estimated_minutes": estimate,
-        "actual_minutes": _actual(),
-    }
+def _estimate() -> Column:
+    return F.when(F.col("l_tax") != 0, F.col("l_quantity") * 10)
+
+
+def _inserted_at() -> Column:
+    return _ntz_plus_minutes(F.col("l_shipdate"), F.col("l_partkey") + F.col("l_suppkey"))
+
+
+def _parent() -> Column:
+    first = F.concat(F.col("l_orderkey").cast("string"), F.lit("-1"))
+    return F.when(F.col("l_linenumber") > 1, first)
+
+
+_TASK_COLUMNS = {
+    "task_id": _task_id,
+    "task_name": lambda: F.col("p_name"),
+    "project_id": lambda: F.col("p_brand"),
+    "project_name": lambda: F.concat(F.lit(" "), F.col("p_brand"), F.lit(" ")),
+    "assignee_name": _assignee_name,
+    "completed_at": _completed_at,
+    "created_at": lambda: F.col("o_orderdate"),
+    "due_on": _due_on,
+    "modified_at": _modified_at,
+    "inserted_at": _inserted_at,
+    "estimated_time": _estimate,
+    "actual_time": lambda: _actual() / 60.0,
+    "actual_time_raw": _actual,
+    "is_subtask": lambda: F.col("l_linenumber") > 1,
+    "parent_task_id": _parent,
+    "project_gid": lambda: F.col("p_brand"),
+    "assignee_gid": _assignee_gid,
+    "estimated_minutes": _estimate,
+    "actual_minutes": _actual,
+}
 
 
 def raw_tasks(
     spark: SparkSession, sf_dir: str, columns: list[str] | None = None
 ) -> DataFrame:
     """Every stored version of every task; all columns unless some are named."""
-    made = _task_columns()
-    wanted = set(columns or made)
+    wanted = set(columns or _TASK_COLUMNS)
     lines = table(spark, sf_dir, "lineitem")
     if wanted & _FROM_PART:
         part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
@@ -115,12 +137,12 @@ def raw_tasks(
     if wanted & _FROM_ORDERS:
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
         lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return lines.select(*[c.alias(n) for n, c in made.items() if n in wanted])
+    return lines.select(*[make().alias(n) for n, make in _TASK_COLUMNS.items() if n in wanted])
 
 
 def completed_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions with every column the latest-version view shows."""
-    everything = [c for c in _task_columns() if c not in ("created_at", "due_on")]
+    everything = [c for c in _TASK_COLUMNS if c not in ("created_at", "due_on")]
     return raw_tasks(spark, sf_dir, everything)
 
 

@@ -8,7 +8,7 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Field-name keywords, number pattern, hour marks and name prefix that
+# Field-name keywords, number pattern, hour marks and label units that
 # results depend on.
 ESTIMATE_KEYWORDS = ["estimated time", "estimated_time", "estimate", "見積", "見積もり"]
 ACTUAL_KEYWORDS = [
@@ -22,9 +22,8 @@ ACTUAL_KEYWORDS = [
     "稼働",
 ]
 FIRST_NUMBER = r"[-+]?[0-9]*\.?[0-9]+"
-HOUR_LETTER = "h"
-HOUR_WORD = "時間"
-DURATION_LABEL = "%d時間%d分"
+HOUR_MARK = r"[hH]|時間"
+HOUR_UNIT, MINUTE_UNIT = "時間", "分"
 
 
 def _mentions(name: Column, keywords: list[str]) -> Column:
@@ -40,40 +39,45 @@ def duration_minutes(number: Column, text: Column, display: Column) -> Column:
     """
     words = F.coalesce(F.nullif(text, F.lit("")), display)
     amount = F.regexp_extract(words, FIRST_NUMBER, 0).try_cast("double")
-    in_hours = F.lower(words).contains(HOUR_LETTER) | words.contains(HOUR_WORD)
-    return F.coalesce(
-        number.cast("double"), F.when(in_hours, amount * 60.0).otherwise(amount)
-    )
+    scale = F.when(words.rlike(HOUR_MARK), 60.0).otherwise(1.0)
+    return F.coalesce(number.cast("double"), amount * scale)
 
 
 def readable_fields(custom_fields: Column) -> Column:
-    """Array of (lower-cased name, minutes) for the fields that hold a duration."""
-    parsed = F.transform(
-        custom_fields,
-        lambda f: F.struct(
-            F.lower(F.coalesce(f["name"], F.lit(""))).alias("name"),
-            duration_minutes(f["number_value"], f["text_value"], f["display_value"]).alias(
-                "minutes"
-            ),
-        ),
-    )
-    return F.filter(parsed, lambda f: f["minutes"].isNotNull())
+    """Array of (is an estimate, is an actual, minutes), one element per field.
+
+    A field named both ways is an estimate only. Keep the result in a column of its own
+    before picking from it twice, so that the fields are parsed once.
+    """
+
+    def read(field: Column) -> Column:
+        name = F.lower(F.coalesce(field["name"], F.lit("")))
+        minutes = duration_minutes(
+            field["number_value"], field["text_value"], field["display_value"]
+        )
+        is_estimate = _mentions(name, ESTIMATE_KEYWORDS)
+        return F.struct(
+            is_estimate.alias("is_estimate"),
+            (~is_estimate & _mentions(name, ACTUAL_KEYWORDS)).alias("is_actual"),
+            minutes.alias("minutes"),
+        )
+
+    return F.transform(custom_fields, read)
+
+
+def _last_minutes(readable: Column, kind: str) -> Column:
+    held = F.filter(readable, lambda f: f[kind] & f["minutes"].isNotNull())
+    return F.try_element_at(held, F.lit(-1))["minutes"]
 
 
 def estimate_from(readable: Column) -> Column:
-    """Minutes of the last readable field named as an estimate."""
-    named = F.filter(readable, lambda f: _mentions(f["name"], ESTIMATE_KEYWORDS))
-    return F.try_element_at(named, F.lit(-1))["minutes"]
+    """Minutes of the last field that is an estimate and holds a duration."""
+    return _last_minutes(readable, "is_estimate")
 
 
 def actual_from(readable: Column) -> Column:
-    """Minutes of the last readable field named as an actual and not as an estimate."""
-    named = F.filter(
-        readable,
-        lambda f: _mentions(f["name"], ACTUAL_KEYWORDS)
-        & ~_mentions(f["name"], ESTIMATE_KEYWORDS),
-    )
-    return F.try_element_at(named, F.lit(-1))["minutes"]
+    """Minutes of the last field that is an actual and holds a duration."""
+    return _last_minutes(readable, "is_actual")
 
 
 def remaining_minutes(estimated: Column, actual: Column) -> Column:
@@ -90,9 +94,12 @@ def has_effort(estimated: Column, actual: Column) -> Column:
 
 def label_from_minutes(minutes: Column) -> Column:
     """Whole hours and minutes as text; half minutes round to even, null reads as zero."""
-    whole = F.coalesce(F.bround(minutes, 0), F.lit(0.0)).cast("bigint")
-    return F.format_string(
-        DURATION_LABEL, F.floor(whole / 60), F.pmod(whole, F.lit(60).cast("bigint"))
+    whole = F.coalesce(F.rint(minutes), F.lit(0.0)).cast("bigint")
+    return F.concat(
+        F.floor(whole / 60).cast("string"),
+        F.lit(HOUR_UNIT),
+        F.pmod(whole, F.lit(60).cast("bigint")).cast("string"),
+        F.lit(MINUTE_UNIT),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from effortlens.functions.timeutil import (
     BUSINESS_ZONE,
     local_month,
+    local_month_start,
     month_bounds,
     within_local_month,
 )
@@ -25,8 +26,8 @@ def in_month(unique: DataFrame, month: str | None, zone: str = BUSINESS_ZONE) ->
     """Tasks completed in the month, by default the latest one that has any."""
     if month is not None:
         return unique.filter(within_local_month(F.col("completed_at"), month, zone))
-    latest = latest_month(unique, zone).scalar()
-    return unique.filter(local_month(F.col("completed_at"), zone) == latest)
+    latest = unique.agg(local_month_start(F.max("completed_at"), zone).alias("m")).scalar()
+    return unique.filter(local_month_start(F.col("completed_at"), zone) == latest)
 
 
 def monthly_kpi(

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from effortlens.functions.timeutil import BUSINESS_ZONE, local_month
+from effortlens.functions.timeutil import BUSINESS_ZONE, local_month_start, month_text
 
 # Names of the three outputs and their column headers.
 OUTPUT_NAMES = {
@@ -47,9 +47,12 @@ def minute_sum(column: str) -> Column:
 
 
 def effort_by(unique: DataFrame, keys: list[str], zone: str = BUSINESS_ZONE) -> DataFrame:
-    """Task counts and minute totals per key; ``month`` is the local completion month."""
-    return (
-        unique.withColumn("month", local_month(F.col("completed_at"), zone))
+    """Task counts and minute totals per key; ``month`` is the local completion month.
+
+    Rows are grouped by the first day of the month and only the groups get its text.
+    """
+    totals = (
+        unique.withColumn("month", local_month_start(F.col("completed_at"), zone))
         .groupBy(*keys)
         .agg(
             F.count("task_id").alias("tasks"),
@@ -57,6 +60,7 @@ def effort_by(unique: DataFrame, keys: list[str], zone: str = BUSINESS_ZONE) ->
             minute_sum("estimated_minutes").alias("estimated"),
         )
     )
+    return totals.withColumn("month", month_text(F.col("month")))
 
 
 def monthly_effort(unique: DataFrame, zone: str = BUSINESS_ZONE) -> DataFrame:

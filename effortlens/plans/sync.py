@@ -22,6 +22,8 @@ class SyncOptions:
     include_incomplete_subtasks: bool = False
     completed_since: datetime | None = None
     date_jst: str | None = None
+    # "modified" also catches edits to tasks completed before the cutoff.
+    cutoff_by: str = "completed"
 
     def override(self) -> datetime | None:
         """Explicit cutoff, else the start of the given local day; a bad day is ignored."""
@@ -70,7 +72,8 @@ def sync_completed(
     chosen = projects.named_like(listed, options.project_filter)
     tasks = projects.of_projects(land.read_tasks(spark, landing.tasks), chosen)
     apart = land.read_subtasks(spark, landing.subtasks) if landing.subtasks else None
-    items = normalize.task_items(scans.completed_since(tasks, cutoff), apart)
+    recent = scans.completed_since(tasks, cutoff, options.cutoff_by)
+    items = normalize.task_items(recent, apart)
     rows = normalize.completed_task_rows(items, options.include_incomplete_subtasks)
 
     seen = Observation("sync")
