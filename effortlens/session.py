@@ -15,7 +15,9 @@ DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.files.maxPartitionBytes": "256MB",
-    "spark.sql.parquet.filterPushdown": "true",
+    # A long-lived session runs more distinct plans than the default cache of 100 holds;
+    # evicted code is compiled and warmed up again on its next use.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.sql.session.timeZone": "UTC",
 }
 
