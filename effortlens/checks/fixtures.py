@@ -6,12 +6,15 @@ a task's creation instant does not touch ``orders``.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from effortlens.functions.timeutil import local_day, ntz_literal
+from effortlens.session import checkpoint_folder
 
 AS_OF = date(1998, 6, 17)
 MONTH = "1998-06"
@@ -48,6 +51,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the cluster's shared checkpoint folder, or a local one without it."""
+    try:
+        return checkpoint_folder(spark, f"checks-{uuid.uuid4().hex}")
+    except ValueError:
+        return tempfile.mkdtemp(prefix="effortlens-")
+
+
 def _ntz_plus_minutes(instant: Column, minutes: Column) -> Column:
     return F.timestamp_add("MINUTE", minutes, instant)
 
@@ -219,7 +230,17 @@ def _custom_fields() -> Column:
 
 
 def task_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Task payloads from ``orders``; subtasks are landed apart, see below.
+    """Task payloads from ``orders``; subtasks are landed apart, see below."""
+    return payloads_of(table(spark, sf_dir, "orders"))
+
+
+def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` as a stream of files; a source path must be a folder or a pattern."""
+    return spark.readStream.schema(_SCHEMAS["orders"]).parquet(f"{sf_dir}/orders.parque[t]")
+
+
+def payloads_of(orders: DataFrame) -> DataFrame:
+    """Orders, at rest or streamed, in the shape of task payloads.
 
     ``num_subtasks`` only says whether there are any, since nothing reads more of it;
     it denies them for one order in eleven.
@@ -230,7 +251,7 @@ def task_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     person = F.struct(customer.alias("gid"), F.concat(F.lit("User "), customer).alias("name"))
     done_at = F.timestamp_add("HOUR", F.col("o_custkey") % 24, F.col("o_orderdate"))
     due = F.date_add(F.to_date("o_orderdate"), 7).cast("string")
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         F.concat(F.lit("P"), number).alias("project_gid"),
         F.concat(F.lit(" Project "), number).alias("project_name"),
         F.col("o_orderkey").cast("string").alias("gid"),

@@ -402,6 +402,10 @@ STATEMENTS: dict[str, str] = {
         FROM raw)
       SELECT * EXCLUDE (rn) FROM numbered WHERE rn = 1""",
     "merge_upsert": _merge(),
+    "stored_merge": _merge(),
+    "streamed_upsert": f"""WITH {ALL_ITEMS}
+      SELECT {FLAT_COLUMNS}, {RUN_TS} AS inserted_at
+      FROM items WHERE NOT is_subtask AND completed AND completed_at IS NOT NULL""",
     "minutes_backfill": f"""WITH {RAW}, holes AS (
         SELECT task_id, modified_at, estimated_time, actual_time,
                CASE WHEN line <> 3 THEN actual_time_raw END AS actual_time_raw,
@@ -487,6 +491,10 @@ STATEMENTS: dict[str, str] = {
         "project_name",
         f"{_month('completed_at')} = (SELECT {_month('max(completed_at)')} FROM uniq)",
     ),
+    "monthly_top_assignees_latest": _top_hours(
+        "assignee_name",
+        f"{_month('completed_at')} = (SELECT {_month('max(completed_at)')} FROM uniq)",
+    ),
     "daily_kpi": f"""WITH {UNIQUE}
       SELECT count(task_id) AS tasks_count,
              sum(coalesce(actual_minutes, 0)) / 60.0 AS total_hours,

@@ -35,6 +35,8 @@ from effortlens.operators import (
     weekly,
 )
 from effortlens.operators import open_tasks as open_digest
+from effortlens.sources.tables import COMPLETED_TASKS, KeyedTable
+from effortlens.streaming.incremental import task_upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -228,6 +230,32 @@ def merge_upsert(spark, sf_dir):
     return upsert.merge_tasks(target, batch)
 
 
+@_query
+def stored_merge(spark, sf_dir):
+    """The same merge through a stored table: target and batch as its first two versions."""
+    raw = fx.raw_tasks(spark, sf_dir)
+    split = ntz_literal(fx.MERGE_SPLIT)
+    table = KeyedTable(spark, fx.scratch(spark), COMPLETED_TASKS)
+    for part in (raw.filter(F.col("modified_at") < split), raw.filter(F.col("modified_at") >= split)):
+        table.merge(upsert.latest_in_batch(part), upsert.merge_tasks)
+    return table.read().select(*[f.name for f in schema.COMPLETED_TASKS])
+
+
+@_query
+def streamed_upsert(spark, sf_dir):
+    """Orders streamed into a stored table; returns what the table holds afterwards."""
+    folder = fx.scratch(spark)
+    table = KeyedTable(spark, f"{folder}/table", COMPLETED_TASKS)
+    payloads = fx.payloads_of(fx.order_stream(spark, sf_dir)).withColumn(
+        "subtasks", F.lit(None).cast(f"array<{schema.SUBTASK.simpleString()}>")
+    )
+    stream = task_upsert_stream(
+        payloads, table, f"{folder}/checkpoint", clock=lambda: fx.RUN_TS
+    )
+    stream.start().awaitTermination()
+    return table.read().select(*[f.name for f in schema.COMPLETED_TASKS])
+
+
 @_query
 def minutes_backfill(spark, sf_dir):
     return upsert.backfill_minutes(fx.legacy_minutes(spark, sf_dir))
@@ -375,6 +403,11 @@ def monthly_top_projects_latest(spark, sf_dir):
     return monthly.top_projects(_unique(spark, sf_dir))
 
 
+@_query
+def monthly_top_assignees_latest(spark, sf_dir):
+    return monthly.top_assignees(_unique(spark, sf_dir))
+
+
 @_query
 def daily_kpi(spark, sf_dir):
     return daily.daily_kpi(_unique(spark, sf_dir), fx.AS_OF)

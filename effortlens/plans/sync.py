@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from effortlens.functions.timeutil import day_start_utc, local_today
+from effortlens.functions.timeutil import day_start_utc
 from effortlens.operators import metrics, normalize, projects, scans, upsert
+from effortlens.plans.publish import DailyDigest, daily_digest
 from effortlens.plans.warehouse import Landing, Warehouse
 from effortlens.sources import landing as land
 from effortlens.sources.tables import MergeResult
@@ -98,10 +100,40 @@ def sync_time_entries(
     project_gid: str | None = None,
 ) -> MergeResult:
     """Replace the landed entries of a day range, by default of yesterday (local)."""
-    first = first or local_today(run_ts) - timedelta(days=1)
+    first = first or scans.yesterday(run_ts)
     landed = land.read_time_entries(spark, landing.time_entries)
     entries = scans.entries_between(landed, first, last or first, user_gid, project_gid)
     batch = upsert.stage_entries(normalize.time_entry_rows(entries), run_ts)
     return warehouse.entries(spark).merge(
         batch, lambda stored, new, small: upsert.replace_entries(stored, new)
     )
+
+
+@dataclass(frozen=True)
+class NightlyRun:
+    tasks: SyncOutcome
+    entries: MergeResult | None
+    entries_error: str | None
+    digest: DailyDigest
+
+
+def run_nightly(
+    spark: SparkSession,
+    landing: Landing,
+    warehouse: Warehouse,
+    run_ts: datetime,
+    options: SyncOptions = SyncOptions(),
+) -> NightlyRun:
+    """The scheduled sync: tasks, yesterday's time entries, then yesterday's digest.
+
+    Time entries that cannot be read or merged do not stop the run; why is reported.
+    """
+    tasks = sync_completed(spark, landing, warehouse, run_ts, options)
+    entries, problem = None, None
+    if landing.time_entries:
+        try:
+            entries = sync_time_entries(spark, landing, warehouse, run_ts)
+        except PySparkException as error:
+            problem = str(error)
+    digest = daily_digest(spark, warehouse, scans.yesterday(run_ts))
+    return NightlyRun(tasks, entries, problem, digest)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings that let Spark size and split the work itself. The number of shuffle
@@ -18,6 +16,8 @@ DEFAULTS = {
     # A long-lived session runs more distinct plans than the default cache of 100 holds;
     # evicted code is compiled and warmed up again on its next use.
     "spark.sql.codegen.cache.maxEntries": "2000",
+    # Call-site capture costs several JVM round trips per expression built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -38,10 +38,9 @@ def build_session(
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="effortlens-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+def checkpoint_folder(spark: SparkSession, name: str) -> str:
+    """A job's own folder below the checkpoint folder that the cluster names."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        raise ValueError("spark.checkpoint.dir is not set; pass a checkpoint folder")
+    return f"{shared.rstrip('/')}/{name}"

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from effortlens.operators import normalize, upsert
+from effortlens.session import checkpoint_folder
 from effortlens.sources.tables import KeyedTable
 
 
@@ -19,13 +20,14 @@ def _utc_now() -> datetime:
 def task_upsert_stream(
     tasks: DataFrame,
     table: KeyedTable,
-    checkpoint: str,
+    checkpoint: str | None = None,
     include_incomplete_subtasks: bool = False,
     clock: Callable[[], datetime] = _utc_now,
 ) -> DataStreamWriter:
     """Writer that merges each micro-batch of the task stream; the caller starts it.
 
-    The checkpoint takes the place of a modification watermark. Each merge records the
+    The checkpoint takes the place of a modification watermark; it defaults to a folder
+    below the one the cluster names for checkpoints. Each merge records the
     query and micro-batch it came from in the version it publishes, so a micro-batch
     replayed after a failure between merge and checkpoint is not merged again.
     """
@@ -43,8 +45,9 @@ def task_upsert_stream(
             stream=(query_id, batch_id) if query_id else None,
         )
 
+    folder = checkpoint or checkpoint_folder(table.spark, "task-upsert")
     return (
         tasks.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", folder)
         .trigger(availableNow=True)
     )

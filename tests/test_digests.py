@@ -3,6 +3,7 @@
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from effortlens import schema
 from effortlens.operators import audit, daily, dims, monthly, open_tasks, reports, views, weekly
@@ -153,6 +154,26 @@ def test_latest_month_is_local(worked, completed_rows):
     assert monthly.latest_month(views.unique_tasks(tasks)).first().month == "2024-05"
 
 
+def test_top_of_the_latest_month(worked):
+    may, june = date(2024, 5, 2), date(2024, 6, 3)
+    unique = worked(
+        (may, 900, {"project_name": "old", "assignee_name": "Ann"}),
+        (june, 60, {"project_name": "a", "assignee_name": None}),
+        (june, 90, {"project_name": "b", "assignee_name": ""}),
+    )
+    assert [tuple(r) for r in monthly.top_projects(unique).collect()] == [
+        ("b", 1, 1.5),
+        ("a", 1, 1.0),
+    ]
+    # Nobody is named in the latest month, so nobody is listed for it.
+    assert monthly.top_assignees(unique).count() == 0
+    named = unique.unionByName(
+        worked((june, 5, {"assignee_name": "Bob"})).withColumn("task_id", F.lit("z"))
+    )
+    assert [tuple(r) for r in monthly.top_assignees(named).collect()] == [("Bob", 1, 5 / 60.0)]
+    assert [r.assignee_name for r in monthly.top_assignees(named, "2024-05").collect()] == ["Ann"]
+
+
 def test_ties_are_ordered_by_name(worked):
     unique = worked(
         (WEDNESDAY, 60, {"project_name": "b"}),

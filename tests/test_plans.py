@@ -17,8 +17,9 @@ from effortlens.plans.publish import (
     weekly_plan,
 )
 from effortlens.plans.snapshot import take_snapshot
-from effortlens.plans.sync import SyncOptions, sync_completed, sync_time_entries
+from effortlens.plans.sync import SyncOptions, run_nightly, sync_completed, sync_time_entries
 from effortlens.plans.warehouse import Landing, Warehouse
+from effortlens.session import checkpoint_folder
 from effortlens.sources import landing as source
 from effortlens.sources.tables import COMPLETED_TASKS, KeyedTable
 from effortlens.streaming.incremental import task_upsert_stream
@@ -161,6 +162,33 @@ def test_time_entries_of_yesterday(spark, folders):
     assert house.entries(spark).read().count() == 2
 
 
+def test_nightly_run_reports_unreadable_entries_and_goes_on(spark, folders):
+    landing, house = folders
+    at = datetime(2024, 5, 15, 20)  # the 16th in Tokyo
+    run = run_nightly(spark, landing, house, at)
+    assert run.tasks.tasks_processed == 3 and run.entries_error is None
+    assert run.digest.summary.first().day == "2024-05-15"
+    assert run.digest.summary.first().tasks_count == 2
+    missing = Landing(landing.projects, landing.tasks, landing.tasks + "-missing")
+    again = run_nightly(spark, missing, house, at)
+    assert again.entries is None and "PATH_NOT_FOUND" in again.entries_error
+    assert again.digest.summary.first().tasks_count == 2
+
+
+def test_checkpoint_folder_is_the_clusters():
+    class Conf(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
+
+    class Session:
+        conf = Conf({"spark.checkpoint.dir": "hdfs://shared/checkpoints/"})
+
+    assert checkpoint_folder(Session, "x") == "hdfs://shared/checkpoints/x"
+    Session.conf = Conf()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_folder(Session, "x")
+
+
 def test_snapshot_and_weekly_plan(spark, folders):
     landing, house = folders
     day = take_snapshot(spark, landing, house, RUN)
