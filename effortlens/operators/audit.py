@@ -23,9 +23,9 @@ def of_pair(unique: DataFrame, project: str, assignee: str) -> DataFrame:
 def of_task_ids(tasks: DataFrame, ids: Sequence[str] | DataFrame) -> DataFrame:
     """Tasks listed by id, and subtasks of listed tasks, each once.
 
-    A short list becomes a pushed filter. A frame of ids is matched by semi joins, one
-    on each column; rows without a parent take no part in the second, so the absent
-    parents never meet in one task.
+    A short list becomes a pushed filter. A frame of ids marks the tasks by two joins in
+    one pass over them; a task without a parent is given a key of its own that no id can
+    equal, so that absent parents are not all sent to one task.
     """
     if not isinstance(ids, DataFrame):
         wanted = [i.strip() for i in ids if i.strip()]
@@ -34,14 +34,15 @@ def of_task_ids(tasks: DataFrame, ids: Sequence[str] | DataFrame) -> DataFrame:
         return tasks.filter(
             F.col("task_id").isin(wanted) | F.col("parent_task_id").isin(wanted)
         )
-    listed = ids.toDF("listed_id").filter(F.col("listed_id").isNotNull()).distinct()
-    itself = tasks.join(listed, F.col("task_id") == F.col("listed_id"), "left_semi")
-    by_parent = (
-        tasks.filter(F.col("parent_task_id").isNotNull())
-        .join(listed, F.col("parent_task_id") == F.col("listed_id"), "left_semi")
-        .join(listed, F.col("task_id") == F.col("listed_id"), "left_anti")
+    listed = ids.toDF("id").filter(F.col("id").isNotNull()).distinct()
+    no_parent = F.concat(F.lit("\0"), F.col("task_id"))
+    marked = (
+        tasks.withColumn("parent_key", F.coalesce(F.col("parent_task_id"), no_parent))
+        .join(listed.toDF("own_match"), F.col("task_id") == F.col("own_match"), "left")
+        .join(listed.toDF("parent_match"), F.col("parent_key") == F.col("parent_match"), "left")
     )
-    return itself.unionByName(by_parent)
+    matched = F.col("own_match").isNotNull() | F.col("parent_match").isNotNull()
+    return marked.filter(matched).select(*tasks.columns)
 
 
 def _basis(basis: str) -> str:
