@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import SparkSession
 
+from effortlens import schema
 from effortlens.functions.timeutil import local_today
 from effortlens.operators import normalize, projects, scans
 from effortlens.plans.warehouse import Landing, Warehouse
@@ -31,5 +32,6 @@ def take_snapshot(
     apart = land.read_subtasks(spark, landing.subtasks) if landing.subtasks else None
     items = normalize.task_items(scans.still_open(tasks), apart)
     rows = normalize.snapshot_rows(normalize.open_task_rows(items), as_of, run_ts)
-    append_snapshot(rows, warehouse.snapshots, idempotent)
+    keyed = schema.reject_null_keys(rows, schema.OPEN_TASKS_SNAPSHOT)
+    append_snapshot(keyed, warehouse.snapshots, idempotent)
     return as_of

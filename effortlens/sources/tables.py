@@ -10,6 +10,7 @@ time is assumed.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -102,17 +103,20 @@ class KeyedTable:
     # Reading
 
     def _state(self) -> _State:
+        """What the newest manifest says; only the names of the others are looked at."""
+        reader = self.spark.read.schema(_MANIFEST)
         try:
-            log = self.spark.read.schema(_MANIFEST).parquet(self._manifests)
+            files = reader.parquet(self._manifests).inputFiles()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return _State()
             raise
-        newest = log.agg(F.max("version")).first()[0]
-        if newest is None:
+        versions = [int(v) for f in files for v in re.findall(r"/version=(\d+)/", f)]
+        if not versions:
             return _State()
+        newest = max(versions)
         # One row per month or stream, however large the table is.
-        rows = log.filter(F.col("version") == newest).collect()
+        rows = reader.parquet(f"{self._manifests}/version={newest}").collect()
         return _State(
             newest,
             {r.label: r.commit_id for r in rows if r.label is not None},
