@@ -20,9 +20,9 @@ STATEMENTS = {
     """,
     "op9_line_dedup": """
         WITH l AS (
-            SELECT doc_id, source, at, line, trim(line, ' ' || chr(9) || chr(13)) AS bare
+            SELECT doc_id, source, pos, line, trim(line, ' ' || chr(9) || chr(13)) AS bare
             FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
-                         generate_subscripts(string_split(text, chr(10)), 1) AS at
+                         generate_subscripts(string_split(text, chr(10)), 1) AS pos
                   FROM documents)
         ), t AS (
             SELECT source, count(*) AS pages FROM documents GROUP BY source
@@ -33,11 +33,48 @@ STATEMENTS = {
         ), k AS (
             SELECT doc_id, count(*) AS n_lines,
                    count(*) FILTER (b.bare IS NOT NULL) AS n_dropped,
-                   coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (b.bare IS NULL), '') AS text
+                   coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (b.bare IS NULL), '') AS text
             FROM l LEFT JOIN b USING (source, bare) GROUP BY doc_id
         )
         SELECT d.doc_id, d.source, coalesce(n_lines, 0) AS n_lines,
                coalesce(n_dropped, 0) AS n_dropped, k.text
         FROM documents d LEFT JOIN k USING (doc_id)
     """,
+    "op10_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), i AS (
+            SELECT item_id, w, least(13, len(w)) AS k FROM (
+                SELECT item_id, regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+                FROM benchmark)
+            WHERE len(w) > 0
+        ), windows AS (
+            SELECT DISTINCT item_id, k, array_to_string(w[p : p + k - 1], ' ') AS s
+            FROM (SELECT item_id, k, w, unnest(range(1, len(w) - k + 2)) AS p FROM i)
+        ), grams AS (
+            SELECT doc_id, p, k, array_to_string(w[p : p + k - 1], ' ') AS s
+            FROM (SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS p
+                  FROM d, (SELECT DISTINCT k FROM windows))
+        ), hits AS (
+            SELECT doc_id, item_id, p, k FROM grams JOIN windows USING (k, s)
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT q) AS n_hit
+            FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hits) GROUP BY doc_id
+        ), found AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+               coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+    """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from effortlens.llm import lines, packing, quality, sharding, warc
+from effortlens.llm import decontam, lines, packing, quality, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -80,3 +80,18 @@ def op9_line_dedup(spark, sf_dir):
     return cleaned.select(
         "row.doc_id", "row.source", "n_lines", "n_dropped", F.col("cleaned").alias("text")
     )
+
+
+@_query
+def op10_decontamination(spark, sf_dir):
+    found = decontam.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        decontam.is_contaminated().alias("contaminated"),
+    )
