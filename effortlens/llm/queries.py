@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from effortlens.llm import decontam, lines, packing, quality, sharding, warc
+from effortlens.llm import decontam, lines, neardup, packing, quality, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -58,6 +58,11 @@ def op4_warc(spark, sf_dir):
     )
 
 
+@_query
+def op5_minhash_near_dedup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op6_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
