@@ -99,7 +99,7 @@ def dart_minhash(
         code = element[of] + mix(rank.astype(np.uint64) + _U(seed))
         if units is not None:
             unit = place // slabs[cell]
-            code += mix(unit.astype(np.uint64) + _U(seed + 1))
+            code = mix(code) + mix(unit.astype(np.uint64) + _U(seed + 1))
         code = mix(code)
         dart, number = _within(np.searchsorted(_STEPS, code, "right"))
         dart_code = mix(code[dart] + (number.astype(np.uint64) + _U(1)) * _U(0xA24BAED4963EE407))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from effortlens.llm import decontam, lines, neardup, packing, quality, sharding, warc
+from effortlens.llm import decontam, lines, neardup, packing, pii, quality, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -79,6 +79,22 @@ def op6_quality(spark, sf_dir):
     )
 
 
+@_query
+def op7_pii(spark, sf_dir):
+    found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def of(kind):
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @_query
 def op9_line_dedup(spark, sf_dir):
     cleaned = lines.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
