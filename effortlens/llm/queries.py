@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from effortlens.llm import decontam, lines, neardup, packing, pii, quality, sharding, warc
+from effortlens.llm import decontam, lines, neardup, packing, pii, quality, sharding, toxicity, warc
+from effortlens.llm.splits import is_held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -95,6 +96,19 @@ def op7_pii(spark, sf_dir):
     )
 
 
+@_query
+def op8_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", toxicity.toxicity_score(model, F.col("text")).alias("score"))
+    return scored.select(
+        "doc_id",
+        is_held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @_query
 def op9_line_dedup(spark, sf_dir):
     cleaned = lines.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
