@@ -3,6 +3,22 @@
 from __future__ import annotations
 
 STATEMENTS = {
+    "op2_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, d.vec_id, list_dot_product(q.e, d.e)::BIGINT AS score
+            FROM v q JOIN v d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id
+        )
+        SELECT query_id, rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER
+                AS rank
+            FROM s)
+        WHERE rank <= 10
+    """,
     "op4_warc": """
         WITH p AS (
             SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from effortlens.llm import decontam, lines, neardup, packing, pii, quality, sharding, toxicity, warc
+from effortlens.llm import decontam, lines, neardup, packing, pii, quality, sharding, topk, toxicity, warc
 from effortlens.llm.splits import is_held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,13 @@ def op1_sharding(spark, sf_dir):
     )
 
 
+@_query
+def op2_exact_top_k(spark, sf_dir):
+    """The 10 best other vectors of every vector whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.exact_top_k(vectors, F.col("vec_id") % 100 == 0, 10)
+
+
 @_query
 def op3_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
