@@ -7,8 +7,9 @@ DataFrame. All but the last return rows with the columns of ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from effortlens.llm import lines, packing, quality
+from effortlens.llm import decontam, lines, neardup, packing, quality
 from effortlens.llm.queries import table
 from effortlens.llm.storage import written
 
@@ -19,8 +20,22 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their host."""
-    return lines.dedup_lines(docs)
+    """Documents without the boilerplate lines of their host; ``n_chars`` follows the text."""
+    cleaned = lines.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        cleaned = cleaned.withColumn("n_chars", F.length("text").cast(kind))
+    return cleaned
+
+
+def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return neardup.dedup(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no benchmark item contaminates."""
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def fill_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,6 +46,8 @@ def fill_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("quality", keep_good),
     ("line_dedup", drop_lines),
+    ("near_dedup", keep_one_copy),
+    ("decontamination", drop_benchmark),
     ("packing", fill_sequences),
 ]
 
