@@ -11,12 +11,15 @@ shingles + k ln k darts instead of shingles times k, and two documents agree in
 with probability equal to their weighted Jaccard similarity.
 
 Links: equal texts are grouped first and only their least id goes on. Bands of equal
-coordinates make buckets. Round one checks each bucket member against the bucket's least id;
-components of the links found leave most buckets with one class. Every further round takes the
-next 1/m of a bucket's members (about 16, by hash) as leaders and checks the members of
-other classes against them, so a round makes at most 16 pairs per member, whatever a bucket
-holds, and after m rounds each pair of a bucket has been checked or was already in one class.
-Similarities are exact, from the full shingle sets of bucket members only.
+coordinates make buckets. Round one checks each bucket member against the bucket's most
+central one, which shares most buckets with others (the text that copies were made from, as
+a rule); components of the links found leave most buckets with one class. Every further round
+splits the members of each bucket that still has several into m parts by hash, takes the next
+part as leaders and checks the members of other classes against them. Each round chooses the
+size of the parts so that all its pairs are at most ``PAIRS`` times the members that the corpus
+has in buckets, whatever one bucket holds; after m parts each pair of a bucket has been
+checked or was already in one class. Similarities are exact, from the full shingle sets of
+bucket members only.
 
 Defined results: ``class_id`` is the least doc_id of the class. Texts that are equal, also
 when empty, are one class; a text without words is near no other text; fewer than 5 words make
@@ -43,7 +46,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 28
 ROWS = 5
-LEADERS = 16
+LEADERS = 16  # of a bucket in one round, at least
+PAIRS = 4  # pairs of a round per bucket member of the corpus, at most, beyond LEADERS each
 SEED = 0x5EED
 
 _U = np.uint64
@@ -170,7 +174,7 @@ def _pair(a: str, b: str) -> tuple[Column, Column]:
 
 
 class _Links:
-    """Finds the classes of distinct texts (``vid``, ``bands``) with sets from ``features``."""
+    """Finds the classes of ``members`` (vid, bucket, degree) with the sets of ``features``."""
 
     def __init__(self, members: DataFrame, features: DataFrame, similarity: float):
         self.members, self.features, self.similarity = members, features, similarity
@@ -215,28 +219,47 @@ class _Links:
         self._merge(written(similar.select(F.col("lu").alias("u"), F.col("lv").alias("v")), "links"))
 
     def _first_round(self) -> None:
-        leaders = written(self.members.groupBy("bucket").agg(F.min("vid").alias("leader")), "leaders")
+        # The most central member, the least id on ties.
+        rank = F.struct("degree", (-F.col("vid")).alias("id"))
+        leaders = self.members.groupBy("bucket").agg(F.max(rank).alias("best"))
+        leaders = written(
+            leaders.select("bucket", (-F.col("best.id")).alias("leader")), "leaders"
+        )
         pairs = self.members.join(leaders, "bucket").filter("vid <> leader")
         pairs = pairs.select(*_pair("vid", "leader")).distinct()
         self._check(pairs.select("u", "v", F.col("u").alias("lu"), F.col("v").alias("lv")))
 
     def run(self) -> DataFrame:
+        """``vertex`` and ``label`` of all texts in classes of two or more."""
         self._first_round()
-        turn = 0
+        budget = PAIRS * self.members.count()
+        members = self.members.select("vid", "bucket", F.lit(0.0).alias("done"))
         while True:
-            labelled = written(self._labelled(self.members), "labelled-members")
+            # ``done`` is the share of a bucket's members that have been leaders.
+            labelled = written(self._labelled(members), "labelled-members")
             mixed = (
                 labelled.groupBy("bucket")
-                .agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-                .filter("lo <> hi")
-                .select("bucket", F.ceil(F.col("n") / LEADERS).alias("turns"))
-                .filter(F.col("turns") > turn)
+                .agg(
+                    F.count("*").alias("n"),
+                    F.min("label").alias("lo"),
+                    F.max("label").alias("hi"),
+                    F.max("done").alias("done"),
+                )
+                .filter("lo <> hi and done < 1")
+                .select("bucket", "n", "done")
             )
             mixed = written(mixed, "mixed-buckets")
-            if not mixed.limit(1).count():
+            rows = mixed.agg(F.sum("n")).first()[0]
+            if not rows:
                 return self.labels
-            active = written(labelled.join(mixed, "bucket"), "mixed-members")
-            leads = active.filter(F.pmod(F.xxhash64("vid"), F.col("turns")) == turn).select(
+            leaders = max(LEADERS, budget // rows)
+            upto = F.least(F.lit(1.0), F.col("done") + leaders / F.col("n"))
+            active = written(
+                labelled.drop("done").join(mixed.withColumn("upto", upto), "bucket"), "mixed-members"
+            )
+            # Each id has a place in [0, 1), the same in all rounds and buckets.
+            place = F.pmod(F.xxhash64(F.lit(SEED), "vid"), F.lit(1 << 30)) / float(1 << 30)
+            leads = active.filter((place >= F.col("done")) & (place < F.col("upto"))).select(
                 "bucket", F.col("vid").alias("leader"), F.col("label").alias("leader_label")
             )
             first = F.col("vid") < F.col("leader")
@@ -251,8 +274,7 @@ class _Links:
                 .distinct()
             )
             self._check(pairs)
-            self.members = active.select("vid", "bucket")
-            turn += 1
+            members = active.select("vid", "bucket", F.col("upto").alias("done"))
 
 
 def near_duplicates(
@@ -293,11 +315,12 @@ def near_duplicates(
     )
     rows_of = texts.select("vid", F.explode("bands").alias("bucket")).distinct()
     crowded = written(
-        rows_of.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"),
-        "buckets",
+        rows_of.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "buckets"
     )
-    members = written(rows_of.join(crowded, "bucket").select("vid", "bucket"), "bucket-members")
-    wanted = written(members.select("vid").distinct(), "candidates")
+    crowd = written(rows_of.join(crowded, "bucket").select("vid", "bucket", "n"), "bucket-rows")
+    # How central an id is: members of its buckets, all told.
+    wanted = written(crowd.groupBy("vid").agg(F.sum("n").alias("degree")), "candidates")
+    members = written(crowd.drop("n").join(wanted, "vid"), "bucket-members")
     # One text for each candidate: an id that several texts share goes by the least of them.
     near = texts.join(wanted, "vid", "left_semi").groupBy("vid").agg(F.min(F.struct("k1", "k2")).alias("k"))
     named = named.withColumns({"k1": k1, "k2": k2})

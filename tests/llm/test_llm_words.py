@@ -1,0 +1,132 @@
+"""Word hashing, signatures, trees and packing on small inputs, without a session."""
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from effortlens.llm import decontam, neardup, packing, topk, words
+
+PATTERN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def plain(text):
+    return PATTERN.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.lists(st.one_of(st.none(), st.text("aZ9 .é😀\n`", max_size=30)), max_size=6), st.integers(1, 40))
+def test_words_are_those_of_the_pattern(texts, size):
+    seen, codes = [], {}
+    for at, to, w in words.slices(pa.array(texts, pa.string()), size):
+        for t in range(to - at):
+            own = [w.word(i) for i in range(w.first[t], w.first[t + 1])]
+            seen.append(own)
+            for word, code in zip(own, w.hash[w.first[t] : w.first[t + 1]], strict=True):
+                assert codes.setdefault(word, code) == code
+    assert seen == [plain(t) for t in texts]
+    assert len(set(codes.values())) == len(codes)
+
+
+def test_shingles_of_short_and_empty_texts():
+    _, _, w = next(words.slices(pa.array(["a b c", "", None, "a b c", "a b c d e f"])))
+    code, text = words.shingles(w, 5)
+    assert text.tolist() == [0, 3, 4, 4] and code[0] == code[1]
+
+
+@settings(deadline=None, max_examples=40)
+@given(st.lists(st.integers(0, 3), min_size=13, max_size=60), st.data())
+def test_winnowing_keeps_a_common_gram_of_every_shared_span(numbers, data):
+    span = " ".join(f"w{n}" for n in numbers)
+    before, after = (data.draw(st.lists(st.integers(0, 5), max_size=20)) for _ in range(2))
+    other = " ".join([*(f"w{n}" for n in before), span, *(f"w{n}" for n in after)])
+    kept = []
+    for text, shift in ((span, 0), (other, len(before))):
+        _, _, w = next(words.slices(pa.array([text])))
+        code, at = decontam.winnow(w)
+        kept.append(set(zip(code.tolist(), (at - shift).tolist(), strict=True)))
+    common = sorted(at for _, at in kept[0] & kept[1])
+    assert all(any(p <= a <= p + 8 for a in common) for p in range(len(numbers) - 12))
+
+
+def test_signatures_agree_as_often_as_sets_are_alike():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 2**63, 1000).astype(np.uint64)
+    other = np.concatenate([x[:700], rng.integers(0, 2**63, 300).astype(np.uint64)])
+    element, owner = np.concatenate([x, other]), np.repeat([0, 1], 1000)
+    plain_sign = neardup.dart_minhash(element, None, owner, 3, 3000)
+    assert abs((plain_sign[0] == plain_sign[1]).mean() - 700 / 1300) < 0.04
+    assert not plain_sign[2].any()
+    weight = np.concatenate([np.full(1000, 2.5), np.full(1000, 1.0)])
+    heavy = neardup.dart_minhash(element, weight, owner, 3, 3000)
+    assert abs((heavy[0] == heavy[1]).mean() - 700 / 2800) < 0.04
+
+
+def test_repeated_elements_change_no_unweighted_signature():
+    x = np.arange(1, 8, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    once = neardup.dart_minhash(x, None, np.zeros(7, int), 1, 140)
+    thrice = neardup.dart_minhash(np.tile(x, 3), None, np.zeros(21, int), 1, 140)
+    assert (once == thrice).all()
+
+
+def brute_top(queries, ids, data, data_ids, k):
+    out = []
+    for q, i in zip(queries, ids, strict=True):
+        scored = [(-int(q @ d), j) for d, j in zip(data, data_ids, strict=True) if j != i]
+        out += [(i, j, -s) for s, j in sorted(scored)[:k]]
+    return sorted(out)
+
+
+def test_dual_tree_finds_what_brute_force_finds():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 300, (6, 8))
+    data = (centres[rng.integers(0, 6, 900)] + rng.normal(0, 20, (900, 8))).astype(np.int64)
+    data[100:400] = data[100]
+    ids = np.arange(900)
+    queries = data[::30]
+    found = topk.Search(queries, ids[::30], data, ids, 10, np.full(30, -np.inf))
+    found.run()
+    rows = sorted(map(tuple, found.rows().to_numpy().tolist()))
+    assert rows == brute_top(queries, ids[::30], data, ids, 10)
+
+
+def test_cover_tree_radii_and_separation():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(700, 3))
+    stack = [topk.CoverTree.over(x)]
+    while stack:
+        node = stack.pop()
+        assert np.linalg.norm(x[node.at] - node.centre, axis=1).max() <= node.radius + 1e-9
+        if node.children:
+            assert sorted(np.concatenate([c.at for c in node.children])) == sorted(node.at)
+            most = max(c.radius for c in node.children)
+            for i, a in enumerate(node.children):
+                for b in node.children[:i]:
+                    assert np.linalg.norm(a.centre - b.centre) >= most - 1e-9
+            stack += node.children
+
+
+def test_products_beyond_doubles_stay_exact():
+    big = np.array([[2**30 + 1, 3], [2**30, 5]], np.int64)
+    found = topk.Search(big, np.array([0, 1]), big, np.array([0, 1]), 1, np.full(2, -np.inf))
+    found.run()
+    assert found.rows().score.tolist() == [(2**30 + 1) * 2**30 + 15] * 2
+
+
+def test_best_fit_packs_all_pieces_near_the_optimum():
+    rng = random.Random(1)
+    for sizes in ((64, 128, 256), (100,)):
+        lengths = sorted((rng.randint(1, max(sizes)) for _ in range(400)), reverse=True)
+        bins, offsets, ends = packing.best_fit(lengths, sizes)
+        used = {}
+        for n, b, o in zip(lengths, bins, offsets, strict=True):
+            assert used.get(b, 0) == o
+            used[b] = o + n
+        assert all(used[b] <= ends[b] for b in used)
+        assert all(ends[b] == min(s for s in sizes if s >= used[b]) for b in used)
+        assert sum(ends) <= 1.1 * sum(lengths)
+    assert packing.best_fit([], (8,)) == ([], [], [])
+    assert packing.best_fit([5], (8, 16), [9, 1])[2] == [8]
