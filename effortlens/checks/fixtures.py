@@ -6,7 +6,6 @@ a task's creation instant does not touch ``orders``.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import date, datetime
 
@@ -14,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from effortlens.functions.timeutil import local_day, ntz_literal
+from effortlens.plans.warehouse import Landing
 from effortlens.session import checkpoint_folder
 
 AS_OF = date(1998, 6, 17)
@@ -52,11 +52,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared checkpoint folder, or a local one without it."""
+    """A new folder in the cluster's shared checkpoint folder, below the warehouse without it."""
+    name = f"checks-{uuid.uuid4().hex}"
     try:
-        return checkpoint_folder(spark, f"checks-{uuid.uuid4().hex}")
+        return checkpoint_folder(spark, name)
     except ValueError:
-        return tempfile.mkdtemp(prefix="effortlens-")
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}"
 
 
 def _ntz_plus_minutes(instant: Column, minutes: Column) -> Column:
@@ -300,6 +301,28 @@ def subtask_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_twice(spark: SparkSession, sf_dir: str, folder: str) -> Landing:
+    """Landing folders with two versions of each project and order.
+
+    In the first one every project is active and every order open.
+    """
+    long_ago = F.lit("1970-01-01T00:00:00Z")
+    listed, tasks = projects(spark, sf_dir), task_payloads(spark, sf_dir)
+    first = tasks.withColumns(
+        {
+            "completed": F.lit(False),
+            "completed_at": F.lit(None).cast("string"),
+            "modified_at": long_ago,
+        }
+    )
+    older = listed.withColumns({"archived": F.lit(False), "modified_at": long_ago})
+    for name, versions in (("projects", (older, listed)), ("tasks", (first, tasks))):
+        for rows in versions:
+            rows.write.mode("append").json(f"{folder}/{name}")
+    subtask_payloads(spark, sf_dir).write.json(f"{folder}/subtasks")
+    return Landing(f"{folder}/projects", f"{folder}/tasks", subtasks=f"{folder}/subtasks")
+
+
 def time_entry_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time-entry payloads from ``events``; some lack a nested object."""
     user = F.col("user_id").cast("string")

@@ -146,6 +146,13 @@ OPEN_COLUMNS = """task_id, task_name, project_gid, project_name, assignee_gid, a
 ALL_ITEMS = ITEMS.format(open_parents_only="")
 OPEN_ITEMS = ITEMS.format(open_parents_only="WHERE NOT p.completed")
 
+# Some subtasks were landed several times.
+NEWEST_ITEMS = """newest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY modified_at DESC) AS version
+    FROM items)
+  WHERE version = 1)"""
+
 ENTRIES = f"""entries AS (
   SELECT CAST(event_id AS VARCHAR) AS entry_id, event_id AS number,
          CASE WHEN event_id % 5 <> 0 THEN CAST(user_id AS VARCHAR) END AS task_id,
@@ -240,7 +247,7 @@ recent AS (
   SELECT * FROM days
   WHERE d BETWEEN {AS_OF} - 30 AND {AS_OF} - 1 AND dayofweek(d) NOT IN (0, 6)
   ORDER BY d DESC LIMIT 7),
-base AS (SELECT avg(tasks) AS avg_tasks, round(avg(hours), 6) AS avg_hours FROM recent),
+base AS (SELECT avg(tasks) AS avg_tasks, avg(hours) AS avg_hours FROM recent),
 today AS (
   SELECT count(task_id) AS tasks_count,
          coalesce(sum(coalesce(actual_minutes, 0)), 0) / 60.0 AS total_hours,
@@ -254,9 +261,9 @@ compared AS (
   SELECT tasks_count, total_hours, estimated_hours, mtd_hours, mtd_tasks,
          coalesce(avg_tasks, 0) AS avg_tasks, coalesce(avg_hours, 0) AS avg_hours,
          CASE WHEN avg_tasks >= 1
-              THEN round((tasks_count - avg_tasks) / avg_tasks * 100.0, 1) END AS tasks_vs,
+              THEN round_even((tasks_count - avg_tasks) / avg_tasks * 100.0, 1) END AS tasks_vs,
          CASE WHEN avg_hours >= 1
-              THEN round((total_hours - avg_hours) / avg_hours * 100.0, 1) END AS hours_vs
+              THEN round_even((total_hours - avg_hours) / avg_hours * 100.0, 1) END AS hours_vs
   FROM today, base, so_far),
 figures AS (
   SELECT *, coalesce(abs(tasks_vs) >= 50, FALSE) OR coalesce(abs(hours_vs) >= 50, FALSE) AS warn
@@ -269,10 +276,11 @@ def _verify(where: str = "TRUE") -> str:
         WHERE project_name = 'Brand#11' AND assignee_name = 'Supplier#000000003' AND {where}),
       total AS (
         SELECT count(*) AS tasks_count,
-               round(sum(coalesce(actual_time, 0.0)), 6) AS total_actual_hours,
+               sum(coalesce(actual_time, 0.0)) AS total_actual_hours,
                sum(coalesce(estimated_time, 0.0)) AS total_estimated_minutes
         FROM chosen)
-      SELECT *, {_label('total_actual_hours * 60')} AS actual_label,
+      SELECT * REPLACE (round(total_actual_hours, 6) AS total_actual_hours),
+             {_label('total_actual_hours * 60')} AS actual_label,
              {_label('total_estimated_minutes')} AS estimated_label
       FROM total"""
 
@@ -403,9 +411,10 @@ STATEMENTS: dict[str, str] = {
       SELECT * EXCLUDE (rn) FROM numbered WHERE rn = 1""",
     "merge_upsert": _merge(),
     "stored_merge": _merge(),
-    "streamed_upsert": f"""WITH {ALL_ITEMS}
+    "streamed_upsert": f"""WITH {PROJECTS}, {ALL_ITEMS}, {NEWEST_ITEMS}
       SELECT {FLAT_COLUMNS}, {RUN_TS} AS inserted_at
-      FROM items WHERE NOT is_subtask AND completed AND completed_at IS NOT NULL""",
+      FROM newest WHERE completed AND completed_at IS NOT NULL
+        AND project_gid IN (SELECT gid FROM projects WHERE archived IS NOT TRUE)""",
     "minutes_backfill": f"""WITH {RAW}, holes AS (
         SELECT task_id, modified_at, estimated_time, actual_time,
                CASE WHEN line <> 3 THEN actual_time_raw END AS actual_time_raw,
@@ -422,6 +431,23 @@ STATEMENTS: dict[str, str] = {
     "snapshot_replace": f"""WITH {SNAPSHOT}
       SELECT {SNAPSHOT_COLUMNS} FROM snap
       UNION ALL SELECT {SNAPSHOT_COLUMNS} FROM ({YESTERDAY_SNAPSHOT})""",
+    "snapshot_of_landings": f"""WITH {PROJECTS}, {OPEN_ITEMS}, {NEWEST_ITEMS}, listed AS (
+        SELECT {OPEN_COLUMNS} FROM newest WHERE NOT completed
+          AND project_gid IN (SELECT gid FROM projects WHERE archived IS NOT TRUE))
+      SELECT *, {AS_OF} AS snapshot_date, TIMESTAMP '1998-06-17 07:00:00' AS snapshot_at,
+             coalesce(due_on < {AS_OF}, FALSE) AS is_overdue
+      FROM listed""",
+    "stored_rewrite": f"""WITH {RAW}, numbered AS (
+        SELECT *, row_number() OVER (
+          PARTITION BY task_id
+          ORDER BY coalesce(modified_at, inserted_at) DESC, inserted_at DESC, project_gid,
+                   coalesce(assignee_gid, ''), task_name) AS rn
+        FROM raw)
+      SELECT * EXCLUDE (rn) REPLACE (
+        coalesce(estimated_minutes, estimated_time) AS estimated_minutes,
+        coalesce(actual_time_raw, actual_time * 60.0) AS actual_minutes)
+      FROM numbered WHERE rn = 1""",
+    "stored_entries": f"WITH {ENTRIES} SELECT {ENTRY_COLUMNS} FROM entries",
     "time_entries_upsert": f"""WITH {ENTRIES}, parts AS (
         SELECT *, TIMESTAMP '2024-02-01' AS inserted_at FROM entries
         WHERE number % 2 = 0 AND number % 3 <> 0
@@ -500,9 +526,10 @@ STATEMENTS: dict[str, str] = {
              sum(coalesce(actual_minutes, 0)) / 60.0 AS total_hours,
              sum(coalesce(estimated_minutes, 0)) / 60.0 AS estimated_hours
       FROM uniq WHERE {_day('completed_at')} = {AS_OF}""",
-    "business7_baseline": f"WITH {DAILY} SELECT avg_tasks, avg_hours FROM base",
+    "business7_baseline": f"WITH {DAILY} SELECT avg_tasks, round(avg_hours, 6) AS avg_hours FROM base",
     "daily_deviation": f"""WITH {DAILY}
-      SELECT tasks_count, total_hours, avg_tasks, avg_hours, tasks_vs, hours_vs, warn
+      SELECT tasks_count, total_hours, avg_tasks, round(avg_hours, 6) AS avg_hours, tasks_vs,
+             hours_vs, warn
       FROM figures""",
     "daily_top_projects": _top_hours("project_name", f"{_day('completed_at')} = {AS_OF}"),
     "daily_top_assignees": _top_hours("assignee_name", f"{_day('completed_at')} = {AS_OF}"),
@@ -575,3 +602,8 @@ STATEMENTS: dict[str, str] = {
     "assignee_sample": f"""WITH {RAW}
       SELECT DISTINCT assignee_name FROM raw WHERE {NAMED} ORDER BY 1 LIMIT 10""",
 }
+
+# The same results through stored tables and published files.
+STATEMENTS["stored_daily_digest"] = STATEMENTS["daily_digest"]
+STATEMENTS["stored_monthly_latest"] = STATEMENTS["monthly_kpi_latest"]
+STATEMENTS["published_report"] = STATEMENTS["report_project_sheet"]

@@ -29,13 +29,21 @@ from effortlens.operators import (
     projects,
     reports,
     scans,
-    snapshot,
     upsert,
     views,
     weekly,
 )
 from effortlens.operators import open_tasks as open_digest
-from effortlens.sources.tables import COMPLETED_TASKS, KeyedTable
+from effortlens.plans import publish
+from effortlens.plans.snapshot import take_snapshot
+from effortlens.plans.warehouse import Warehouse
+from effortlens.sources.report_sink import publish_report
+from effortlens.sources.tables import (
+    COMPLETED_TASKS,
+    KeyedTable,
+    append_snapshot,
+    read_snapshots,
+)
 from effortlens.streaming.incremental import task_upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +75,15 @@ def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.snapshot_rows(rows, fx.AS_OF, datetime(1998, 6, 17, 7))
 
 
+def _six_decimals(df: DataFrame, *columns: str) -> DataFrame:
+    """Sums in another order differ in their last digits; compared values leave these off."""
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
+def _audited(df: DataFrame) -> DataFrame:
+    return _six_decimals(df, "total_actual_hours")
+
+
 # Sources and normalisation
 
 
@@ -246,11 +263,14 @@ def streamed_upsert(spark, sf_dir):
     """Orders streamed into a stored table; returns what the table holds afterwards."""
     folder = fx.scratch(spark)
     table = KeyedTable(spark, f"{folder}/table", COMPLETED_TASKS)
-    payloads = fx.payloads_of(fx.order_stream(spark, sf_dir)).withColumn(
-        "subtasks", F.lit(None).cast(f"array<{schema.SUBTASK.simpleString()}>")
-    )
+    payloads = fx.payloads_of(fx.order_stream(spark, sf_dir))
     stream = task_upsert_stream(
-        payloads, table, f"{folder}/checkpoint", clock=lambda: fx.RUN_TS
+        payloads,
+        table,
+        f"{folder}/checkpoint",
+        clock=lambda: fx.RUN_TS,
+        listing=lambda: fx.projects(spark, sf_dir),
+        subtasks=lambda: fx.subtask_payloads(spark, sf_dir),
     )
     stream.start().awaitTermination()
     return table.read().select(*[f.name for f in schema.COMPLETED_TASKS])
@@ -261,8 +281,8 @@ def minutes_backfill(spark, sf_dir):
     return upsert.backfill_minutes(fx.legacy_minutes(spark, sf_dir))
 
 
-def _history_and_snapshot(spark, sf_dir):
-    """Yesterday's snapshot and a first run of today's, then today's again."""
+def _stored_snapshots(spark, sf_dir, idempotent):
+    """Yesterday's snapshot and a first run of today's stored, then today's again."""
     today = _snapshot(spark, sf_dir)
     yesterday = today.withColumns(
         {
@@ -270,19 +290,85 @@ def _history_and_snapshot(spark, sf_dir):
             "snapshot_at": ntz_literal(datetime(1998, 6, 16, 7)),
         }
     )
-    return yesterday.unionByName(today), today
+    path = fx.scratch(spark)
+    for rows in (yesterday, today):
+        append_snapshot(rows, path)
+    append_snapshot(today, path, idempotent, fx.AS_OF)
+    return read_snapshots(spark, path)
 
 
 @_query
 def snapshot_append(spark, sf_dir):
-    history, today = _history_and_snapshot(spark, sf_dir)
-    return snapshot.append_snapshot(history, today)
+    return _stored_snapshots(spark, sf_dir, idempotent=False)
 
 
 @_query
 def snapshot_replace(spark, sf_dir):
-    history, today = _history_and_snapshot(spark, sf_dir)
-    return snapshot.append_snapshot(history, today, replaced_day=fx.AS_OF)
+    return _stored_snapshots(spark, sf_dir, idempotent=True)
+
+
+@_query
+def snapshot_of_landings(spark, sf_dir):
+    """Landing folders with an older, open version of every order: only the newer counts."""
+    folder = fx.scratch(spark)
+    landing = fx.landed_twice(spark, sf_dir, f"{folder}/landing")
+    house = Warehouse(f"{folder}/warehouse")
+    take_snapshot(spark, landing, house, datetime(1998, 6, 17, 7), fx.AS_OF)
+    return read_snapshots(spark, house.snapshots)
+
+
+def _stored_tasks(spark, sf_dir):
+    """A warehouse whose task table holds the latest completed version of each task."""
+    house = Warehouse(fx.scratch(spark))
+    done = fx.raw_tasks(spark, sf_dir).filter(F.col("completed_at").isNotNull())
+    house.completed(spark).merge(upsert.latest_in_batch(done), upsert.merge_tasks)
+    return house
+
+
+@_query
+def stored_daily_digest(spark, sf_dir):
+    return publish.daily_digest(spark, _stored_tasks(spark, sf_dir), fx.AS_OF).summary
+
+
+@_query
+def stored_monthly_latest(spark, sf_dir):
+    """The monthly KPI of the newest month, which the table's manifest names."""
+    return publish.monthly_digest(spark, _stored_tasks(spark, sf_dir)).kpi
+
+
+@_query
+def published_report(spark, sf_dir):
+    """A report published as CSV from the stored table and read back."""
+    house = _stored_tasks(spark, sf_dir)
+    rows = reports.report(house.unique(spark), "project")
+    publish_report(rows, "project", house.reports, fx.RUN_TS)
+    shown = reports.sheet(rows, fx.RUN_TS).schema
+    folder = f"{house.reports}/{reports.OUTPUT_NAMES['project']}"
+    return spark.read.schema(shown).option("header", True).csv(folder)
+
+
+@_query
+def stored_rewrite(spark, sf_dir):
+    """A table without actual minutes, re-clustered as a whole with the minutes filled in."""
+    table = KeyedTable(spark, fx.scratch(spark), COMPLETED_TASKS)
+    rows = upsert.latest_in_batch(fx.raw_tasks(spark, sf_dir))
+    table.merge(rows.withColumn("actual_minutes", F.lit(None).cast("double")), upsert.merge_tasks)
+    table.rewrite(upsert.backfill_minutes)
+    return table.read().select(*[f.name for f in schema.COMPLETED_TASKS])
+
+
+@_query
+def stored_entries(spark, sf_dir):
+    """Time entries merged into their table: half of them first, then all."""
+    entries = Warehouse(fx.scratch(spark)).entries(spark)
+    rows = normalize.time_entry_rows(fx.time_entry_payloads(spark, sf_dir))
+    number = F.col("entry_id").cast("bigint")
+    for part in (rows.filter(number % 2 == 0), rows):
+        entries.merge(
+            upsert.stage_entries(part, fx.RUN_TS),
+            lambda stored, new, small: upsert.replace_entries(stored, new),
+        )
+    return entries.read().select(*rows.columns)
 
 
 @_query
@@ -415,12 +501,12 @@ def daily_kpi(spark, sf_dir):
 
 @_query
 def business7_baseline(spark, sf_dir):
-    return daily.business_day_baseline(_unique(spark, sf_dir), fx.AS_OF)
+    return _six_decimals(daily.business_day_baseline(_unique(spark, sf_dir), fx.AS_OF), "avg_hours")
 
 
 @_query
 def daily_deviation(spark, sf_dir):
-    return daily.daily_deviation(_unique(spark, sf_dir), fx.AS_OF)
+    return _six_decimals(daily.daily_deviation(_unique(spark, sf_dir), fx.AS_OF), "avg_hours")
 
 
 @_query
@@ -496,18 +582,20 @@ def due_unset(spark, sf_dir):
 
 @_query
 def verify_overall(spark, sf_dir):
-    return audit.effort_total(_unique(spark, sf_dir), fx.PROJECT, fx.PERSON)
+    return _audited(audit.effort_total(_unique(spark, sf_dir), fx.PROJECT, fx.PERSON))
 
 
 @_query
 def verify_month_completed(spark, sf_dir):
-    return audit.effort_total(_unique(spark, sf_dir), fx.PROJECT, fx.PERSON, fx.MONTH)
+    return _audited(audit.effort_total(_unique(spark, sf_dir), fx.PROJECT, fx.PERSON, fx.MONTH))
 
 
 @_query
 def verify_month_modified(spark, sf_dir):
-    return audit.effort_total(
-        _unique(spark, sf_dir), fx.PROJECT, fx.PERSON, fx.MONTH, basis="modified"
+    return _audited(
+        audit.effort_total(
+            _unique(spark, sf_dir), fx.PROJECT, fx.PERSON, fx.MONTH, basis="modified"
+        )
     )
 
 
@@ -516,7 +604,7 @@ def verify_task_ids(spark, sf_dir):
     """Totals of the pair among the urgent orders' first lines and their subtasks."""
     urgent = fx.table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
     ids = urgent.select(F.concat(F.col("o_orderkey"), F.lit("-1")).alias("task_id"))
-    return audit.effort_total(_unique(spark, sf_dir), fx.PROJECT, fx.PERSON, task_ids=ids)
+    return _audited(audit.effort_total(_unique(spark, sf_dir), fx.PROJECT, fx.PERSON, task_ids=ids))
 
 
 @_query

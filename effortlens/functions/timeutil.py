@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 BUSINESS_ZONE = "Asia/Tokyo"
 
 _MONTH = re.compile(r"\d{4}-(0[1-9]|1[0-2])")
-_OFFSET_AT_END = r"T.*[+-]\d{2}:?\d{2}$"
+_OFFSET_AT_END = r"[T ].*[+-]\d{2}(:?\d{2})?$"
 _STEADY_FROM, _STEADY_UNTIL = (1970, 1, 1), (2100, 1, 1)
 _CALENDAR_DAY = r"^\d{4}-\d{1,2}-\d{1,2}$"
 

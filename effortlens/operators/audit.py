@@ -72,7 +72,7 @@ def effort_total(
     zero = F.lit(0.0)
     totals = tasks.agg(
         F.count(F.lit(1)).alias("tasks_count"),
-        F.round(F.sum(F.coalesce(F.col("actual_time"), zero)), 6).alias("total_actual_hours"),
+        F.sum(F.coalesce(F.col("actual_time"), zero)).alias("total_actual_hours"),
         F.sum(F.coalesce(F.col("estimated_time"), zero)).alias("total_estimated_minutes"),
     )
     return totals.withColumns(

@@ -65,7 +65,7 @@ def business_day_baseline(
     chosen = totals.filter(_is_baseline_day(day)).orderBy(F.col("day").desc())
     return chosen.limit(BASELINE_SIZE).agg(
         F.avg("tasks").alias("avg_tasks"),
-        F.round(F.sum("actual") / 60.0 / F.count("day"), 6).alias("avg_hours"),
+        (F.sum("actual") / 60.0 / F.count("day")).alias("avg_hours"),
     )
 
 
@@ -78,9 +78,12 @@ def month_to_date(unique: DataFrame, day: date, zone: str = BUSINESS_ZONE) -> Da
 
 
 def percent_change(value: Column, baseline: Column) -> Column:
-    """Change against a baseline in percent; null for a baseline too small to compare with."""
+    """Change against a baseline in percent, to one decimal with halves to even.
+
+    Null for a baseline too small to compare with.
+    """
     return F.when(
-        baseline >= SMALLEST_BASELINE, F.round((value - baseline) / baseline * 100.0, 1)
+        baseline >= SMALLEST_BASELINE, F.bround((value - baseline) / baseline * 100.0, 1)
     )
 
 
@@ -116,7 +119,7 @@ def daily_figures(unique: DataFrame, day: date, zone: str = BUSINESS_ZONE) -> Da
     averages = figures.withColumns(
         {
             "avg_tasks": F.coalesce(mean("tasks"), zero),
-            "avg_hours": F.round(F.coalesce(mean("actual"), zero) / 60.0, 6),
+            "avg_hours": F.coalesce(mean("actual"), zero) / 60.0,
         }
     )
     compared = averages.withColumns(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from effortlens.functions.timeutil import (
@@ -60,6 +60,20 @@ def completed_since(tasks: DataFrame, cutoff: datetime, by: str = "completed") -
     return tasks.filter(is_open | recent)
 
 
+def latest_payloads(payloads: DataFrame, *keys: str) -> DataFrame:
+    """The newest landed version of each key, by modification instant.
+
+    Landing folders keep every version; what is open or active *now* is known from the
+    newest one only. Versions of one instant are told apart by their other plain fields.
+    Each map task keeps one row per key before anything is shuffled.
+    """
+    plain = [f.name for f in payloads.schema if f.dataType.typeName() in ("string", "boolean")]
+    ties = [F.col(c).cast("string").desc_nulls_last() for c in plain if c not in keys]
+    order = [parse_instant(F.col("modified_at")).desc_nulls_last(), *ties]
+    newest = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return payloads.withColumn("version_rank", newest).filter("version_rank = 1").drop("version_rank")
+
+
 def still_open(tasks: DataFrame) -> DataFrame:
     """Payloads of incomplete tasks only."""
     return tasks.filter(F.col("completed").isNull() | ~F.col("completed"))

@@ -13,9 +13,6 @@ from effortlens.operators.open_tasks import on_snapshot
 
 UNASSIGNED = "(未割当)"  # fixed value
 
-# A caller's list of names is broadcast up to this many; beyond it Spark picks the join.
-ALLOW_LIST_BROADCAST_LIMIT = 50_000
-
 
 def week_start(day: Column) -> Column:
     return F.to_date(F.trunc(day, "week"))
@@ -41,18 +38,13 @@ def _of_allowed(
 
     Unassigned rows match no name and drop out unless they are asked for.
     """
-    spark = rows.sparkSession
+    named = rows.withColumn("assignee_name", F.trim("assignee_name"))
     if isinstance(allowed, DataFrame):
-        names, small = allowed.toDF("allowed_name").distinct(), False
+        names = allowed.toDF("allowed_name").distinct()
+        same = F.col("assignee_name") == F.col("allowed_name")
+        chosen = named.join(names, same, "left_semi")
     else:
-        listed = sorted(set(allowed))
-        names = spark.createDataFrame([(n,) for n in listed], "allowed_name string")
-        small = len(listed) <= ALLOW_LIST_BROADCAST_LIMIT
-    if small:
-        names = F.broadcast(names)
-    trimmed = F.trim("assignee_name")
-    named = rows.withColumn("assignee_name", trimmed)
-    chosen = named.join(names, F.col("assignee_name") == F.col("allowed_name"), "left_semi")
+        chosen = named.filter(F.col("assignee_name").isin(sorted(set(allowed))))
     if include_unassigned:
         nobody = named.filter(F.coalesce(F.col("assignee_name"), F.lit("")) == "")
         chosen = chosen.filter(F.col("assignee_name") != "").unionByName(

@@ -51,7 +51,11 @@ class MonthlyDigest:
 def monthly_digest(
     spark: SparkSession, warehouse: Warehouse, month: str | None = None, n: int = 5
 ) -> MonthlyDigest:
-    """Digest of a month, by default the latest that has completions."""
+    """Digest of a month, by default the latest that has completions.
+
+    Which month that is stands in the table's manifest, so one month is read either way.
+    """
+    month = month or warehouse.latest_month(spark)
     if month is None:
         unique = warehouse.unique(spark)
     else:
@@ -69,6 +73,25 @@ def is_monthly_digest_due(run_ts: datetime, forced: bool = False) -> bool:
     return forced or local_today(run_ts).day == 1
 
 
+@dataclass(frozen=True)
+class ExportRun:
+    published: dict[str, bool]
+    digest: MonthlyDigest | None
+
+
+def run_export(
+    spark: SparkSession,
+    warehouse: Warehouse,
+    run_ts: datetime,
+    month: str | None = None,
+    send_digest: bool = False,
+) -> ExportRun:
+    """The scheduled export: the three reports, and the monthly digest when it is due."""
+    published = publish_reports(spark, warehouse, run_ts)
+    due = is_monthly_digest_due(run_ts, forced=send_digest)
+    return ExportRun(published, monthly_digest(spark, warehouse, month) if due else None)
+
+
 @dataclass(frozen=True)
 class DailyDigest:
     summary: DataFrame

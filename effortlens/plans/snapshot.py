@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from effortlens import schema
 from effortlens.functions.timeutil import local_today
 from effortlens.operators import normalize, projects, scans
+from effortlens.plans.publish import WeeklyPlan, weekly_plan
 from effortlens.plans.warehouse import Landing, Warehouse
 from effortlens.sources import landing as land
 from effortlens.sources.tables import append_snapshot
 
 
+@dataclass(frozen=True)
+class SnapshotOutcome:
+    day: date
+    rejected: int
+    malformed: int
+
+
 def take_snapshot(
     spark: SparkSession,
     landing: Landing,
@@ -21,17 +31,46 @@ def take_snapshot(
     run_ts: datetime,
     as_of: date | None = None,
     idempotent: bool = False,
-) -> date:
+) -> SnapshotOutcome:
     """Store the open tasks of all active projects as of a local day, today by default.
 
-    The same day stamps the rows and decides what is overdue.
+    The same day stamps the rows and decides what is overdue. Landing folders keep every
+    version of a payload; only the newest of each project, task and subtask counts.
     """
     as_of = as_of or local_today(run_ts)
-    listed = projects.active_projects(land.read_projects(spark, landing.projects))
-    tasks = projects.of_projects(land.read_tasks(spark, landing.tasks), listed)
-    apart = land.read_subtasks(spark, landing.subtasks) if landing.subtasks else None
+    known = scans.latest_payloads(land.read_projects(spark, landing.projects), "gid")
+    listed = projects.active_projects(known)
+    lines, offered = Observation("lines"), Observation("offered")
+    landed = land.count_malformed(land.read_tasks(spark, landing.tasks), lines)
+    newest = scans.latest_payloads(landed, "project_gid", "gid")
+    tasks = projects.of_projects(newest, listed)
+    apart = None
+    if landing.subtasks:
+        apart = scans.latest_payloads(
+            land.read_subtasks(spark, landing.subtasks), "parent_gid", "gid"
+        )
     items = normalize.task_items(scans.still_open(tasks), apart)
     rows = normalize.snapshot_rows(normalize.open_task_rows(items), as_of, run_ts)
-    keyed = schema.reject_null_keys(rows, schema.OPEN_TASKS_SNAPSHOT)
-    append_snapshot(keyed, warehouse.snapshots, idempotent)
-    return as_of
+    keyed = schema.count_rejected(rows, schema.OPEN_TASKS_SNAPSHOT, offered)
+    append_snapshot(keyed, warehouse.snapshots, idempotent, as_of)
+    return SnapshotOutcome(as_of, offered.get["rejected"], lines.get["malformed"])
+
+
+@dataclass(frozen=True)
+class SnapshotRun:
+    snapshot: SnapshotOutcome
+    plan: WeeklyPlan
+
+
+def run_snapshot(
+    spark: SparkSession,
+    landing: Landing,
+    warehouse: Warehouse,
+    run_ts: datetime,
+    allowed: Sequence[str] | DataFrame,
+    as_of: date | None = None,
+    idempotent: bool = False,
+) -> SnapshotRun:
+    """The scheduled snapshot: open tasks stored, then the plan of their week."""
+    taken = take_snapshot(spark, landing, warehouse, run_ts, as_of, idempotent)
+    return SnapshotRun(taken, weekly_plan(spark, warehouse, taken.day, allowed))

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from effortlens.functions.timeutil import day_start_utc
 from effortlens.operators import metrics, normalize, projects, scans, upsert
 from effortlens.plans.publish import DailyDigest, daily_digest
 from effortlens.plans.warehouse import Landing, Warehouse
 from effortlens.sources import landing as land
-from effortlens.sources.tables import MergeResult
+from effortlens.sources.tables import KeyedTable, MergeResult
 
 
 @dataclass(frozen=True)
@@ -46,8 +46,9 @@ class SyncOutcome:
     merge: MergeResult
 
 
-def _watermark(stored: DataFrame) -> datetime | None:
-    text = scans.sync_watermark(stored).first().last_modified
+def _watermark(table: KeyedTable) -> datetime | None:
+    """Latest modification held, from the table's manifest."""
+    text = table.high_water()
     return datetime.strptime(text, "%Y-%m-%dT%H:%M:%S.%fZ") if text else None
 
 
@@ -65,15 +66,24 @@ def sync_completed(
     """
     table = warehouse.completed(spark)
     needs_watermark = not (options.full_sync or options.backfill_subtasks)
-    watermark = _watermark(table.read()) if needs_watermark else None
+    watermark = _watermark(table) if needs_watermark else None
     cutoff = scans.completed_since_cutoff(
         watermark, options.override(), options.backfill_subtasks, options.full_sync
     )
 
-    listed = projects.active_projects(land.read_projects(spark, landing.projects))
+    known = scans.latest_payloads(land.read_projects(spark, landing.projects), "gid")
+    listed = projects.active_projects(known)
     chosen = projects.named_like(listed, options.project_filter)
-    tasks = projects.of_projects(land.read_tasks(spark, landing.tasks), chosen)
-    apart = land.read_subtasks(spark, landing.subtasks) if landing.subtasks else None
+    # What was modified after the watermark was landed on its day or later.
+    since = cutoff.date() - timedelta(days=1) if watermark and cutoff == watermark else None
+    lines = Observation("lines")
+    landed = land.count_malformed(land.read_tasks(spark, landing.tasks, since), lines)
+    tasks = projects.of_projects(landed, chosen)
+    apart = None
+    if landing.subtasks:
+        apart = scans.latest_payloads(
+            land.read_subtasks(spark, landing.subtasks), "parent_gid", "gid"
+        )
     recent = scans.completed_since(tasks, cutoff, options.cutoff_by)
     items = normalize.task_items(recent, apart)
     rows = normalize.completed_task_rows(items, options.include_incomplete_subtasks)
@@ -84,8 +94,9 @@ def sync_completed(
         upsert.latest_in_batch(batch), upsert.merge_tasks, finish=upsert.backfill_minutes
     )
     figures = seen.get
+    malformed = lines.get["malformed"]
     return SyncOutcome(
-        run_ts, figures["tasks_processed"], figures["errors"], cutoff, merged
+        run_ts, figures["tasks_processed"], figures["errors"] + malformed, cutoff, merged
     )
 
 
@@ -123,12 +134,17 @@ def run_nightly(
     warehouse: Warehouse,
     run_ts: datetime,
     options: SyncOptions = SyncOptions(),
+    recluster: bool = False,
 ) -> NightlyRun:
     """The scheduled sync: tasks, yesterday's time entries, then yesterday's digest.
 
     Time entries that cannot be read or merged do not stop the run; why is reported.
+    ``recluster`` also rewrites the task table in range order and fills the minute columns
+    of months that no merge has touched.
     """
     tasks = sync_completed(spark, landing, warehouse, run_ts, options)
+    if recluster:
+        warehouse.completed(spark).rewrite(upsert.backfill_minutes)
     entries, problem = None, None
     if landing.time_entries:
         try:

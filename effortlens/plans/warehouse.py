@@ -40,6 +40,11 @@ class Warehouse:
     def users(self, spark: SparkSession) -> tables.KeyedTable:
         return tables.KeyedTable(spark, self._path("dim_users"), tables.DIM_USERS)
 
+    def latest_month(self, spark: SparkSession) -> str | None:
+        """Newest month with completions, as the manifest names it; nothing is read."""
+        dated = [m for m in self.completed(spark).labels() if m != tables.UNDATED]
+        return max(dated, default=None)
+
     @property
     def snapshots(self) -> str:
         return self._path("open_tasks_snapshot")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,6 +126,15 @@ def required_columns(schema: T.StructType) -> list[str]:
     return [field.name for field in schema if not field.nullable]
 
 
+def count_rejected(df: DataFrame, schema: T.StructType, observation: Observation) -> DataFrame:
+    """Only complete rows, see below; the others are counted as ``rejected`` on the way."""
+    complete = F.lit(True)
+    for name in required_columns(schema):
+        complete = complete & F.col(name).isNotNull()
+    counted = df.observe(observation, F.count(F.when(~complete, 1)).alias("rejected"))
+    return reject_null_keys(counted, schema)
+
+
 def reject_null_keys(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Keep only rows whose required columns are all present."""
     for name in required_columns(schema):

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Settings that let Spark size and split the work itself. The number of shuffle
-# partitions is an upper bound which adaptive execution merges down.
+# Settings that let Spark size and split the work itself. Adaptive execution merges small
+# shuffle partitions but never makes more of them, so a session for large inputs names
+# their size and starts from a number to match.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -28,9 +29,17 @@ def shuffle_partitions(input_bytes: int, cores: int, target_bytes: int = 128 <<
 
 
 def build_session(
-    app_name: str = "effortlens", master: str | None = None, **settings: str
+    app_name: str = "effortlens",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    cores: int = 1,
+    **settings: str,
 ) -> SparkSession:
+    """A session; with ``input_bytes`` its shuffles start wide enough for that much input."""
     builder = SparkSession.builder.appName(app_name)
+    if input_bytes is not None:
+        number = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        settings = {number: str(shuffle_partitions(input_bytes, cores)), **settings}
     if master:
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **settings}.items():

@@ -2,18 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from effortlens import schema
 
+# Text of a line that is no JSON object of the declared schema, null for good lines.
+MALFORMED = "malformed_line"
+
+
+def _with_malformed(fields: T.StructType) -> T.StructType:
+    return T.StructType([*fields, T.StructField(MALFORMED, T.StringType())])
+
+
+def count_malformed(landed: DataFrame, observation: Observation) -> DataFrame:
+    """The good lines; the others are counted as ``malformed`` while they are read."""
+    counted = landed.observe(observation, F.count(MALFORMED).alias("malformed"))
+    return counted.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+
 
 def read_projects(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema.PROJECT).json(path)
 
 
-def read_tasks(spark: SparkSession, path: str) -> DataFrame:
-    """One line per project and parent task, its subtasks inside."""
-    return spark.read.schema(schema.TASK).json(path)
+def read_tasks(spark: SparkSession, path: str, landed_since: date | None = None) -> DataFrame:
+    """One line per project and parent task, its subtasks inside.
+
+    Folders may be partitioned by ``landed_on=YYYY-MM-DD``; with a day given, only those
+    of that day and later are listed and read.
+    """
+    reader = spark.read.schema(_with_malformed(schema.TASK))
+    landed = reader.option("columnNameOfCorruptRecord", MALFORMED).json(path)
+    if landed_since is not None and "landed_on" in landed.columns:
+        landed = landed.filter(F.col("landed_on") >= F.lit(landed_since))
+    return landed
 
 
 def read_subtasks(spark: SparkSession, path: str) -> DataFrame:

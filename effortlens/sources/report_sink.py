@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 
 from effortlens.operators.reports import OUTPUT_NAMES, sheet
+from effortlens.sources.folders import move
 
 
 def publish_report(
     report_rows: DataFrame, kind: str, folder: str, updated_at: datetime
 ) -> bool:
-    """Replace a report's output; an empty result keeps what was published before."""
+    """Replace a report's output; an empty result keeps what was published before.
+
+    The new output is written beside the old one and takes its name once it is complete.
+    """
     if report_rows.isEmpty():
         return False
     published = sheet(report_rows, updated_at)
-    published.write.mode("overwrite").option("header", True).csv(
-        f"{folder.rstrip('/')}/{OUTPUT_NAMES[kind]}"
-    )
+    target = f"{folder.rstrip('/')}/{OUTPUT_NAMES[kind]}"
+    fresh = f"{folder.rstrip('/')}/_new-{uuid.uuid4().hex}"
+    published.write.option("header", True).csv(fresh)
+    move(report_rows.sparkSession, fresh, target)
     return True

@@ -4,8 +4,10 @@ Plain parquet has no MERGE, and overwriting the files a query reads destroys the
 keyed table therefore never changes a file: a merge writes the partitions it touches
 under a new commit folder, then appends a manifest naming the folder that now holds
 each partition. Readers follow the newest manifest and see either all of a merge or
-none of it; a job that dies half-way leaves only files nobody reads. One writer at a
-time is assumed.
+none of it; a job that dies half-way leaves only files nobody reads. A version is
+written under a name of its own, so of two writers that start from the same version the
+second fails and can run again. Versions beyond the last ``retain`` are removed with the
+data that only they name.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import re
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from effortlens import schema
-from effortlens.functions.timeutil import local_month
+from effortlens.functions.timeutil import iso_millis, local_month
+from effortlens.sources import folders
 
 UNDATED = "none"
 
@@ -32,10 +36,15 @@ _MANIFEST = T.StructType(
         T.StructField("stream_id", T.StringType()),
         T.StructField("stream_batch", T.LongType()),
         T.StructField("version", T.IntegerType()),
+        T.StructField("high_water", T.StringType()),
     ]
 )
 
 
+class WriteConflict(RuntimeError):
+    """Another writer has published the version that this one was about to."""
+
+
 @dataclass(frozen=True)
 class Layout:
     """How a keyed table is laid out: its key, its partitions and the order inside them."""
@@ -81,6 +90,7 @@ class _State:
     version: int = 0
     segments: dict[str, str] = field(default_factory=dict)
     streams: dict[str, int] = field(default_factory=dict)
+    high_water: str | None = None
 
 
 @dataclass(frozen=True)
@@ -88,14 +98,18 @@ class MergeResult:
     version: int
     rows: int
     rewritten: tuple[str, ...]
+    rejected: int = 0
 
 
 class KeyedTable:
     """A parquet table with one row per key, partitioned by month."""
 
-    def __init__(self, spark: SparkSession, path: str, layout: Layout):
+    def __init__(self, spark: SparkSession, path: str, layout: Layout, retain: int = 20):
         self.spark = spark
+        self.retain = retain
+        self.rejected = 0  # keyless rows that the last ``replace`` left out
         self.layout = layout
+        self.path = path.rstrip("/")
         self._data = f"{path.rstrip('/')}/data"
         self._manifests = f"{path.rstrip('/')}/manifests"
         self._staging = f"{path.rstrip('/')}/staging"
@@ -104,25 +118,37 @@ class KeyedTable:
 
     def _state(self) -> _State:
         """What the newest manifest says; only the names of the others are looked at."""
-        reader = self.spark.read.schema(_MANIFEST)
-        try:
-            files = reader.parquet(self._manifests).inputFiles()
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return _State()
-            raise
-        versions = [int(v) for f in files for v in re.findall(r"/version=(\d+)/", f)]
-        if not versions:
-            return _State()
-        newest = max(versions)
+        versions = self._versions()
+        return self._manifest(max(versions)) if versions else _State()
+
+    def _versions(self) -> list[int]:
+        """Complete versions, of which there are about ``retain``."""
+        names = folders.names_in(self.spark, self._manifests)
+        numbers = [int(n) for name in names for n in re.findall(r"^version=(\d+)$", name)]
+        newest = max(numbers, default=0)
+        # Only the newest can be one that a dying writer did not finish.
+        done = "_SUCCESS" in folders.names_in(self.spark, f"{self._manifests}/version={newest}")
+        return [n for n in numbers if n < newest or done]
+
+    def _manifest(self, version: int) -> _State:
         # One row per month or stream, however large the table is.
-        rows = reader.parquet(f"{self._manifests}/version={newest}").collect()
+        folder = f"{self._manifests}/version={version}"
+        rows = self.spark.read.schema(_MANIFEST).parquet(folder).collect()
         return _State(
-            newest,
+            version,
             {r.label: r.commit_id for r in rows if r.label is not None},
             {r.stream_id: r.stream_batch for r in rows if r.stream_id is not None},
+            max((r.high_water for r in rows if r.high_water), default=None),
         )
 
+    def labels(self) -> list[str]:
+        """Labels of the partitions that hold rows."""
+        return sorted(self._state().segments)
+
+    def high_water(self) -> str | None:
+        """Latest modification ever written, from the manifest alone; null without any."""
+        return self._state().high_water
+
     def version(self) -> int:
         return self._state().version
 
@@ -170,23 +196,32 @@ class KeyedTable:
         if stream is not None and state.streams.get(stream[0], -1) >= stream[1]:
             return MergeResult(state.version, 0, ())
 
-        staged, rows = self._stage(batch)
+        folder = f"{self._staging}/{uuid.uuid4().hex}"
+        try:
+            return self._merge(state, *self._stage(batch, folder), combine, finish, stream)
+        finally:
+            folders.delete(self.spark, folder)
+
+    def _merge(self, state, staged, rows, rejected, combine, finish, stream) -> MergeResult:
         if rows == 0:
-            return MergeResult(state.version, 0, ())
+            return MergeResult(state.version, 0, (), rejected)
         current = self._read(state)
         touched = self._touched(current, staged)
 
         names = [f.name for f in self.layout.schema]
         target = self._read(state, touched).select(*names)
         merged = finish(combine(target, staged.select(*names), self._is_small(staged)))
-        commit, present = self._write(self._balanced(merged))
+        commit, present, latest = self._write(self._balanced(merged))
         kept = {k: v for k, v in state.segments.items() if k not in touched}
         streams = {**state.streams, **({stream[0]: stream[1]} if stream else {})}
         published = _State(
-            state.version + 1, {**kept, **{label: commit for label in present}}, streams
+            state.version + 1,
+            {**kept, **{label: commit for label in present}},
+            streams,
+            max((w for w in (latest, state.high_water) if w), default=None),
         )
         self._publish(published)
-        return MergeResult(published.version, rows, tuple(sorted(touched)))
+        return MergeResult(published.version, rows, tuple(sorted(touched)), rejected)
 
     def rewrite(
         self, transform: Callable[[DataFrame], DataFrame] = lambda rows: rows
@@ -202,9 +237,9 @@ class KeyedTable:
         rows = self._labelled(transform(self._read(state).select(*names)))
         order = [self.layout.label, *self.layout.cluster_by, self.layout.key]
         ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        commit, present = self._write(ranged)
+        commit, present, latest = self._write(ranged)
         published = _State(
-            state.version + 1, {label: commit for label in present}, state.streams
+            state.version + 1, {label: commit for label in present}, state.streams, latest
         )
         self._publish(published)
         return published.version
@@ -212,12 +247,14 @@ class KeyedTable:
     def replace(self, rows: DataFrame) -> int:
         """Publish ``rows`` as the table's whole new content; they may be read from it."""
         state = self._state()
-        complete = schema.reject_null_keys(rows, self.layout.schema)
-        commit, present = self._write(self._balanced(complete))
+        offered = Observation("offered")
+        complete = schema.count_rejected(rows, self.layout.schema, offered)
+        commit, present, latest = self._write(self._balanced(complete))
         published = _State(
-            state.version + 1, {label: commit for label in present}, state.streams
+            state.version + 1, {label: commit for label in present}, state.streams, latest
         )
         self._publish(published)
+        self.rejected = offered.get["rejected"]
         return published.version
 
     def _labelled(self, rows: DataFrame) -> DataFrame:
@@ -228,14 +265,14 @@ class KeyedTable:
         labelled = self._labelled(rows).hint("rebalance", self.layout.label)
         return labelled.sortWithinPartitions(self.layout.label, *self.layout.cluster_by)
 
-    def _stage(self, batch: DataFrame) -> tuple[DataFrame, int]:
-        folder = f"{self._staging}/{uuid.uuid4().hex}"
-        counted = Observation("staged")
-        complete = schema.reject_null_keys(batch, self.layout.schema)
+    def _stage(self, batch: DataFrame, folder: str) -> tuple[DataFrame, int, int]:
+        """The batch at rest, its rows, and those left out because a required value lacks."""
+        counted, offered = Observation("staged"), Observation("offered")
+        complete = schema.count_rejected(batch, self.layout.schema, offered)
         labelled = self._labelled(complete).observe(counted, F.count(F.lit(1)).alias("rows"))
         labelled.write.parquet(folder)
         staged = self.spark.read.schema(labelled.schema).parquet(folder)
-        return staged, counted.get["rows"]
+        return staged, counted.get["rows"], offered.get["rejected"]
 
     def _touched(self, current: DataFrame, staged: DataFrame) -> list[str]:
         """Months of the batch's new rows and of the rows they replace."""
@@ -252,21 +289,48 @@ class KeyedTable:
         limit = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
         return size <= _bytes(limit)
 
-    def _write(self, labelled: DataFrame) -> tuple[str, list[str]]:
+    def _write(self, labelled: DataFrame) -> tuple[str, list[str], str | None]:
+        """The commit, the labels that have rows, and the latest modification written."""
         commit = uuid.uuid4().hex
         seen = Observation("written")
-        observed = labelled.observe(seen, F.collect_set(self.layout.label).alias("labels"))
+        dated = "modified_at" in labelled.columns
+        latest = iso_millis(F.max("modified_at")) if dated else F.lit(None).cast("string")
+        observed = labelled.observe(
+            seen, F.collect_set(self.layout.label).alias("labels"), latest.alias("latest")
+        )
         observed.write.partitionBy(self.layout.label).parquet(
             f"{self._data}/commit_id={commit}"
         )
-        return commit, list(seen.get["labels"])
+        return commit, list(seen.get["labels"]), seen.get["latest"]
 
     def _publish(self, state: _State) -> None:
-        rows = [(None, None, None, None, state.version)]
-        rows += [(k, v, None, None, state.version) for k, v in state.segments.items()]
-        rows += [(None, None, k, v, state.version) for k, v in state.streams.items()]
+        v = state.version
+        rows = [(None, None, None, None, v, state.high_water)]
+        rows += [(k, c, None, None, v, None) for k, c in state.segments.items()]
+        rows += [(None, None, k, b, v, None) for k, b in state.streams.items()]
         manifest = self.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
-        manifest.write.mode("append").partitionBy("version").parquet(self._manifests)
+        try:
+            manifest.write.mode("errorifexists").parquet(f"{self._manifests}/version={v}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise WriteConflict(f"version {v} has been published by another writer") from error
+        self._forget()
+
+    def _forget(self) -> None:
+        """Remove the versions beyond ``retain`` and the data that no other names."""
+        versions = sorted(self._versions())
+        old, kept = versions[: -self.retain], versions[-self.retain :]
+        if not old:
+            return
+        named = {s for v in kept for s in self._manifest(v).segments.items()}
+        for version in old:
+            for label, commit in set(self._manifest(version).segments.items()) - named:
+                folder = f"{self._data}/commit_id={commit}"
+                folders.delete(self.spark, f"{folder}/{self.layout.label}={label}")
+                if set(folders.names_in(self.spark, folder)) <= {"_SUCCESS"}:
+                    folders.delete(self.spark, folder)
+            folders.delete(self.spark, f"{self._manifests}/version={version}")
 
 
 def _bytes(text: str) -> int:
@@ -277,13 +341,17 @@ def _bytes(text: str) -> int:
     return int(digits) * units[plain[len(digits) :][:1]]
 
 
-def append_snapshot(rows: DataFrame, path: str, idempotent: bool = False) -> None:
+def append_snapshot(
+    rows: DataFrame, path: str, idempotent: bool = False, day: date | None = None
+) -> None:
     """Add a snapshot to the stored history, one folder per day.
 
     A rerun on the same day adds the rows again unless ``idempotent`` is set, which
-    replaces the days present in ``rows``. Nothing is shuffled; the order inside each
-    file lets a scan skip to a project.
+    replaces the days present in ``rows``, and ``day`` even if there are none for it any
+    more. Nothing is shuffled; the order inside each file lets a scan skip to a project.
     """
+    if idempotent and day is not None and rows.isEmpty():
+        folders.delete(rows.sparkSession, f"{path.rstrip('/')}/snapshot_date={day}")
     ordered = rows.sortWithinPartitions("snapshot_date", "project_gid", "assignee_gid")
     writer = ordered.write.partitionBy("snapshot_date")
     if idempotent:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
-from effortlens.operators import normalize, upsert
+from effortlens.operators import normalize, projects, scans, upsert
 from effortlens.session import checkpoint_folder
 from effortlens.sources.tables import KeyedTable
 
@@ -23,11 +24,18 @@ def task_upsert_stream(
     checkpoint: str | None = None,
     include_incomplete_subtasks: bool = False,
     clock: Callable[[], datetime] = _utc_now,
+    listing: Callable[[], DataFrame] | None = None,
+    project_filter: str | None = None,
+    subtasks: Callable[[], DataFrame] | None = None,
 ) -> DataStreamWriter:
     """Writer that merges each micro-batch of the task stream; the caller starts it.
 
+    ``listing`` and ``subtasks`` read the landed projects and detached subtasks anew for each
+    micro-batch, which then keeps the tasks of active, matching projects only, as the batch
+    sync does. Subtasks come in with their parent's payload.
+
     The checkpoint takes the place of a modification watermark; it defaults to a folder
-    below the one the cluster names for checkpoints. Each merge records the
+    of the table's own below the one the cluster names for checkpoints. Each merge records the
     query and micro-batch it came from in the version it publishes, so a micro-batch
     replayed after a failure between merge and checkpoint is not merged again.
     """
@@ -35,7 +43,14 @@ def task_upsert_stream(
     def merge(payloads: DataFrame, batch_id: int) -> None:
         context = payloads.sparkSession.sparkContext
         query_id = context.getLocalProperty("sql.streaming.queryId")
-        items = normalize.task_items(payloads)
+        if listing is not None:
+            known = projects.active_projects(scans.latest_payloads(listing(), "gid"))
+            chosen = projects.named_like(known, project_filter)
+            payloads = projects.of_projects(payloads, chosen)
+        apart = None
+        if subtasks is not None:
+            apart = scans.latest_payloads(subtasks(), "parent_gid", "gid")
+        items = normalize.task_items(payloads, apart)
         rows = normalize.completed_task_rows(items, include_incomplete_subtasks)
         batch = upsert.latest_in_batch(upsert.stage_batch(rows, clock()))
         table.merge(
@@ -45,7 +60,8 @@ def task_upsert_stream(
             stream=(query_id, batch_id) if query_id else None,
         )
 
-    folder = checkpoint or checkpoint_folder(table.spark, "task-upsert")
+    own = hashlib.sha256(table.path.encode()).hexdigest()[:16]
+    folder = checkpoint or checkpoint_folder(table.spark, f"task-upsert-{own}")
     return (
         tasks.writeStream.foreachBatch(merge)
         .option("checkpointLocation", folder)

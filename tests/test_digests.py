@@ -72,6 +72,7 @@ def test_both_view_forms_agree_on_a_unique_table(completed_rows):
         (10, 15, 50.0, True),
         (10, 5, -50.0, True),
         (10, 14, 40.0, False),
+        (16, 17, 6.2, False),  # 6.25, halves to even
         (0, 3, None, False),
     ],
 )
@@ -89,6 +90,7 @@ def test_deviation(worked, baseline_tasks, today, expected, warn):
     [
         (600, 900, 50.0, True),
         (600, 894, 49.0, False),
+        (59.99999, 600, None, False),  # just short of an hour
         (54, 600, None, False),  # mean of 0.9 h is too small to compare with
         (60, 60, 0.0, False),
     ],

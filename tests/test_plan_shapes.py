@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
+from effortlens.checks.queries import all_queries
 from effortlens import schema
 from effortlens.checks import fixtures as fx
 from effortlens.operators import daily, open_tasks, reports, upsert, views, weekly
@@ -44,7 +45,7 @@ def test_top_lists_never_sort_everything(spark, sf_dir, name):
 
 
 def test_no_query_makes_pairs_or_runs_python(spark, sf_dir):
-    for name, query in registry.queries().items():
+    for name, query in all_queries().items():
         plan = plan_of(query(spark, sf_dir))
         for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):
             assert operator not in plan, name
@@ -73,6 +74,13 @@ def test_stored_day_scan_is_pruned_pushed_and_unshuffled(spark, stored):
     assert all("1998-06" in f for f in unique.inputFiles())
 
 
+def test_watermark_and_latest_month_come_from_the_manifest(spark, stored):
+    newest = stored.read().agg(F.max("modified_at")).first()[0]
+    assert stored.high_water() == newest.strftime("%Y-%m-%dT%H:%M:%S.") + "000Z"
+    months = [r[0] for r in stored.read().select("completed_month_jst").distinct().collect()]
+    assert stored.labels() == sorted(months)
+
+
 def test_partition_column_prunes_too(spark, stored):
     plan = plan_of(stored.read().filter(F.col("completed_month_jst") == "1998-06"))
     assert re.search(r"PartitionFilters: \[isnotnull\(completed_month_jst", plan)
@@ -99,14 +107,13 @@ def test_small_batch_leaves_the_target_unshuffled(spark, stored, completed_rows,
     assert "FullOuter" in plan_of(upsert.merge_tasks(target, batch))
 
 
-def test_allow_list_is_broadcast_and_overdue_is_one_partition(spark, sf_dir, tmp_path):
+def test_allow_list_is_a_filter_and_overdue_is_one_partition(spark, sf_dir, tmp_path):
     path = str(tmp_path / "snap")
     query = registry.queries()["open_tasks_overdue"]
     tables.append_snapshot(query(spark, sf_dir), path)
     snaps = tables.read_snapshots(spark, path)
     plan = plan_of(weekly.assignee_plan(snaps, fx.AS_OF, fx.ALLOWED))
-    assert "BroadcastHashJoin" in plan and "LeftSemi, BuildRight" in plan
-    assert "PartitionFilters: [isnotnull(snapshot_date" in plan
+    assert "Join" not in plan and "PartitionFilters: [isnotnull(snapshot_date" in plan
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan_of(
         open_tasks.open_top_projects(snaps, fx.AS_OF)
     )

@@ -1,27 +1,30 @@
 """Whole runs from landed payloads to published output."""
 
 import csv
+import json
 from datetime import date, datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from effortlens.operators import normalize, upsert
+from effortlens.operators import normalize, reports, upsert
 from effortlens.plans.publish import (
     daily_digest,
     is_monthly_digest_due,
     monthly_digest,
     open_summary,
     publish_reports,
+    run_export,
     seed_dimensions,
     weekly_plan,
 )
-from effortlens.plans.snapshot import take_snapshot
+from effortlens.plans.snapshot import run_snapshot, take_snapshot
 from effortlens.plans.sync import SyncOptions, run_nightly, sync_completed, sync_time_entries
 from effortlens.plans.warehouse import Landing, Warehouse
 from effortlens.session import checkpoint_folder
 from effortlens.sources import landing as source
-from effortlens.sources.tables import COMPLETED_TASKS, KeyedTable
+from effortlens.sources.tables import COMPLETED_TASKS, KeyedTable, read_snapshots
 from effortlens.streaming.incremental import task_upsert_stream
 
 RUN = datetime(2024, 6, 1, 3)
@@ -191,8 +194,9 @@ def test_checkpoint_folder_is_the_clusters():
 
 def test_snapshot_and_weekly_plan(spark, folders):
     landing, house = folders
-    day = take_snapshot(spark, landing, house, RUN)
-    assert day == date(2024, 6, 1)
+    taken = take_snapshot(spark, landing, house, RUN)
+    day = taken.day
+    assert (day, taken.rejected, taken.malformed) == (date(2024, 6, 1), 0, 0)
     summary = open_summary(spark, house, day)
     assert tuple(summary.kpi.first()) == (2, 2)
     assert [tuple(r) for r in summary.top_projects.collect()] == [(" Site ", 2)]
@@ -206,6 +210,82 @@ def test_snapshot_and_weekly_plan(spark, folders):
     assert open_summary(spark, house, day).kpi.first().open_count == 2
 
 
+def test_snapshot_counts_the_newest_version_only(spark, land, tmp_path):
+    """t1 was open, then done; t2 was landed twice; p3 was archived later."""
+    later = "2024-05-25T00:00:00.000Z"
+    landing = Landing(land("projects", PROJECTS), land("tasks", [
+        task("t1"), task("t2"), task("app", project_gid="p3"), task("keyless", project_name=None),
+    ]))
+    land("tasks", [task("t1", later, later), task("t2", modified=later)], part=1)
+    land("projects", [{"gid": "p3", "name": "App", "archived": True, "modified_at": later}], part=1)
+    house = Warehouse(str(tmp_path / "warehouse"))
+    run = run_snapshot(spark, landing, house, RUN, ["Ann"])
+    rows = read_snapshots(spark, house.snapshots).collect()
+    assert sorted(r.task_id for r in rows) == ["keyless", "t2"]
+    assert run.plan.assignees.first().prev_overdue_tasks == 2
+    # A rerun that finds nothing open leaves nothing of the day.
+    land("tasks", [task(t, later, "2024-05-26T00:00:00.000Z") for t in ("t2", "keyless")], part=2)
+    take_snapshot(spark, landing, house, RUN, idempotent=True)
+    assert read_snapshots(spark, house.snapshots).count() == 0
+
+
+def test_detached_subtasks_count_once(spark, land, tmp_path):
+    child = {k: v for k, v in task("c").items() if not k.startswith("project")}
+    landing = Landing(
+        land("projects", PROJECTS),
+        land("tasks", [task("parent", num_subtasks=1)]),
+        subtasks=land("subtasks", [{**child, "parent_gid": "parent"}] * 2),
+    )
+    house = Warehouse(str(tmp_path / "warehouse"))
+    taken = take_snapshot(spark, landing, house, RUN)
+    rows = read_snapshots(spark, house.snapshots).collect()
+    assert sorted(r.task_id for r in rows) == ["c", "parent"] and taken.malformed == 0
+
+
+def test_nothing_is_lost_without_a_trace(spark, land, tmp_path):
+    folder = land("tasks", [task("good", "2024-05-14T15:00:00.000Z"),
+                            task(None, "2024-05-14T15:00:00.000Z")])
+    (Path(folder) / "part-009.json").write_text('{"project_gid": "p1", "gid": \n')
+    landing, house = Landing(land("projects", PROJECTS), folder), Warehouse(str(tmp_path / "w"))
+    outcome = sync_completed(spark, landing, house, RUN)
+    assert (outcome.tasks_processed, outcome.errors) == (2, 2)
+    assert (outcome.merge.rows, outcome.merge.rejected) == (1, 1)
+    assert take_snapshot(spark, landing, house, RUN).malformed == 1
+
+
+def test_landing_days_before_the_watermark_are_not_read(spark, tmp_path):
+    for day, gid in (("2024-05-01", "a"), ("2024-05-20", "b")):
+        folder = tmp_path / "tasks" / f"landed_on={day}"
+        folder.mkdir(parents=True)
+        line = task(gid, f"{day}T00:00:00.000Z", f"{day}T00:00:00.000Z")
+        (folder / "part.json").write_text(json.dumps(line))
+    rows = source.read_tasks(spark, str(tmp_path / "tasks"), date(2024, 5, 19))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "landed_on" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert [r.gid for r in rows.collect()] == ["b"]
+
+
+def test_export_sends_the_digest_when_due(spark, folders):
+    landing, house = folders
+    sync_completed(spark, landing, house, RUN)
+    first = run_export(spark, house, datetime(2024, 5, 31, 15))  # June 1st in Tokyo
+    assert set(first.published.values()) == {True}
+    assert first.digest.kpi.first().month == "2024-05"
+    assert run_export(spark, house, datetime(2024, 6, 5)).digest is None
+    files = house.unique(spark, date(2024, 5, 1), date(2024, 5, 31)).inputFiles()
+    assert set(first.digest.kpi.inputFiles()) == set(files)
+    assert sorted(p.name for p in Path(house.reports).iterdir()) == sorted(reports.OUTPUT_NAMES.values())
+
+
+def test_nightly_recluster_fills_untouched_months(spark, folders):
+    landing, house = folders
+    sync_completed(spark, landing, house, RUN)
+    table = house.completed(spark)
+    table.rewrite(lambda rows: rows.withColumn("actual_minutes", F.lit(None).cast("double")))
+    run_nightly(spark, landing, house, datetime(2024, 5, 15, 20), recluster=True)
+    assert {r.actual_minutes for r in table.read().collect()} == {90.0}
+
+
 def test_monthly_digest_is_due_on_the_first_local_day():
     assert is_monthly_digest_due(datetime(2024, 5, 31, 15))
     assert not is_monthly_digest_due(datetime(2024, 6, 1, 15))
@@ -258,3 +338,27 @@ def test_stream_ends_where_the_batch_does(spark, land, tmp_path, files_per_batch
     assert table.version() == 2
     # The query and micro-batch behind each version are on record.
     assert list(table._state().streams.values()) == [1]
+
+
+def test_stream_keeps_to_active_projects_like_the_batch(spark, folders, land, tmp_path):
+    landing, house = folders
+    child = {k: v for k, v in task("c", "2024-05-03T00:00:00.000Z").items() if not k.startswith("project")}
+    subtasks = land("subtasks", [{**child, "parent_gid": "app2"}, {**child, "parent_gid": "x"}])
+    land("tasks", [task("app2", "2024-05-15T00:00:00.000Z", project_gid="p3", project_name="App",
+                        num_subtasks=1)], part=1)
+    landing = Landing(landing.projects, landing.tasks, subtasks=subtasks)
+    table = KeyedTable(spark, str(tmp_path / "streamed"), COMPLETED_TASKS)
+    task_upsert_stream(
+        source.stream_tasks(spark, landing.tasks),
+        table,
+        str(tmp_path / "checkpoint"),
+        clock=lambda: RUN,
+        listing=lambda: source.read_projects(spark, landing.projects),
+        subtasks=lambda: source.read_subtasks(spark, subtasks),
+    ).start().awaitTermination(300)
+    sync_completed(spark, landing, house, RUN)
+    columns = table.read().columns
+    streamed = sorted(map(tuple, table.read().collect()), key=str)
+    batch = house.completed(spark).read().select(columns)
+    assert streamed == sorted(map(tuple, batch.collect()), key=str)
+    assert {r[columns.index("task_id")] for r in streamed} == {"may", "april", "app", "app2", "c"}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from effortlens import schema
 from effortlens.operators import upsert
-from effortlens.sources import tables
+from effortlens.sources import folders, tables
 
 JAN, FEB, MAR = datetime(2024, 1, 10), datetime(2024, 2, 10), datetime(2024, 3, 10)
 
@@ -210,3 +210,37 @@ def test_nothing_is_left_behind_outside_the_table(tmp_path, table, completed_row
         "manifests",
         "staging",
     }
+
+
+def test_the_second_of_two_writers_fails(spark, tmp_path, completed_rows):
+    table = tables.KeyedTable(spark, str(tmp_path / "t"), tables.COMPLETED_TASKS)
+    rows = completed_rows({"task_id": "a", "completed_at": datetime(2024, 1, 5)})
+    late = table._state()
+    table.merge(rows, upsert.merge_tasks)
+    late.version = 1
+    with pytest.raises(tables.WriteConflict):
+        table._publish(late)
+    assert [r.task_id for r in table.read().collect()] == ["a"]
+
+
+def test_old_versions_and_staging_do_not_pile_up(spark, tmp_path, completed_rows):
+    table = tables.KeyedTable(spark, str(tmp_path / "t"), tables.COMPLETED_TASKS, retain=3)
+    for n in range(1, 9):
+        month = datetime(2024, 1 + n % 2, 5)
+        row = {"task_id": f"t{n}", "completed_at": month, "modified_at": month}
+        table.merge(completed_rows(row), upsert.merge_tasks)
+    assert table.version() == 8 and table.read().count() == 8
+    names = sorted(p.name for p in (tmp_path / "t" / "manifests").iterdir() if p.is_dir())
+    assert names == ["version=6", "version=7", "version=8"]
+    held = [p for p in (tmp_path / "t" / "data").glob("commit_id=*/completed_month_jst=*")]
+    assert len(held) <= 4
+    assert not list((tmp_path / "t" / "staging").glob("*"))
+
+
+def test_report_is_replaced_as_a_whole(spark, tmp_path):
+    for source, name in (("new1", "one"), ("new2", "two")):
+        folder = str(tmp_path / source)
+        spark.createDataFrame([(name,)], "a string").write.csv(folder)
+        folders.move(spark, folder, str(tmp_path / "final"))
+    assert [r[0] for r in spark.read.csv(str(tmp_path / "final")).collect()] == ["two"]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["final"]

@@ -101,3 +101,10 @@ def test_months_between():
 def test_local_today():
     assert tu.local_today(datetime(2024, 1, 31, 15)) == date(2024, 2, 1)
     assert tu.local_today(datetime(2024, 1, 31, 14, 59)) == date(2024, 1, 31)
+
+
+def test_offsets_after_a_space_and_without_minutes(spark):
+    want = datetime(2024, 1, 1)
+    for text in ("2024-01-01 09:00:00+09:00", "2024-01-01T09:00:00+09", "2024-01-01T09:00:00+0900"):
+        assert one(spark, text, "string", tu.parse_instant) == want
+    assert one(spark, "2024-01-01", "string", tu.parse_instant) == want
