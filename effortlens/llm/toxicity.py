@@ -22,6 +22,7 @@ scored alike; an empty table gives an empty result; other columns pass through u
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,48 +43,49 @@ DISCOUNT = 0.75
 STRONGEST = 4
 STRONG_ENOUGH = 5.0  # evidence beyond this counts less
 THRESHOLD = 0.3
+SLICE_BYTES = 2 << 20  # of text whose words are told apart at a time
 
 _U = np.uint64
 _START, _STOP = 1, 2
 _COUNTED = "gram long, context long, n long"
 
 
-@dataclass
 class Grams:
     """The bytes of some words between a start and a stop mark, and hashes of their grams.
 
-    ``gram[k]`` holds the hash of the k bytes that end at each byte, ``context[k]`` that of
-    the k - 1 bytes before it; ``depth`` is how many bytes the longest gram there has.
+    ``depth`` is how many bytes the longest gram that ends at a byte has; ``event`` is false
+    at start marks only.
     """
 
-    word: np.ndarray
-    depth: np.ndarray
-    event: np.ndarray
-    gram: list[np.ndarray]
-    context: list[np.ndarray]
-
-    @classmethod
-    def of(cls, words: Words, which: np.ndarray) -> Grams:
-        """Grams of the words with these indices."""
+    def __init__(self, words: Words, which: np.ndarray):
         start, length = words.start[which], words.end[which] - words.start[which] + 2
         first = np.cumsum(length) - length
-        word = np.repeat(np.arange(len(which)), length)
-        rel = np.arange(len(word)) - first[word]
-        inner = (rel > 0) & (rel < length[word] - 1)
-        marks = np.where(rel == 0, _START, _STOP).astype(np.uint64)
-        marks[inner] = words.lower[(start[word] + rel - 1)[inner]]
-        step = mix(marks)
-        gram = [np.zeros(len(word), np.uint64), step]
-        context = [np.zeros(len(word), np.uint64), np.zeros(len(word), np.uint64)]
+        self.word = np.repeat(np.arange(len(which), dtype=np.int32), length)
+        rel = np.arange(len(self.word)) - first[self.word]
+        inner = (rel > 0) & (rel < length[self.word] - 1)
+        marks = np.where(rel == 0, _START, _STOP).astype(np.uint8)
+        marks[inner] = words.lower[(start[self.word] + rel - 1)[inner]]
+        self._marks = marks
+        self.depth = np.minimum(rel + 1, ORDER).astype(np.int8)
+        self.event = rel > 0
+
+    def levels(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For k = 1 to ORDER the hashes of the k bytes that end at each byte, and of the
+        k - 1 bytes before it; one level at a time is held."""
+        step = mix(np.arange(256, dtype=np.uint64))[self._marks]
+        gram = step
+        yield 1, gram, np.zeros(len(step), np.uint64)
         for k in range(2, ORDER + 1):
-            before = np.concatenate([[_U(0)], gram[k - 1][:-1]])
-            gram.append(mix(before * _U(0x9E3779B97F4A7C15) + step + _U(k)))
-            context.append(mix(before + _U(k)))
-        return cls(word, np.minimum(rel + 1, ORDER), rel > 0, gram, context)
+            before = np.concatenate([[_U(0)], gram[:-1]])
+            gram = mix(before * _U(0x9E3779B97F4A7C15) + step + _U(k))
+            yield k, gram, mix(before + _U(k))
 
     def longest(self) -> tuple[np.ndarray, np.ndarray]:
-        rows = np.arange(len(self.word))
-        return (np.stack(self.gram)[self.depth, rows], np.stack(self.context)[self.depth, rows])
+        gram, context = np.zeros((2, len(self.word)), np.uint64)
+        for k, g, c in self.levels():
+            at = self.depth == k
+            gram[at], context[at] = g[at], c[at]
+        return gram, context
 
 
 def _summed(gram: np.ndarray, context: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -140,13 +142,15 @@ class ToxicityModel:
 
     def evidence(self, words: Words, which: np.ndarray) -> np.ndarray:
         """Log-likelihood ratio of each word with these indices."""
-        g = Grams.of(words, which)
+        g = Grams(words, which)
         lower = np.full(len(g.word), 1 / 256)
-        for k in range(1, ORDER):
+        gram, context = np.zeros((2, len(g.word)), np.uint64)
+        for k, level, before in g.levels():
+            at = g.depth == k
+            gram[at], context[at] = level[at], before[at]
             at = g.event & (g.depth > k)
-            lower[at] = self.shared.smooth(g.gram[k][at], g.context[k][at], lower[at])
-        gram, context = (x[g.event] for x in g.longest())
-        lower = lower[g.event]
+            lower[at] = self.shared.smooth(level[at], before[at], lower[at])
+        gram, context, lower = gram[g.event], context[g.event], lower[g.event]
         ratio = np.log(self.toxic.smooth(gram, context, lower)) - np.log(
             self.ordinary.smooth(gram, context, lower)
         )
@@ -156,7 +160,7 @@ class ToxicityModel:
     def features(self, texts: pa.Array) -> np.ndarray:
         """For each text the mean evidence of its words, of its strongest ones, and the median."""
         parts = [np.zeros((0, 4))]
-        for at, to, words in slices(texts, 8 << 20):
+        for at, to, words in slices(texts, SLICE_BYTES):
             n = to - at
             _, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
             value = self.evidence(words, first)[inverse] if len(first) else np.zeros(0)
@@ -188,7 +192,7 @@ def _corpus_words(texts: DataFrame) -> DataFrame:
 
     def distinct(batches):
         for batch in batches:
-            for _, _, words in slices(batch.column(0), 8 << 20):
+            for _, _, words in slices(batch.column(0), SLICE_BYTES):
                 _, first = np.unique(words.hash, return_index=True)
                 yield pa.RecordBatch.from_pydict(
                     {"word": pa.array([words.lower[words.start[i] : words.end[i]].tobytes() for i in first], pa.binary())}
@@ -204,10 +208,10 @@ def _type_counts(vocabulary: DataFrame) -> DataFrame:
         for batch in batches:
             joined = pa.array([b" ".join(batch.column(0).to_pylist())], pa.binary()).cast(pa.string())
             for _, _, words in slices(joined):
-                g = Grams.of(words, np.arange(len(words.start)))
-                for k in range(1, ORDER):
+                g = Grams(words, np.arange(len(words.start)))
+                for k, gram, context in g.levels():
                     at = g.event & (g.depth > k)
-                    yield _summed(g.gram[k][at], g.context[k][at], np.ones(at.sum()))
+                    yield _summed(gram[at], context[at], np.ones(at.sum()))
 
     return vocabulary.mapInArrow(count, _COUNTED).groupBy("gram", "context").agg(F.sum("n").alias("n"))
 
@@ -217,9 +221,9 @@ def _class_counts(texts: DataFrame) -> DataFrame:
 
     def count(batches):
         for batch in batches:
-            for _, _, words in slices(batch.column(0), 8 << 20):
+            for _, _, words in slices(batch.column(0), SLICE_BYTES):
                 _, first, n = np.unique(words.hash, return_index=True, return_counts=True)
-                g = Grams.of(words, first)
+                g = Grams(words, first)
                 gram, context = g.longest()
                 yield _summed(gram[g.event], context[g.event], n[g.word[g.event]])
 
