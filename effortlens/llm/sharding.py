@@ -4,7 +4,8 @@ Pass one scatters records uniformly into buckets that fit a task's memory: a rec
 is the rendezvous winner of seeded hashes of its key (one more shard takes rows only into
 itself), and its bucket inside the shard comes from a second seeded hash of the whole record,
 so that records that share a key still spread. The number of buckets follows the measured
-bytes of each shard. Pass two gathers one bucket per partition, orders it by hash so that a
+bytes of each shard; ``bucket_bytes`` is what a task may hold, and since each bucket is a
+shuffle partition, large inputs want it large (100 TB at 512 MiB make 200,000 buckets). Pass two gathers one bucket per partition, orders it by hash so that a
 re-run task starts from the same order, applies a seeded Fisher-Yates shuffle (Spark's
 ``shuffle`` on the bucket's array) and numbers the records; a bucket's first slot is the
 running count of the buckets before it.
