@@ -48,7 +48,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each vertex and its smaller neighbours are linked to the least of these."""
     edges = written(edges, "large-stars")
-    least = written(edges.groupBy("v").agg(F.min("u").alias("least")), "least-neighbours")
+    least = edges.groupBy("v").agg(F.min("u").alias("least"))
     linked = edges.join(least, "v").select(F.col("u").alias("v"), F.col("least").alias("u"))
     own = least.select("v", F.col("least").alias("u"))
     return _distinct(linked.unionByName(own).filter("u <> v"))

@@ -13,13 +13,15 @@ with probability equal to their weighted Jaccard similarity.
 Links: equal texts are grouped first and only their least id goes on. Bands of equal
 coordinates make buckets. Round one checks each bucket member against the bucket's most
 central one, which shares most buckets with others (the text that copies were made from, as
-a rule); components of the links found leave most buckets with one class. Every further round
-splits the members of each bucket that still has several into m parts by hash, takes the next
-part as leaders and checks the members of other classes against them. Each round chooses the
-size of the parts so that all its pairs are at most ``PAIRS`` times the members that the corpus
-has in buckets, whatever one bucket holds; after m parts each pair of a bucket has been
-checked or was already in one class. Similarities are exact, from the full shingle sets of
-bucket members only.
+a rule); components of the links found leave most buckets with one class. In every further
+round some members of a bucket lead, and all its members of other classes are checked against
+them; only members outside the bucket's largest class need to lead, each once. A round takes
+as many as keep its pairs below ``PAIRS`` times the members that the corpus has in buckets,
+drawn by hash, so no round makes all pairs of a bucket, whatever it holds. When none is left
+to lead, two members of different classes have been compared, as one of them has led, or are
+apart for sure: Jaccard distance is a metric, and their distances from the bucket's first
+leader, all measured in round one, differ by more than 0.2.
+Similarities are exact, from the full shingle sets of bucket members only.
 
 Defined results: ``class_id`` is the least doc_id of the class. Texts that are equal, also
 when empty, are one class; a text without words is near no other text; fewer than 5 words make
@@ -31,11 +33,12 @@ per class.
 from __future__ import annotations
 
 import math
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from effortlens.llm.components import components
@@ -46,8 +49,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 28
 ROWS = 5
-LEADERS = 16  # of a bucket in one round, at least
-PAIRS = 4  # pairs of a round per bucket member of the corpus, at most, beyond LEADERS each
+LEADERS = 16  # of a bucket in one round, about, at least
+PAIRS = 4  # pairs of a round per bucket member of the corpus, about, beyond LEADERS each
 SEED = 0x5EED
 
 _U = np.uint64
@@ -169,10 +172,6 @@ def shingle_sets(texts: pa.Array, counted: bool) -> pa.Array:
     return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
 
 
-def _pair(a: str, b: str) -> tuple[Column, Column]:
-    return F.least(a, b).alias("u"), F.greatest(a, b).alias("v")
-
-
 class _Links:
     """Finds the classes of ``members`` (vid, bucket, degree) with the sets of ``features``."""
 
@@ -190,6 +189,8 @@ class _Links:
 
     def _merge(self, edges: DataFrame) -> None:
         """Join the classes that the ``edges`` (u, v of labels) connect."""
+        if self.labels is not None and edges.isEmpty():
+            return
         parts = written(components(edges), "classes")
         if self.labels is None:
             self.labels = parts
@@ -201,80 +202,97 @@ class _Links:
         new = parts.join(self.labels.select("vertex"), "vertex", "left_anti")
         self.labels = written(old.unionByName(new), "classes")
 
-    def _check(self, pairs: DataFrame) -> None:
-        """Merge the classes of pairs (u, v, lu, lv) that are similar enough."""
+    def _measured(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (u, v and more) with their exact ``similarity``."""
         left = self.features.select(F.col("vid").alias("u"), F.col("shingles").alias("a"))
         right = self.features.select(F.col("vid").alias("v"), F.col("shingles").alias("b"))
         common = F.size(F.array_intersect("a", "b"))
-        sized = (
-            F.least(F.size("a"), F.size("b"))
-            >= F.greatest(F.size("a"), F.size("b")) * self.similarity
-        )
-        similar = (
-            pairs.join(left, "u")
-            .join(right, "v")
-            .filter(sized)
-            .filter(common >= (F.size("a") + F.size("b") - common) * self.similarity)
-        )
-        self._merge(written(similar.select(F.col("lu").alias("u"), F.col("lv").alias("v")), "links"))
+        similarity = common / (F.size("a") + F.size("b") - common)
+        both = pairs.join(left, "u").join(right, "v")
+        return both.select(*pairs.columns, similarity.alias("similarity"))
 
-    def _first_round(self) -> None:
+    def _first_round(self) -> tuple[DataFrame, DataFrame]:
+        """Members with the leader of their bucket, and how similar they are to it."""
         # The most central member, the least id on ties.
         rank = F.struct("degree", (-F.col("vid")).alias("id"))
         leaders = self.members.groupBy("bucket").agg(F.max(rank).alias("best"))
         leaders = written(
             leaders.select("bucket", (-F.col("best.id")).alias("leader")), "leaders"
         )
-        pairs = self.members.join(leaders, "bucket").filter("vid <> leader")
-        pairs = pairs.select(*_pair("vid", "leader")).distinct()
-        self._check(pairs.select("u", "v", F.col("u").alias("lu"), F.col("v").alias("lv")))
+        led = written(
+            self.members.join(leaders, "bucket").select("bucket", "vid", "leader"), "led-members"
+        )
+        pairs = led.filter("vid <> leader").select(
+            F.col("vid").alias("u"), F.col("leader").alias("v")
+        )
+        measured = written(self._measured(pairs.distinct()), "leader-similarities")
+        self._merge(measured.filter(F.col("similarity") >= self.similarity).select("u", "v"))
+        return led, measured
 
     def run(self) -> DataFrame:
         """``vertex`` and ``label`` of all texts in classes of two or more."""
-        self._first_round()
-        budget = PAIRS * self.members.count()
-        members = self.members.select("vid", "bucket", F.lit(0.0).alias("done"))
-        while True:
-            # ``done`` is the share of a bucket's members that have been leaders.
+        first, measured = self._first_round()
+        budget = PAIRS * first.count()
+        members = first.select("bucket", "vid", "leader", F.lit(False).alias("led"))
+        for turn in count():
             labelled = written(self._labelled(members), "labelled-members")
+            classes = labelled.groupBy("bucket", "label").agg(
+                F.count("*").alias("n"), F.count_if(~F.col("led")).alias("fresh")
+            )
             mixed = (
-                labelled.groupBy("bucket")
+                classes.groupBy("bucket")
                 .agg(
-                    F.count("*").alias("n"),
-                    F.min("label").alias("lo"),
-                    F.max("label").alias("hi"),
-                    F.max("done").alias("done"),
+                    F.sum("n").alias("n"),
+                    F.count("*").alias("labels"),
+                    F.sum("fresh").alias("fresh"),
+                    F.max(F.struct("n", "label", "fresh")).alias("top"),
                 )
-                .filter("lo <> hi and done < 1")
-                .select("bucket", "n", "done")
+                # Members of smaller classes that have not led yet.
+                .withColumn("left", F.col("fresh") - F.col("top.fresh"))
+                .filter("labels > 1 and left > 0")
+                .select("bucket", "n", "left", F.col("top.label").alias("top"))
             )
             mixed = written(mixed, "mixed-buckets")
-            rows = mixed.agg(F.sum("n")).first()[0]
-            if not rows:
+            wanted = mixed.agg(F.sum(F.col("n") * F.col("left"))).first()[0]
+            if not wanted:
                 return self.labels
-            leaders = max(LEADERS, budget // rows)
-            upto = F.least(F.lit(1.0), F.col("done") + leaders / F.col("n"))
+            share = F.greatest(F.lit(budget / wanted), LEADERS / F.col("left"))
+            place = F.pmod(F.xxhash64(F.lit(turn), "vid"), F.lit(1 << 30)) / float(1 << 30)
+            leads = ~F.col("led") & (F.col("label") != F.col("top")) & (place < share)
+            active = labelled.join(mixed, "bucket").withColumn("leads", leads)
+            if turn == 0:
+                of_leader = measured.select(
+                    F.col("u").alias("vid"), F.col("v").alias("leader"), "similarity"
+                )
+                distance = F.when(F.col("vid") == F.col("leader"), 0.0).otherwise(
+                    1 - F.col("similarity")
+                )
+                active = active.join(of_leader, ["vid", "leader"], "left")
+                active = active.withColumn("distance", distance)
             active = written(
-                labelled.drop("done").join(mixed.withColumn("upto", upto), "bucket"), "mixed-members"
+                active.select("bucket", "vid", "leader", "led", "label", "leads", "distance"),
+                "mixed-members",
             )
-            # Each id has a place in [0, 1), the same in all rounds and buckets.
-            place = F.pmod(F.xxhash64(F.lit(SEED), "vid"), F.lit(1 << 30)) / float(1 << 30)
-            leads = active.filter((place >= F.col("done")) & (place < F.col("upto"))).select(
-                "bucket", F.col("vid").alias("leader"), F.col("label").alias("leader_label")
+            leading = active.filter("leads").select(
+                "bucket",
+                F.col("vid").alias("u"),
+                F.col("label").alias("lu"),
+                F.col("distance").alias("du"),
             )
-            first = F.col("vid") < F.col("leader")
+            # Jaccard distance is a metric: members that differ more in their distance from the
+            # bucket's first leader are no less far from each other.
+            apart = F.abs(F.col("du") - F.col("distance"))
             pairs = (
-                active.join(leads, "bucket")
-                .filter("label <> leader_label")
-                .select(
-                    *_pair("vid", "leader"),
-                    F.when(first, F.col("label")).otherwise(F.col("leader_label")).alias("lu"),
-                    F.when(first, F.col("leader_label")).otherwise(F.col("label")).alias("lv"),
-                )
+                active.join(leading, "bucket")
+                .filter((F.col("label") != F.col("lu")) & (apart <= 1 - self.similarity + 1e-9))
+                .select("u", "lu", F.col("vid").alias("v"), F.col("label").alias("lv"))
                 .distinct()
             )
-            self._check(pairs)
-            members = active.select("vid", "bucket", F.col("upto").alias("done"))
+            links = self._measured(pairs).filter(F.col("similarity") >= self.similarity)
+            found = links.select(F.col("lu").alias("u"), F.col("lv").alias("v")).distinct()
+            self._merge(written(found, "links"))
+            led = F.col("led") | F.col("leads")
+            members = active.select("bucket", "vid", "leader", "distance", led.alias("led"))
 
 
 def near_duplicates(
