@@ -18,10 +18,8 @@ def components(edges: DataFrame) -> DataFrame:
     found = written(_distinct(edges.filter("u <> v")), "edges")
     while True:
         smaller = written(_small_star(_large_star(found)), "stars")
-        # Done when every edge leads to a vertex that no edge leaves downward.
-        chained = smaller.join(smaller.select(F.col("v").alias("u")), "u", "left_semi").limit(1)
         found = smaller
-        if not chained.count():
+        if _unfinished(found).isEmpty():
             break
     leaves = found.select(F.col("v").alias("vertex"), F.col("u").alias("label"))
     return leaves.unionByName(
@@ -29,6 +27,16 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+def _unfinished(edges: DataFrame) -> DataFrame:
+    """Vertices below two others, or below one and above another; none where all are stars."""
+    ends = edges.select(F.col("v").alias("vertex"), F.lit(1).alias("below"), F.lit(0).alias("above"))
+    ends = ends.unionByName(
+        edges.select(F.col("u").alias("vertex"), F.lit(0).alias("below"), F.lit(1).alias("above"))
+    )
+    roles = ends.groupBy("vertex").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return roles.filter("below > 1 or (below = 1 and above = 1)")
+
+
 def _distinct(edges: DataFrame) -> DataFrame:
     """Each edge once, from its smaller vertex ``u`` to its greater one ``v``."""
     return edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()

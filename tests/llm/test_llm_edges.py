@@ -134,6 +134,14 @@ def test_components_of_paths_and_stars(spark):
     assert components.components(none).count() == 0
 
 
+@pytest.mark.parametrize("path", [(1, 3, 4, 5, 2), (1, 5, 3, 4, 2), (8, 4, 7, 5, 6, 1, 3, 2)])
+def test_components_of_shuffled_paths(spark, path):
+    """In a small table of edges no other component forces further steps."""
+    edges = spark.createDataFrame(list(zip(path, path[1:])), "u long, v long")
+    got = components.components(edges).collect()
+    assert sorted((r.vertex, r.label) for r in got) == [(v, 1) for v in sorted(path)]
+
+
 def test_quality(docs, labels):
     rows = quality.score_quality(docs, labels).collect()
     assert len(rows) == len(ROWS) and all(0 <= r.score <= 1 for r in rows)
