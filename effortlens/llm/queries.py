@@ -107,7 +107,7 @@ def op7_pii(spark, sf_dir):
 def op8_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    scored = docs.select("doc_id", toxicity.toxicity_score(model, F.col("text")).alias("score"))
+    scored = toxicity.score_texts(model, docs)
     return scored.select(
         "doc_id",
         is_held_out(F.col("doc_id")).alias("held_out"),

@@ -9,11 +9,12 @@ of its log-likelihoods; a text's features are the mean evidence of all its words
 its strongest few (also capped), and the median, which is what the text's language alone is worth. A logistic calibration on a part of
 the labelled rows that the models were not counted on turns these into a probability.
 
-Bounds: the class counts come from at most ``FIT_ROWS`` labelled rows of each class, the
-calibration from at most ``CALIBRATION_ROWS``, both the first by a hash of the id, read
-whole; a model keeps the ``MAX_GRAMS`` most frequent grams of each of its three tables, so
-what each task receives has a fixed size. The shared counts cover all documents. Rows of
-the held-out part (see ``splits``) are in no fit; scores see texts only.
+Bounds: the calibration comes from at most ``CALIBRATION_ROWS`` labelled rows, the first by a
+hash of the id. The shared counts cover all documents, the class counts all labelled rows
+outside the calibration and the held-out part (see ``splits``), and all are written tables
+that nothing is cut from. Where each has at most ``MAX_GRAMS`` grams, tasks receive the tables
+whole; beyond, each distinct gram and word is rated once by joins, and the words' evidence is
+joined to the texts. The scores are the same either way, and see texts only.
 
 Defined results: a null or wordless text has all features 0, as a text without evidence;
 without toxic or without ordinary rows to learn from every score is 0; repeated rows are
@@ -36,9 +37,8 @@ from effortlens.llm.storage import written
 from effortlens.llm.words import Words, mix, slices
 
 ORDER = 5
-FIT_ROWS = 2000
 CALIBRATION_ROWS = 3000
-MAX_GRAMS = 1 << 20
+MAX_GRAMS = 1 << 20  # of a table that tasks receive whole
 DISCOUNT = 0.75
 STRONGEST = 4
 STRONG_ENOUGH = 5.0  # evidence beyond this counts less
@@ -108,9 +108,8 @@ class Table:
 
     @classmethod
     def collected(cls, counts: DataFrame) -> Table:
-        """Of the most frequent grams; ties go by hash."""
-        kept = counts.orderBy(F.col("n").desc(), "gram").limit(MAX_GRAMS).toArrow()
-        gram, context, n = (c.to_numpy() for c in kept.columns)
+        """Of all grams, ``MAX_GRAMS`` at most."""
+        gram, context, n = (c.to_numpy() for c in counts.toArrow().columns)
         return cls(gram.astype(np.int64).view(np.uint64), context.astype(np.int64).view(np.uint64), n)
 
     @staticmethod
@@ -133,6 +132,21 @@ class Table:
         return out
 
 
+def _summaries(value: np.ndarray, text: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Features of texts of so many words, from all words' evidence in order of text."""
+    n, count, first = len(counts), np.maximum(counts, 1), np.cumsum(counts) - counts
+    order = np.lexsort((-value, text))
+    place = np.arange(len(order)) - np.repeat(first, counts)
+    top = place < STRONGEST
+    strongest = np.bincount(text[order][top], value[order][top], n)
+    middle = np.zeros(n)
+    some = counts > 0
+    middle[some] = value[order][(first + counts // 2)[some]]
+    mean = np.bincount(text, value, n) / count
+    top_mean = strongest / np.minimum(count, STRONGEST)
+    return np.column_stack([mean, top_mean, np.minimum(top_mean, STRONG_ENOUGH), middle])
+
+
 @dataclass
 class ToxicityModel:
     shared: Table
@@ -164,19 +178,7 @@ class ToxicityModel:
             n = to - at
             _, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
             value = self.evidence(words, first)[inverse] if len(first) else np.zeros(0)
-            text, count = words.text, np.maximum(words.counts, 1)
-            order = np.lexsort((-value, text))
-            place = np.arange(len(order)) - np.repeat(words.first[:-1], words.counts)
-            top = place < STRONGEST
-            strongest = np.bincount(text[order][top], value[order][top], n)
-            middle = np.zeros(n)
-            some = words.counts > 0
-            middle[some] = value[order][(words.first[:-1] + words.counts // 2)[some]]
-            mean = np.bincount(text, value, n) / count
-            top_mean = strongest / np.minimum(count, STRONGEST)
-            parts.append(
-                np.column_stack([mean, top_mean, np.minimum(top_mean, STRONG_ENOUGH), middle])
-            )
+            parts.append(_summaries(value, words.text, words.counts))
         return np.concatenate(parts)
 
     def score(self, texts: pa.Array) -> np.ndarray:
@@ -187,6 +189,119 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
+@dataclass
+class JoinedModel:
+    """The same model over count tables too large to send to tasks."""
+
+    shared: DataFrame
+    toxic: DataFrame
+    ordinary: DataFrame
+    weights: np.ndarray | None = None
+
+    def _word_evidence(self, texts: DataFrame) -> DataFrame:
+        """``word`` (hash) and ``value`` of each distinct word of the texts."""
+        grams = _word_grams(written(_corpus_words(texts), "words"))
+        asked = written(grams.drop("word").distinct(), "asked-grams")
+        lower = None
+        for k in range(1, ORDER):
+            rows = asked.filter(f"level = {k} and not longest")
+            if lower is None:
+                rows = rows.withColumn("lower", F.lit(1 / 256))
+            else:
+                rows = rows.join(lower.withColumnRenamed("gram", "suffix"), "suffix")
+            level = written(_smoothed(rows, self.shared).select("gram", F.col("p").alias("lower")), "gram-shares")
+            lower = level if lower is None else lower.unionByName(level)
+        rows = asked.filter("longest").join(lower.withColumnRenamed("gram", "suffix"), "suffix")
+        rows = _smoothed(rows, self.toxic).withColumnRenamed("p", "toxic")
+        rows = _smoothed(rows, self.ordinary)
+        rated = written(rows.select("gram", (F.log("toxic") - F.log("p")).alias("value")), "gram-evidence")
+        ends = grams.filter("longest").select("word", "gram")
+        return written(
+            ends.join(rated, "gram").groupBy("word").agg(F.sum("value").alias("value")), "word-evidence"
+        )
+
+    def features(self, texts: DataFrame) -> DataFrame:
+        """``k1``, ``k2`` and features ``x`` of each distinct text (k1, k2, text) with words."""
+        tokens = texts.mapInArrow(_tokens, "k1 long, k2 long, word long, n long")
+        # Repeated texts are reduced before the shuffle.
+        tokens = tokens.groupBy("k1", "k2", "word").agg(F.first("n").alias("n"))
+        rated = tokens.join(self._word_evidence(texts.select("text")), "word")
+        listed = rated.groupBy("k1", "k2").agg(F.collect_list(F.struct("value", "n")).alias("words"))
+        return listed.select(
+            "k1", "k2", F.col("words.value").alias("value"), F.col("words.n").alias("n")
+        ).mapInArrow(_listed_features, "k1 long, k2 long, x array<double>")
+
+
+def _keyed(text: Column) -> dict[str, Column]:
+    return {"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit(7), text, F.length(text))}
+
+
+def _tokens(batches):
+    for batch in batches:
+        k1, k2 = (c.to_numpy() for c in batch.columns[:2])
+        for at, _, words in slices(batch.column(2), SLICE_BYTES):
+            order = np.lexsort((words.hash, words.text))
+            text, code = words.text[order], words.hash[order]
+            new = np.ones(len(code), bool)
+            new[1:] = (text[1:] != text[:-1]) | (code[1:] != code[:-1])
+            first = np.flatnonzero(new)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "k1": k1[at + text[first]],
+                    "k2": k2[at + text[first]],
+                    "word": code[first].view(np.int64),
+                    "n": np.diff(np.append(first, len(code))),
+                }
+            )
+
+
+def _listed_features(batches):
+    for batch in batches:
+        values, numbers = (c.flatten().to_numpy() for c in batch.columns[2:])
+        sizes = batch.column(2).value_lengths().to_numpy()
+        text = np.repeat(np.repeat(np.arange(len(sizes)), sizes), numbers)
+        x = _summaries(np.repeat(values, numbers), text, np.bincount(text, minlength=len(sizes)))
+        yield pa.RecordBatch.from_pydict(
+            {"k1": batch.column(0), "k2": batch.column(1), "x": pa.array(list(x), pa.list_(pa.float64()))}
+        )
+
+
+def _word_grams(vocabulary: DataFrame) -> DataFrame:
+    """Of every word the grams that rate its bytes, with what each falls back on."""
+
+    def expand(batches):
+        for batch in batches:
+            joined = pa.array([b" ".join(batch.column(0).to_pylist())], pa.binary()).cast(pa.string())
+            for _, _, words in slices(joined):
+                g = Grams(words, np.arange(len(words.start)))
+                suffix = np.zeros(len(g.word), np.uint64)
+                for k, gram, context in g.levels():
+                    at = g.event & (g.depth >= k)
+                    codes = [x[at].view(np.int64) for x in (words.hash[g.word], gram, context, suffix)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(at.sum(), k, np.int32)), pa.array(g.depth[at] == k), *map(pa.array, codes)],
+                        ["level", "longest", "word", "gram", "context", "suffix"],
+                    )
+                    suffix = gram
+
+    return vocabulary.mapInArrow(
+        expand, "level int, longest boolean, word long, gram long, context long, suffix long"
+    )
+
+
+def _smoothed(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``Table.smooth`` as ``p``, of rows with gram, context and ``lower``. No context has more
+    than 256 grams, and rows are distinct grams, so no key of these joins is hot."""
+    totals = counts.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("followers"))
+    seen = counts.select("gram", F.col("n").alias("seen"))
+    share = (
+        F.greatest(F.coalesce("seen", F.lit(0)) - DISCOUNT, F.lit(0.0))
+        + DISCOUNT * F.col("followers") * F.col("lower")
+    ) / F.col("total")
+    both = rows.join(seen, "gram", "left").join(totals, "context", "left")
+    return both.withColumn("p", F.coalesce(share, "lower")).drop("seen", "total", "followers")
+
+
 def _corpus_words(texts: DataFrame) -> DataFrame:
     """The distinct words of all texts; a task sends each of its words once per slice."""
 
@@ -236,41 +351,32 @@ def fit_toxicity(
     doc_id: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
-) -> ToxicityModel:
+) -> ToxicityModel | JoinedModel:
     """Count the models and fit the calibration; ``docs`` is scanned whole for shared counts."""
     named = labels.select(F.col(doc_id).alias("id"), F.col(label).alias("y"))
     usable = named.filter("id is not null and y in (0, 1)").filter(~is_held_out(F.col("id")))
     # A quarter of the rows calibrates, the rest is counted.
     usable = usable.withColumn("part", F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(4)))
     order = (F.xxhash64("id"), F.col("id"))
-    counted = usable.filter("part > 0")
-    sample = (
-        counted.filter("y = 1").orderBy(*order).limit(FIT_ROWS)
-        .unionByName(counted.filter("y = 0").orderBy(*order).limit(FIT_ROWS))
-        .unionByName(usable.filter("part = 0").orderBy(*order).limit(CALIBRATION_ROWS))
-    )
+    calibrating = usable.filter("part = 0").orderBy(*order).limit(CALIBRATION_ROWS)
+    sample = written(usable.filter("part > 0").unionByName(calibrating), "labelled-ids")
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    # At most 2 * FIT_ROWS + CALIBRATION_ROWS ids and labels.
-    labelled = written(texts.join(F.broadcast(sample), "id").select("text", "y", "part"), "labelled-texts")
+    labelled = written(texts.join(sample, "id").select("text", "y", "part"), "labelled-texts")
     vocabulary = _corpus_words(docs.select(F.col(text).alias("text")))
-    shared = Table.collected(_type_counts(vocabulary))
-    toxic, ordinary = (
-        Table.collected(_class_counts(labelled.filter(f"part > 0 and y = {y}").select("text")))
-        for y in (1, 0)
-    )
-    model = ToxicityModel(shared, toxic, ordinary)
-    if not len(toxic.gram) or not len(ordinary.gram):
+    counts = [written(_type_counts(vocabulary), "shared-grams")]
+    for y in (1, 0):
+        rows = labelled.filter(f"part > 0 and y = {y}").select("text")
+        counts.append(written(_class_counts(rows), "class-grams"))
+    sizes = [c.count() for c in counts]
+    if max(sizes) <= MAX_GRAMS:
+        model = ToxicityModel(*[Table.collected(c) for c in counts])
+    else:
+        model = JoinedModel(*counts)
+    if not sizes[1] or not sizes[2]:
         return model
 
-    def measure(batches):
-        for batch in batches:
-            x = model.features(batch.column(0))
-            yield pa.RecordBatch.from_pydict(
-                {"x": pa.array(list(x), pa.list_(pa.float64())), "y": batch.column(1)}
-            )
-
     rows = labelled.filter("part = 0").select("text", F.col("y").cast("double").alias("y"))
-    got = rows.mapInArrow(measure, "x array<double>, y double").collect()
+    got = _measured(model, rows, "text").select("x", "row.y").collect()
     if not got:
         return model
     x, y = np.array([r["x"] for r in got]), np.array([r["y"] for r in got])
@@ -280,8 +386,41 @@ def fit_toxicity(
     return model
 
 
+def _measured(model: ToxicityModel | JoinedModel, df: DataFrame, text: str) -> DataFrame:
+    """Rows as ``row`` with the features ``x`` of their text."""
+    rows = df.select(F.struct("*").alias("row"))
+    whole = F.col(f"row.`{text}`")
+    if isinstance(model, ToxicityModel):
+
+        @F.arrow_udf("array<double>")
+        def measure(texts: pa.Array) -> pa.Array:
+            return pa.array(list(model.features(texts)), pa.list_(pa.float64()))
+
+        return rows.select("row", measure(whole).alias("x"))
+    keyed = rows.withColumns(_keyed(whole))
+    found = model.features(keyed.select("k1", "k2", whole.alias("text")))
+    none = F.array(*[F.lit(0.0)] * 4)
+    return keyed.join(found, ["k1", "k2"], "left").select("row", F.coalesce("x", none).alias("x"))
+
+
+def score_texts(model: ToxicityModel | JoinedModel, df: DataFrame, text: str = "text") -> DataFrame:
+    """``df`` with the probability ``score`` that a text is toxic; replaces such a column."""
+    if isinstance(model, ToxicityModel):
+        return df.withColumn("score", toxicity_score(model, F.col(text)))
+    if model.weights is None:
+        return df.withColumn("score", F.lit(0.0))
+    logit = F.lit(float(model.weights[0]))
+    for i, w in enumerate(model.weights[1:]):
+        logit = logit + float(w) * F.col("x")[i]
+    logit = F.greatest(F.least(logit, F.lit(30.0)), F.lit(-30.0))
+    kept = [F.col(f"row.`{c}`").alias(c) for c in df.columns if c != "score"]
+    return _measured(model, df, text).select(*kept, (1 / (1 + F.exp(-logit))).alias("score"))
+
+
 def toxicity_score(model: ToxicityModel, text: Column) -> Column:
-    """Probability that a text is toxic."""
+    """Probability that a text is toxic, by a model that tasks can hold."""
+    if not isinstance(model, ToxicityModel):
+        raise ValueError("the model's tables are joined: use score_texts")
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:

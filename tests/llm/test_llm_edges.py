@@ -183,6 +183,30 @@ def test_toxicity(docs, labels):
     assert docs.limit(0).select(toxicity.toxicity_score(empty, F.col("text"))).count() == 0
 
 
+def test_toxicity_beyond_what_tasks_hold(spark, monkeypatch):
+    """Count tables of more than MAX_GRAMS are joined, and no gram is cut."""
+    rows = [(i, f"plain word{i} here é{i % 7} and and", 0) for i in range(60)]
+    rows += [(100 + i, f"vile{i % 5} scum word{i} you", 1) for i in range(60)]
+    rows += [(300, None, 0), (301, " ", 1), (1, "plain word1 here é1 and and", 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    scores = []
+    for most in (toxicity.MAX_GRAMS, 10):
+        monkeypatch.setattr(toxicity, "MAX_GRAMS", most)
+        model = toxicity.fit_toxicity(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+        scored = toxicity.score_texts(model, frame).collect()
+        scores.append(sorted((r.doc_id, r.score) for r in scored))
+    assert isinstance(model, toxicity.JoinedModel) and len(scores[1]) == len(rows)
+    assert len({round(s, 6) for _, s in scores[0]}) > 20
+    assert [d for d, _ in scores[0]] == [d for d, _ in scores[1]]
+    assert all(abs(a - b) < 1e-9 for (_, a), (_, b) in zip(*scores))
+
+
+def test_toxicity_counts_all_labelled_rows(spark):
+    frame = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("aa").alias("text"))
+    labels = frame.select("doc_id", F.lit(1).alias("toxic"))
+    assert toxicity.fit_toxicity(frame, labels).toxic.n.sum() > 3 * 2000
+
+
 def test_decontamination(spark, docs):
     items = [(1, "one two three four five six"), (2, None), (None, "seven eight nine"), (3, "")]
     bench = spark.createDataFrame(items, "item_id long, text string")
