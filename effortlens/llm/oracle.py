@@ -93,4 +93,31 @@ STATEMENTS = {
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
     """,
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        ), s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                   list_dot_product(a.e, b.e)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+        ), p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+                SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k
+                FROM s WHERE same)
+            WHERE k <= 5
+        ), n AS (
+            SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+                   row_number() OVER (PARTITION BY anchor_id, positive_id
+                                      ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+            FROM p JOIN s USING (anchor_id)
+            WHERE NOT s.same AND 80 * positive_score <= 100 * s.score
+              AND s.score <= positive_score
+        )
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+        FROM n WHERE rank <= 5
+    """,
 }
