@@ -1,0 +1,117 @@
+"""Formatted conversations read back, against a plain reading of the rows."""
+
+import hashlib
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from effortlens.llm import chat, queries
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+SAID = "\\### Assistant: </turn> ok"
+
+
+def expected(rows):
+    """(n_turns, digest of turns, loss characters, digest of assistant texts) per conversation."""
+    by_conversation = defaultdict(list)
+    for conv, turn, role, text in rows:
+        by_conversation[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    out = {}
+    for conv, turns in by_conversation.items():
+        turns.sort()
+        whole = "".join(f"{r}\n{t}\n" for _, _, r, t in turns)
+        learnt = "".join(t for _, _, r, t in turns if r == "assistant")
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (whole, learnt)]
+        out[conv] = (len(turns), digests[0], len(learnt), digests[1])
+    return out
+
+
+def found(rows):
+    return {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in rows}
+
+
+def test_query_reads_back_every_conversation(spark, sf_dir):
+    rows = [tuple(r) for r in queries.table(spark, sf_dir, "conversations").collect()]
+    rows += [(-7, 0, "user", SAID), (-7, 1, "assistant", SAID)]
+    got = queries.op12_chat_windows(spark, sf_dir).collect()
+    assert found(got) == expected(rows) and len(got) == len(expected(rows))
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["", "|", "\\", "\\p", "\\\\p|", "<|end|>\n", "<|assistant|>\n", "<", "|>\n", SAID, "\n", "é\U0001f600|\\"],
+)
+def test_escapes_are_undone(text):
+    assert chat.unescape(chat.escape(text)) == text
+    assert "|" not in chat.escape(text)
+    window = f"<|{chat.escape(text)}|>\n{chat.escape(text)}<|end|>\n" * 2
+    assert list(chat.turns_in(window)) == [(text, text)] * 2
+
+
+ROWS = [
+    (1, 0, "system", "rule one two"),
+    *[(1, i, ("user", "assistant")[i % 2 == 0], f"turn {i} " + "word " * 10) for i in range(1, 41)],
+    (2, 0, "user", None),
+    (2, 1, "assistant", None),
+    (2, None, None, "no number"),
+    (2, 1, "assistant", "tie b"),
+    (2, 1, "assistant", "tie a"),
+    (2, 1, "assistant", "tie a"),  # a repeated row
+    (None, 0, "assistant", "no conversation"),
+    (None, 1, "user", "<|end|>\n"),
+    (3, 0, "user", "x " * 500_000),  # beyond any budget, about 1 MB
+    (3, 1, "assistant", "y|" * 5000),
+    (4, 0, "system", "alone"),
+    (5, 3, "user", "late start"),
+    (5, 9, "system", "in the middle"),
+    (5, 90, "assistant", "end"),
+]
+
+
+@pytest.fixture(scope="module")
+def conversations(spark):
+    extra = ["chapter", "window", "tokens", "upto", "lead", "first", "long_id", "whole", "loss"]
+    frame = spark.createDataFrame(ROWS, SCHEMA)
+    return frame.select("*", *[F.lit("mine").alias(c) for c in extra])
+
+
+@pytest.mark.parametrize("chapter_turns", [4096, 10, 1])
+def test_edges_are_read_back(conversations, chapter_turns):
+    windows = chat.format_windows(conversations, budget=100, history=30, chapter_turns=chapter_turns)
+    assert found(chat.read_back(windows).collect()) == expected(ROWS)
+
+
+def test_windows_keep_budget_system_turn_and_history(conversations):
+    rows = chat.format_windows(conversations, budget=100, history=30, chapter_turns=20).collect()
+    first = sorted((w for w in rows if w.conv_id == 1), key=lambda w: (w.chapter, w.window))
+    assert {w.chapter for w in first} == {0, 1, 2} and not any(w.whole for w in first)
+    numbers = []
+    for w in first:
+        turns = list(chat.turns_in(w.text))
+        assert turns[0] == ("system", "rule one two")
+        assert w.n_tokens <= 100 and not w.over_budget
+        mine = [int(t.split()[1]) for r, t in turns if r != "system"]
+        assert mine == list(range(mine[0], mine[-1] + 1))  # whole turns without a gap
+        new = [t for r, t in turns[w.n_repeated :] if r == "assistant"]
+        assert [w.text[s.start : s.end] for s in w.loss] == new
+        numbers += [int(t.split()[1]) for r, t in turns[w.n_repeated :] if r != "system"]
+        if w.window:  # the turn before is repeated, and no more than history holds
+            assert 2 <= w.n_repeated <= 3
+    assert numbers == list(range(1, 41))
+    alone = [w for w in rows if w.conv_id == 3]
+    assert [w.over_budget for w in sorted(alone, key=lambda w: w.window)] == [True, True]
+
+
+def test_tokens_of_windows_add_up(conversations):
+    rows = chat.format_windows(conversations, budget=100, history=30).collect()
+    for w in rows:
+        turns = list(chat.turns_in(w.text))
+        sizes = [len(re.findall(r"[^\W_]+|[^\w\s]|_", t)) + chat.MARK_TOKENS for _, t in turns]
+        assert w.n_tokens == sum(sizes)
+
+
+def test_no_conversations(spark):
+    windows = chat.format_windows(spark.createDataFrame([], SCHEMA))
+    assert windows.count() == 0 and chat.read_back(windows).count() == 0

@@ -58,7 +58,7 @@ def documents(spark, sf_dir):
 
 
 def test_all_queries_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.all_queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.all_queries()}
     assert set(registry.queries()) >= {*queries.all_queries(), "pipeline"}
 
 
