@@ -101,7 +101,7 @@ def inner(x: np.ndarray, a: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Block:
-    """Indexed rows that are searched together."""
+    """Indexed rows that are searched together, ordered by label."""
 
     ids: np.ndarray
     labels: np.ndarray
@@ -115,8 +115,14 @@ class Block:
     def __post_init__(self):
         self.ones = np.bitwise_count(self.codes).sum(0, dtype=np.int64)
 
-    def intervals(self, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Estimated inner products with ``a``, and bounds that they cannot pass."""
+    def of_label(self, label: int) -> slice:
+        return slice(*np.searchsorted(self.labels, [label, label + 1]))
+
+    def intervals(
+        self, a: np.ndarray, part: slice = slice(None)
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Estimated inner products of ``part`` with ``a``, and bounds that they cannot pass."""
+        align, rest, gg, ones = (x[part] for x in (self.align, self.rest, self.gg, self.ones))
         a = a.astype(np.float64)
         turned = self.turned @ a
         low = float(turned.min(initial=0.0))
@@ -124,29 +130,29 @@ class Block:
         level = np.rint((turned - low) / step).astype(np.int64)
         rounded = low + step * level
         off = np.abs(turned - rounded).sum()
-        counts = np.zeros(len(self.ids), np.int64)
+        counts = np.zeros(len(align), np.int64)
         for plane in range(PLANES):
             words = _packed((level >> plane & 1)[None, :].astype(np.uint8))[0]
-            hits = np.zeros(len(self.ids), np.int32)
+            hits = np.zeros(len(align), np.int32)
             for code, word in zip(self.codes, words, strict=True):
-                hits += np.bitwise_count(code & word)
+                hits += np.bitwise_count(code[part] & word)
             counts += hits.astype(np.int64) << plane
-        along = 2 * (low * self.ones + step * counts) - rounded.sum()
+        along = 2 * (low * ones + step * counts) - rounded.sum()
         sure = np.maximum(np.abs(along) - off, 0.0)
         norm = float(a @ a)
-        across = norm - np.divide(sure**2, self.gg, out=np.zeros(len(sure)), where=self.gg > 0)
-        estimate = self.align * along
-        half = np.abs(self.align) * off + np.sqrt(np.maximum(across, 0.0)) * self.rest
+        across = norm - np.divide(sure**2, gg, out=np.zeros(len(sure)), where=gg > 0)
+        estimate = align * along
+        half = np.abs(align) * off + np.sqrt(np.maximum(across, 0.0)) * rest
         # What rounding of doubles could hide is far below this.
-        length = np.abs(self.align) * np.sqrt(self.gg) + self.rest
+        length = np.abs(align) * np.sqrt(gg) + rest
         half += _SLACK * (1 + length * np.sqrt(norm))
         return estimate, estimate - half, estimate + half
 
     def best(self, a, at, estimate, high, k, least=None, most=None) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` best of the rows ``at`` and their scores, from ``least`` to ``most``.
 
-        A few rows with high estimates are scored first; rows whose upper bound is below the
-        worst of ``k`` of these are passed over.
+        ``estimate`` and ``high`` are of the same rows. A few rows with high estimates are scored
+        first; rows whose upper bound is below the worst of ``k`` of these are passed over.
         """
 
         def scored(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,10 +163,10 @@ class Block:
             return rows[fits], scores[fits]
 
         if len(at) > _PROBES:
-            near = estimate[at] if most is None else np.where(estimate[at] <= most, estimate[at], -np.inf)
+            near = estimate if most is None else np.where(estimate <= most, estimate, -np.inf)
             _, probed = scored(at[np.argpartition(near, -_PROBES)[-_PROBES:]])
             if len(probed) >= k:
-                at = at[high[at] >= float(np.sort(probed)[-k])]
+                at = at[high >= float(np.sort(probed)[-k])]
         rows, scores = scored(at)
         order = np.lexsort((self.ids[rows], -scores))[:k]
         return rows[order], scores[order]
@@ -226,7 +232,7 @@ def _in_blocks(index: DataFrame, anchors: DataFrame, blocks: int) -> DataFrame:
     )
     rows = index.select("*", F.lit(None).cast(_POSITIVES).alias("positives"), F.lit(0).alias("kind"))
     both = rows.unionByName(asked.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    return both.repartition(blocks, "block").sortWithinPartitions("block", "kind")
+    return both.repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "kind")
 
 
 def _searched(rows: DataFrame, width: int, search, result: str) -> DataFrame:
@@ -243,8 +249,11 @@ def _searched(rows: DataFrame, width: int, search, result: str) -> DataFrame:
         codes = np.frombuffer(raw, np.uint64).reshape(held.num_rows, -1)
         x = _matrix(held.column("v"), width, np.int64)
         numbers = ("vec_id", "label", "align", "rest", "gg")
-        ids, labels, align, rest, gg = (held.column(c).to_numpy() for c in numbers)
-        return Block(ids, labels, x, np.ascontiguousarray(codes.T), align, rest, gg, turned)
+        labels = held.column("label").to_numpy()
+        order = np.argsort(labels, kind="stable")
+        ids, labels, align, rest, gg = (held.column(c).to_numpy()[order] for c in numbers)
+        codes = np.ascontiguousarray(codes[order].T)
+        return Block(ids, labels, x[order], codes, align, rest, gg, turned)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, parts, block = None, [], None
@@ -310,9 +319,11 @@ def hard_negatives(
     asked = written(asked, "anchors")
 
     def same_label(block: Block, anchor: int, label: int, a: np.ndarray, _):
-        estimate, _, high = block.intervals(a)
-        at = np.flatnonzero((block.labels == label) & (block.ids != anchor))
-        for row, score in zip(*block.best(a, at, estimate, high, positives), strict=True):
+        part = block.of_label(label)
+        estimate, _, high = block.intervals(a, part)
+        others = np.flatnonzero(block.ids[part] != anchor)
+        found = block.best(a, part.start + others, estimate[others], high[others], positives)
+        for row, score in zip(*found, strict=True):
             yield anchor, int(block.ids[row]), int(score)
 
     def other_labels(block: Block, anchor: int, label: int, a: np.ndarray, wanted):
@@ -322,9 +333,8 @@ def hard_negatives(
             most = positive["score"]
             least = -(-80 * most // 100)  # 80 * most <= 100 * score, in whole numbers
             at = np.flatnonzero(others & (low <= float(most)) & (high >= float(least)))
-            for row, score in zip(
-                *block.best(a, at, estimate, high, negatives, least, most), strict=True
-            ):
+            found = block.best(a, at, estimate[at], high[at], negatives, least, most)
+            for row, score in zip(*found, strict=True):
                 yield anchor, slot, positive["vec_id"], most, int(block.ids[row]), int(score)
 
     unknown = F.lit(None).cast(_POSITIVES).alias("positives")
