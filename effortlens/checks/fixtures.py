@@ -271,14 +271,23 @@ def payloads_of(orders: DataFrame) -> DataFrame:
     )
 
 
+def line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as a stream of files; see ``order_stream``."""
+    return spark.readStream.schema(_SCHEMAS["lineitem"]).parquet(f"{sf_dir}/lineitem.parque[t]")
+
+
 def subtask_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subtask payloads from ``lineitem``, one row each with the parent's id."""
+    return subtasks_of(spark, sf_dir, table(spark, sf_dir, "lineitem"))
+
+
+def subtasks_of(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Lines, at rest or streamed, in the shape of detached subtasks."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     lines = (
-        table(spark, sf_dir, "lineitem")
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     )
@@ -323,6 +332,49 @@ def landed_twice(spark: SparkSession, sf_dir: str, folder: str) -> Landing:
     return Landing(f"{folder}/projects", f"{folder}/tasks", subtasks=f"{folder}/subtasks")
 
 
+def land_lines(
+    spark: SparkSession, sf_dir: str, folder: str, late: bool, day: str | None = None
+) -> Landing:
+    """Landing folders: projects, orders and odd lines at first, even lines late.
+
+    With a day, tasks and subtasks land in its ``landed_on`` folder.
+    """
+    below = f"/landed_on={day}" if day else ""
+    even = F.substring_index("gid", "-", -1).cast("int") % 2 == 0
+    subtasks = subtask_payloads(spark, sf_dir).filter(even if late else ~even)
+    subtasks.write.mode("append").json(f"{folder}/subtasks{below}")
+    if not late:
+        projects(spark, sf_dir).write.json(f"{folder}/projects")
+        task_payloads(spark, sf_dir).write.json(f"{folder}/tasks{below}")
+    return Landing(f"{folder}/projects", f"{folder}/tasks", subtasks=f"{folder}/subtasks")
+
+
+def land_broken(spark: SparkSession, sf_dir: str, folder: str) -> Landing:
+    """Landing folders with one order in 50 cut short and the id missing from one line in 70."""
+    orders = task_payloads(spark, sf_dir)
+    line = F.to_json(F.struct(*orders.columns))
+    cut = F.when(F.col("gid").cast("bigint") % 50 == 0, F.substring(line, 1, 20)).otherwise(line)
+    orders.select(cut.alias("value")).write.text(f"{folder}/tasks")
+    subtasks = subtask_payloads(spark, sf_dir)
+    lost = F.col("parent_gid").cast("bigint") % 70 == 0
+    kept = subtasks.withColumn("gid", F.when(~lost, F.col("gid")))
+    kept.write.json(f"{folder}/subtasks")
+    projects(spark, sf_dir).write.json(f"{folder}/projects")
+    return Landing(f"{folder}/projects", f"{folder}/tasks", subtasks=f"{folder}/subtasks")
+
+
+def land_entries(spark: SparkSession, sf_dir: str, folder: str) -> Landing:
+    """Time entries landed below a folder of each day; some say no day that can be read."""
+    entries = time_entry_payloads(spark, sf_dir)
+    unclear = F.when(F.col("gid").cast("bigint") % 500 == 0, "soon").otherwise(F.col("entered_on"))
+    twice = entries.unionByName(
+        entries.filter(F.col("gid").cast("bigint") % 500 == 0).withColumn("entered_on", unclear)
+        .withColumn("gid", F.concat(F.lit("unclear-"), F.col("gid")))
+    )
+    twice.repartition("entered_on").write.partitionBy("entered_on").json(f"{folder}/entries")
+    return Landing("", "", f"{folder}/entries")
+
+
 def time_entry_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time-entry payloads from ``events``; some lack a nested object."""
     user = F.col("user_id").cast("string")

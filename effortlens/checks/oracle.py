@@ -309,7 +309,7 @@ RAW_COLUMNS = [
 KEPT = ["project_gid", "assignee_gid", "estimated_minutes", "actual_minutes"]
 
 
-def _merge() -> str:
+def _merge(where: str = "TRUE") -> str:
     def side(name: str, test: str) -> str:
         return f"""{name} AS (
           SELECT * FROM (
@@ -317,7 +317,7 @@ def _merge() -> str:
               PARTITION BY task_id
               ORDER BY coalesce(modified_at, inserted_at) DESC, inserted_at DESC, project_gid,
                        coalesce(assignee_gid, ''), task_name) AS rn
-            FROM raw WHERE modified_at {test} TIMESTAMP '1999-01-01') WHERE rn = 1)"""
+            FROM raw WHERE modified_at {test} TIMESTAMP '1999-01-01' AND {where}) WHERE rn = 1)"""
 
     columns = ", ".join(
         f"coalesce(s.{c}, t.{c}) AS {c}"
@@ -415,6 +415,36 @@ STATEMENTS: dict[str, str] = {
       SELECT {FLAT_COLUMNS}, {RUN_TS} AS inserted_at
       FROM newest WHERE completed AND completed_at IS NOT NULL
         AND project_gid IN (SELECT gid FROM projects WHERE archived IS NOT TRUE)""",
+    "streamed_late_subtasks": f"""WITH {PROJECTS}, {ALL_ITEMS}, {NEWEST_ITEMS}
+      SELECT {FLAT_COLUMNS}, {RUN_TS} AS inserted_at
+      FROM newest WHERE completed AND completed_at IS NOT NULL
+        AND project_gid IN (SELECT gid FROM projects WHERE archived IS NOT TRUE)""",
+    # Each version of a line that is complete counts, whatever the project.
+    "stream_metrics": f"""WITH {ALL_ITEMS}
+      SELECT CAST(2 AS BIGINT) AS batches, count(*) AS tasks_processed,
+             CAST(0 AS BIGINT) AS errors, CAST(0 AS BIGINT) AS refused
+      FROM items WHERE completed AND completed_at IS NOT NULL""",
+    # Late lines count where their order is open, or was completed after all that was held.
+    "synced_late_subtasks": f"""WITH {PROJECTS}, {ALL_ITEMS}, wanted AS (
+        SELECT * FROM items
+        WHERE project_gid IN (SELECT gid FROM projects WHERE archived IS NOT TRUE)),
+      landed AS (
+        SELECT *, is_subtask AND TRY_CAST(split_part(task_id, '-', 2) AS INTEGER) % 2 = 0 AS late,
+               row_number() OVER (PARTITION BY task_id ORDER BY modified_at DESC) AS version
+        FROM wanted),
+      done AS (SELECT * FROM landed WHERE version = 1 AND completed AND completed_at IS NOT NULL),
+      mark AS (SELECT max(modified_at) AS held FROM done WHERE NOT late)
+      SELECT d.task_id, d.parent_task_id, d.project_gid, d.completed_at, d.is_subtask
+      FROM done d LEFT JOIN parents p ON d.parent_task_id = p.task_id, mark
+      WHERE NOT late OR NOT p.completed OR p.completed_at >= held""",
+    "synced_entries": f"""WITH {ENTRIES}
+      SELECT entry_id AS gid, CAST(entered_on AS VARCHAR) AS entered_on, duration_minutes
+      FROM entries WHERE entered_on BETWEEN DATE '2024-01-03' AND DATE '2024-01-09'""",
+    "quarantined_lines": """
+      SELECT 'tasks' AS source, 'not readable' AS reason, count(*) AS copies
+      FROM orders WHERE o_orderkey % 50 = 0
+      UNION ALL
+      SELECT 'subtasks', 'no key', count(*) FROM lineitem WHERE l_orderkey % 70 = 0""",
     "minutes_backfill": f"""WITH {RAW}, holes AS (
         SELECT task_id, modified_at, estimated_time, actual_time,
                CASE WHEN line <> 3 THEN actual_time_raw END AS actual_time_raw,
@@ -607,3 +637,9 @@ STATEMENTS: dict[str, str] = {
 STATEMENTS["stored_daily_digest"] = STATEMENTS["daily_digest"]
 STATEMENTS["stored_monthly_latest"] = STATEMENTS["monthly_kpi_latest"]
 STATEMENTS["published_report"] = STATEMENTS["report_project_sheet"]
+STATEMENTS["published_report_assignee"] = STATEMENTS["report_assignee_sheet"]
+STATEMENTS["published_report_project_assignee"] = STATEMENTS["report_project_assignee_sheet"]
+STATEMENTS["refreshed_report"] = f"""WITH uniq AS (
+        SELECT * REPLACE (trim(project_name) AS project_name)
+        FROM ({_merge('completed_at IS NOT NULL')}))
+      {_report(['project_name', 'assignee_name'], NAMED)}"""

@@ -35,16 +35,15 @@ from effortlens.operators import (
 )
 from effortlens.operators import open_tasks as open_digest
 from effortlens.plans import publish
+from effortlens.plans.effort import refresh_effort, stored_effort
 from effortlens.plans.snapshot import take_snapshot
 from effortlens.plans.warehouse import Warehouse
-from effortlens.sources.report_sink import publish_report
-from effortlens.sources.tables import (
-    COMPLETED_TASKS,
-    KeyedTable,
-    append_snapshot,
-    read_snapshots,
-)
+from effortlens.plans.sync import SyncOptions, sync_completed, sync_time_entries
+from effortlens.sources import landing as land
+from effortlens.sources.report_sink import publish_report, read_report
+from effortlens.sources.tables import COMPLETED_TASKS, StoredTable, append_snapshot, read_snapshots
 from effortlens.streaming.incremental import task_upsert_stream
+from effortlens.streaming.metrics import read_metrics, stored_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -249,10 +248,10 @@ def merge_upsert(spark, sf_dir):
 
 @_query
 def stored_merge(spark, sf_dir):
-    """The same merge through a stored table: target and batch as its first two versions."""
+    """The same merge through a stored table: target and batch as two merges."""
     raw = fx.raw_tasks(spark, sf_dir)
     split = ntz_literal(fx.MERGE_SPLIT)
-    table = KeyedTable(spark, fx.scratch(spark), COMPLETED_TASKS)
+    table = StoredTable(spark, fx.scratch(spark), COMPLETED_TASKS)
     for part in (raw.filter(F.col("modified_at") < split), raw.filter(F.col("modified_at") >= split)):
         table.merge(upsert.latest_in_batch(part), upsert.merge_tasks)
     return table.read().select(*[f.name for f in schema.COMPLETED_TASKS])
@@ -260,22 +259,93 @@ def stored_merge(spark, sf_dir):
 
 @_query
 def streamed_upsert(spark, sf_dir):
-    """Orders streamed into a stored table; returns what the table holds afterwards."""
+    """Orders and their lines streamed into a stored table; returns what it holds afterwards."""
     folder = fx.scratch(spark)
-    table = KeyedTable(spark, f"{folder}/table", COMPLETED_TASKS)
-    payloads = fx.payloads_of(fx.order_stream(spark, sf_dir))
+    table = StoredTable(spark, f"{folder}/table", COMPLETED_TASKS)
     stream = task_upsert_stream(
-        payloads,
+        fx.payloads_of(fx.order_stream(spark, sf_dir)),
         table,
         f"{folder}/checkpoint",
         clock=lambda: fx.RUN_TS,
         listing=lambda: fx.projects(spark, sf_dir),
-        subtasks=lambda: fx.subtask_payloads(spark, sf_dir),
+        subtasks=fx.subtasks_of(spark, sf_dir, fx.line_stream(spark, sf_dir)),
     )
     stream.start().awaitTermination()
     return table.read().select(*[f.name for f in schema.COMPLETED_TASKS])
 
 
+def _late_stream(spark, sf_dir, folder):
+    """Two starts of a stream: orders and odd lines have landed for the first, even ones later."""
+    table = StoredTable(spark, f"{folder}/table", COMPLETED_TASKS)
+    with stored_metrics(spark, f"{folder}/metrics") as figures:
+        for late in (False, True):
+            landing = fx.land_lines(spark, sf_dir, f"{folder}/landing", late)
+            query = task_upsert_stream(
+                land.stream_tasks(spark, landing.tasks),
+                table,
+                f"{folder}/checkpoint",
+                clock=lambda: fx.RUN_TS,
+                listing=lambda: fx.projects(spark, sf_dir),
+                subtasks=land.stream_subtasks(spark, landing.subtasks),
+            ).start()
+            query.awaitTermination()
+            figures.wait_for(str(query.runId), 120)
+    return table
+
+
+@_query
+def streamed_late_subtasks(spark, sf_dir):
+    """Even lines land after the stream has taken their orders in, and are merged all the same."""
+    table = _late_stream(spark, sf_dir, fx.scratch(spark))
+    return table.read().select(*[f.name for f in schema.COMPLETED_TASKS])
+
+
+@_query
+def stream_metrics(spark, sf_dir):
+    """Rows, errors and refused lines of all micro-batches of the late stream."""
+    folder = fx.scratch(spark)
+    _late_stream(spark, sf_dir, folder)
+    rows = read_metrics(spark, f"{folder}/metrics")
+    totals = [F.sum(c).cast("long").alias(c) for c in ("tasks_processed", "errors", "refused")]
+    return rows.agg(F.count_distinct("batch_id").alias("batches"), *totals)
+
+
+@_query
+def synced_late_subtasks(spark, sf_dir):
+    """Incremental sync: even lines land a day after a full sync has taken their orders in."""
+    folder = fx.scratch(spark)
+    house = Warehouse(f"{folder}/warehouse")
+    for late, day in ((False, "2002-01-01"), (True, "2002-01-02")):
+        landing = fx.land_lines(spark, sf_dir, f"{folder}/landing", late, day)
+        run_ts = datetime.fromisoformat(f"{day}T20:00:00")
+        sync_completed(spark, landing, house, run_ts, SyncOptions(full_sync=not late))
+    rows = house.completed(spark).read()
+    return rows.select("task_id", "parent_task_id", "project_gid", "completed_at", "is_subtask")
+
+
+@_query
+def synced_entries(spark, sf_dir):
+    """Entries of a range of days, from a landing partitioned by day."""
+    folder = fx.scratch(spark)
+    landing = fx.land_entries(spark, sf_dir, f"{folder}/landing")
+    house = Warehouse(f"{folder}/warehouse")
+    sync_time_entries(spark, landing, house, fx.RUN_TS, *fx.ENTRY_DAYS)
+    return house.entries(spark).read().select(
+        F.col("entry_id").alias("gid"), F.col("entered_on").cast("string"), "duration_minutes"
+    )
+
+
+@_query
+def quarantined_lines(spark, sf_dir):
+    """Landed orders and lines, some cut short and some without an id: what is set aside."""
+    folder = fx.scratch(spark)
+    landing = fx.land_broken(spark, sf_dir, f"{folder}/landing")
+    house = Warehouse(f"{folder}/warehouse")
+    sync_completed(spark, landing, house, fx.RUN_TS, SyncOptions(full_sync=True))
+    lines = house.quarantine(spark).read()
+    return lines.groupBy("source", "reason").agg(F.sum("copies").cast("long").alias("copies"))
+
+
 @_query
 def minutes_backfill(spark, sf_dir):
     return upsert.backfill_minutes(fx.legacy_minutes(spark, sf_dir))
@@ -336,21 +406,45 @@ def stored_monthly_latest(spark, sf_dir):
     return publish.monthly_digest(spark, _stored_tasks(spark, sf_dir)).kpi
 
 
+def _published(spark, sf_dir, kind):
+    """A report published from the stored totals and read back."""
+    house = _stored_tasks(spark, sf_dir)
+    publish.publish_reports(spark, house, fx.RUN_TS)
+    shown = reports.sheet(reports.report(house.unique(spark), kind), fx.RUN_TS).schema
+    return read_report(spark, kind, house.reports, shown)
+
+
 @_query
 def published_report(spark, sf_dir):
-    """A report published as CSV from the stored table and read back."""
-    house = _stored_tasks(spark, sf_dir)
-    rows = reports.report(house.unique(spark), "project")
-    publish_report(rows, "project", house.reports, fx.RUN_TS)
-    shown = reports.sheet(rows, fx.RUN_TS).schema
-    folder = f"{house.reports}/{reports.OUTPUT_NAMES['project']}"
-    return spark.read.schema(shown).option("header", True).csv(folder)
+    return _published(spark, sf_dir, "project")
+
+
+@_query
+def published_report_assignee(spark, sf_dir):
+    return _published(spark, sf_dir, "assignee")
+
+
+@_query
+def published_report_project_assignee(spark, sf_dir):
+    return _published(spark, sf_dir, "project_assignee")
+
+
+@_query
+def refreshed_report(spark, sf_dir):
+    """Totals made of the earlier tasks, then brought up to date for what a merge touched."""
+    house = Warehouse(fx.scratch(spark))
+    raw = fx.raw_tasks(spark, sf_dir).filter(F.col("completed_at").isNotNull())
+    split = ntz_literal(fx.MERGE_SPLIT)
+    for part in (raw.filter(F.col("modified_at") < split), raw.filter(F.col("modified_at") >= split)):
+        house.completed(spark).merge(upsert.latest_in_batch(part), upsert.merge_tasks)
+        refresh_effort(spark, house)
+    return reports.report_from_effort(stored_effort(spark, house), "project_assignee")
 
 
 @_query
 def stored_rewrite(spark, sf_dir):
     """A table without actual minutes, re-clustered as a whole with the minutes filled in."""
-    table = KeyedTable(spark, fx.scratch(spark), COMPLETED_TASKS)
+    table = StoredTable(spark, fx.scratch(spark), COMPLETED_TASKS)
     rows = upsert.latest_in_batch(fx.raw_tasks(spark, sf_dir))
     table.merge(rows.withColumn("actual_minutes", F.lit(None).cast("double")), upsert.merge_tasks)
     table.rewrite(upsert.backfill_minutes)

@@ -66,6 +66,11 @@ def iso_millis(instant: Column) -> Column:
     )
 
 
+def parse_mark(text: str) -> datetime:
+    """The instant that ``iso_millis`` wrote."""
+    return datetime.strptime(text, "%Y-%m-%dT%H:%M:%S.%fZ")
+
+
 @lru_cache
 def _steady_offset(zone: str) -> int | None:
     """Seconds east of UTC, if the zone keeps one offset from 1970 through 2099."""

@@ -12,6 +12,7 @@ from effortlens.functions.timeutil import BUSINESS_ZONE, local_month, within_loc
 from effortlens.operators.reports import has_assignee
 
 BASES = ("completed", "modified")
+MAP_BITS = 1 << 23
 
 
 def of_pair(unique: DataFrame, project: str, assignee: str) -> DataFrame:
@@ -20,12 +21,47 @@ def of_pair(unique: DataFrame, project: str, assignee: str) -> DataFrame:
     )
 
 
+def _slot(task_id: Column) -> Column:
+    """A task id's place in the bit map, from 1 on."""
+    return F.pmod(F.xxhash64(task_id), F.lit(MAP_BITS)) + 1
+
+
+def id_map(ids: DataFrame) -> DataFrame:
+    """Bit map of the ids in ``id``: at most ``MAP_BITS / 32768`` rows of 4 KiB, 1 MiB in all."""
+    slot = _slot(F.col("id"))
+    places = ids.select(
+        F.bitmap_bucket_number(slot).alias("part"), F.bitmap_bit_position(slot).alias("bit")
+    )
+    return places.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def _is_marked(bits: Column, task_id: Column) -> Column:
+    place = F.bitmap_bit_position(_slot(task_id)).cast("int")
+    byte = F.conv(F.hex(F.substring(bits, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    return F.coalesce(F.getbit(byte.cast("int"), place % 8) == 1, F.lit(False))
+
+
+def maybe_listed(tasks: DataFrame, ids: DataFrame) -> DataFrame:
+    """Tasks whose own or parent's id may be among ``ids``; all others are certainly not.
+
+    Decided where the tasks are read, from a broadcast map of fixed size, so that what is
+    shuffled afterwards grows with the matches.
+    """
+    marked = tasks
+    for name in ("task_id", "parent_task_id"):
+        part = F.bitmap_bucket_number(_slot(F.col(name)))
+        bits = F.broadcast(id_map(ids)).toDF(f"part_{name}", f"bits_{name}")
+        marked = marked.join(bits, part == F.col(f"part_{name}"), "left")
+    own, parent = (_is_marked(F.col(f"bits_{n}"), F.col(n)) for n in ("task_id", "parent_task_id"))
+    return marked.filter(own | parent).select(*tasks.columns)
+
+
 def of_task_ids(tasks: DataFrame, ids: Sequence[str] | DataFrame) -> DataFrame:
     """Tasks listed by id, and subtasks of listed tasks, each once.
 
-    A short list becomes a pushed filter. A frame of ids marks the tasks by two joins in
-    one pass over them; a task without a parent is given a key of its own that no id can
-    equal, so that absent parents are not all sent to one task.
+    A short list becomes a pushed filter. A frame of ids first drops nearly all other tasks by
+    a bit map, then marks the tasks by two joins; a task without a parent is given a key of its
+    own that no id can equal, so that absent parents are not all sent to one task.
     """
     if not isinstance(ids, DataFrame):
         wanted = [i.strip() for i in ids if i.strip()]
@@ -37,7 +73,8 @@ def of_task_ids(tasks: DataFrame, ids: Sequence[str] | DataFrame) -> DataFrame:
     listed = ids.toDF("id").filter(F.col("id").isNotNull()).distinct()
     no_parent = F.concat(F.lit("\0"), F.col("task_id"))
     marked = (
-        tasks.withColumn("parent_key", F.coalesce(F.col("parent_task_id"), no_parent))
+        maybe_listed(tasks, listed)
+        .withColumn("parent_key", F.coalesce(F.col("parent_task_id"), no_parent))
         .join(listed.toDF("own_match"), F.col("task_id") == F.col("own_match"), "left")
         .join(listed.toDF("parent_match"), F.col("parent_key") == F.col("parent_match"), "left")
     )

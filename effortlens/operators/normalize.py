@@ -53,24 +53,51 @@ def task_items(tasks: DataFrame, subtasks: DataFrame | None = None) -> DataFrame
 
 
 def _items_from_two_inputs(tasks: DataFrame, subtasks: DataFrame) -> DataFrame:
-    parents = tasks.select(
+    return own_items(tasks).unionByName(child_items(announcing(tasks), subtasks))
+
+
+def own_items(tasks: DataFrame) -> DataFrame:
+    """One row per task, without its subtasks."""
+    return tasks.select(
         "project_gid",
         "project_name",
         *_BODY,
         F.lit(False).alias("is_subtask"),
         F.lit(None).cast("string").alias("parent_task_id"),
     )
-    announcing = tasks.filter(F.col("num_subtasks") > 0).select(
-        "project_gid", "project_name", F.col("gid").alias("parent_gid")
-    )
-    children = subtasks.join(announcing, "parent_gid").select(
+
+
+def announcing(tasks: DataFrame) -> DataFrame:
+    """What subtasks need of the parents that say they have some."""
+    parents = tasks.filter(F.col("num_subtasks") > 0)
+    return parents.select("project_gid", "project_name", F.col("gid").alias("parent_gid"))
+
+
+def child_items(
+    parents: DataFrame, subtasks: DataFrame, also: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per subtask and project of its parent; ``also`` names further columns."""
+    return subtasks.join(parents, "parent_gid").select(
         "project_gid",
         "project_name",
         *_BODY,
         F.lit(True).alias("is_subtask"),
         F.col("parent_gid").alias("parent_task_id"),
+        *also,
     )
-    return parents.unionByName(children)
+
+
+def fresh_items(tasks: DataFrame, subtasks: DataFrame | None, fresh: Column, new: Column) -> DataFrame:
+    """Items whose payload, or whose parent's, is fresh, of all tasks and subtasks now known.
+
+    ``fresh`` is a condition over tasks, ``new`` one over subtasks. A new subtask meets every
+    known parent, a fresh parent every known subtask; each pair comes once.
+    """
+    changed = tasks.filter(fresh)
+    if subtasks is None:
+        return task_items(changed)
+    later = child_items(announcing(tasks), subtasks.filter(new))
+    return task_items(changed, subtasks.filter(~new)).unionByName(later)
 
 
 def with_effort(items: DataFrame) -> DataFrame:
@@ -90,18 +117,26 @@ def _display_name() -> Column:
     return F.when(F.col("is_subtask"), F.concat(F.lit(SUBTASK_PREFIX), name)).otherwise(name)
 
 
-def completed_task_rows(
-    items: DataFrame, include_incomplete_subtasks: bool = False
-) -> DataFrame:
-    """Completed tasks in the shape of the completed-task table, not yet stamped.
+def is_completed_row(include_incomplete_subtasks: bool = False) -> Column:
+    """Items that belong in the completed-task table.
 
     Incomplete subtasks (never parents) join in when asked for; their
     ``completed_at`` may then be null.
     """
     keep = F.col("completed") & F.col("completed_at").isNotNull()
-    if include_incomplete_subtasks:
-        keep = keep | F.col("is_subtask")
-    rows = with_effort(items.filter(keep))
+    return keep | F.col("is_subtask") if include_incomplete_subtasks else keep
+
+
+def completed_task_rows(
+    items: DataFrame, include_incomplete_subtasks: bool = False
+) -> DataFrame:
+    """Completed tasks in the shape of the completed-task table, not yet stamped."""
+    return task_rows(items.filter(is_completed_row(include_incomplete_subtasks)))
+
+
+def task_rows(items: DataFrame, *also: str) -> DataFrame:
+    """Items of any state in that shape; columns named in ``also`` are taken along."""
+    rows = with_effort(items)
     return rows.select(
         F.col("gid").alias("task_id"),
         _display_name().alias("task_name"),
@@ -121,6 +156,7 @@ def completed_task_rows(
         "actual_minutes",
         "is_subtask",
         "parent_task_id",
+        *also,
     )
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from effortlens.functions.timeutil import parse_instant
+from effortlens.functions.timeutil import ntz_literal, parse_instant
 
 # Labels of the archive state.
 ARCHIVED_LABEL = "アーカイブ済み"
@@ -24,6 +26,12 @@ def named_like(projects: DataFrame, fragment: str | None) -> DataFrame:
     return projects.filter(F.col("name").contains(fragment))
 
 
+def changed_since(projects: DataFrame, since: datetime) -> DataFrame:
+    """Ids, as ``project_gid``, of projects that were modified at an instant or later."""
+    changed = projects.filter(parse_instant(F.col("modified_at")) >= ntz_literal(since))
+    return changed.select(F.col("gid").alias("project_gid")).distinct()
+
+
 def project_directory(projects: DataFrame) -> DataFrame:
     """One line per project with its archive state spelled out."""
     state = F.when(F.col("archived").isNotNull(),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from effortlens.functions.timeutil import (
@@ -60,20 +60,44 @@ def completed_since(tasks: DataFrame, cutoff: datetime, by: str = "completed") -
     return tasks.filter(is_open | recent)
 
 
+def version_of(payloads: DataFrame, *keys: str) -> Column:
+    """What tells an older version of a payload from a newer one; the greater is the newer.
+
+    First the modification instant, of the payload or of a subtask inside it; versions of one
+    instant are told apart by their other plain fields.
+    """
+    instant = parse_instant(F.col("modified_at"))
+    if "subtasks" in payloads.columns:
+        inner = F.transform("subtasks", lambda s: parse_instant(s["modified_at"]))
+        instant = F.greatest(instant, F.array_max(inner))
+    plain = [f.name for f in payloads.schema if f.dataType.typeName() in ("string", "boolean")]
+    ties = [F.col(c).cast("string").alias(c) for c in plain if c not in keys]
+    return F.struct(instant.alias("instant"), *ties)
+
+
 def latest_payloads(payloads: DataFrame, *keys: str) -> DataFrame:
-    """The newest landed version of each key, by modification instant.
+    """The newest landed version of each key.
 
     Landing folders keep every version; what is open or active *now* is known from the
-    newest one only. Versions of one instant are told apart by their other plain fields.
-    Each map task keeps one row per key before anything is shuffled.
+    newest one only. Each map task keeps one row per key before anything is shuffled.
     """
-    plain = [f.name for f in payloads.schema if f.dataType.typeName() in ("string", "boolean")]
-    ties = [F.col(c).cast("string").desc_nulls_last() for c in plain if c not in keys]
-    order = [parse_instant(F.col("modified_at")).desc_nulls_last(), *ties]
-    newest = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    order = version_of(payloads, *keys).desc()
+    newest = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
     return payloads.withColumn("version_rank", newest).filter("version_rank = 1").drop("version_rank")
 
 
+def newer_than(payloads: DataFrame, known: DataFrame, *keys: str) -> DataFrame:
+    """Of payloads, one per key, those that ``known`` lacks or holds in an older version.
+
+    Of ``known`` only the keys and versions are read, and only those that meet a payload go on.
+    """
+    held = known.select(*keys, version_of(known, *keys).alias("held"))
+    met = held.join(payloads.select(*keys), list(keys), "left_semi")
+    compared = payloads.withColumn("offered", version_of(payloads, *keys)).join(met, list(keys), "left")
+    newer = F.col("held").isNull() | (F.col("offered") > F.col("held"))
+    return compared.filter(newer).select(*payloads.columns)
+
+
 def still_open(tasks: DataFrame) -> DataFrame:
     """Payloads of incomplete tasks only."""
     return tasks.filter(F.col("completed").isNull() | ~F.col("completed"))
@@ -85,14 +109,24 @@ def entries_between(
     last: date,
     user_gid: str | None = None,
     project_gid: str | None = None,
+    keep: Column | None = None,
 ) -> DataFrame:
-    """Time-entry payloads entered in ``[first, last]``, optionally of one user or project."""
-    chosen = entries.filter(parse_day(F.col("entered_on")).between(F.lit(first), F.lit(last)))
+    """Time-entry payloads entered in ``[first, last]``, optionally of one user or project.
+
+    The day's condition uses ``entered_on`` alone, so that it decides which folders are read
+    where entries are partitioned by it. Of these, rows for which ``keep`` holds stay anyway.
+    """
+    day = parse_day(F.col("entered_on"))
+    inside = day.between(F.lit(first), F.lit(last))
+    whose = F.lit(True)
     if user_gid:
-        chosen = chosen.filter(F.col("user.gid") == user_gid)
+        whose = whose & (F.col("user.gid") == user_gid)
     if project_gid:
-        chosen = chosen.filter(F.col("attributed_project.gid") == project_gid)
-    return chosen
+        whose = whose & (F.col("attributed_project.gid") == project_gid)
+    if keep is None:
+        return entries.filter(inside).filter(whose)
+    # A line that cannot be read has no day, unless its folder names one.
+    return entries.filter(inside | F.col("entered_on").isNull()).filter((inside & whose) | keep)
 
 
 def yesterday(now: datetime, zone: str = BUSINESS_ZONE) -> date:

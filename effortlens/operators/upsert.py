@@ -27,10 +27,13 @@ def latest_in_batch(batch: DataFrame) -> DataFrame:
     return first_per_key(batch, "task_id", newest_first(recency, F.col("inserted_at")))
 
 
-def merge_tasks(target: DataFrame, batch: DataFrame, small_batch: bool = False) -> DataFrame:
+def merge_tasks(
+    target: DataFrame, batch: DataFrame, small_batch: bool = False, keep_newer: bool = False
+) -> DataFrame:
     """Target after the batch: matched rows overwritten, others inserted or left alone.
 
-    ``batch`` holds at most one row per task. The batch wins even when it is older.
+    ``batch`` holds at most one row per task. The batch wins even when it is older, unless
+    ``keep_newer`` is set: stored rows of a later modification then stay.
     By default one full outer join on the task shuffles both sides. With
     ``small_batch`` the target is probed instead, so that a batch whose measured size
     allows Spark to broadcast it leaves the target unshuffled and in its stored order.
@@ -40,11 +43,16 @@ def merge_tasks(target: DataFrame, batch: DataFrame, small_batch: bool = False)
         "task_id", *[F.col(c).alias(f"new_{c}") for c in columns], F.lit(True).alias("in_batch")
     )
 
+    wins = F.col("in_batch")
+    if keep_newer:
+        stale = F.col("modified_at") > F.col("new_modified_at")
+        wins = wins & ~F.coalesce(stale, F.lit(False))
+
     def merged(name: str) -> Column:
         new, old = F.col(f"new_{name}"), F.col(name)
         if name in KEPT_WHEN_ABSENT:
-            return F.coalesce(new, old).alias(name)
-        return F.when(F.col("in_batch"), new).otherwise(old).alias(name)
+            new = F.coalesce(new, old)
+        return F.when(wins, new).otherwise(old).alias(name)
 
     result = [
         F.col("task_id") if c == "task_id" else merged(c) for c in target.columns
@@ -86,7 +94,17 @@ def stage_entries(rows: DataFrame, run_ts: datetime) -> DataFrame:
     return first_per_key(fitted, "entry_id", order)
 
 
+def absent_rows(rows: DataFrame, known: DataFrame, *keys: str) -> DataFrame:
+    """Rows whose key ``known`` does not hold."""
+    return rows.join(known.select(*keys), list(keys), "left_anti").select(*rows.columns)
+
+
+def replace_rows(existing: DataFrame, batch: DataFrame, *keys: str) -> DataFrame:
+    """Stored rows with those of the batch replaced or added."""
+    untouched = absent_rows(existing, batch, *keys)
+    return untouched.unionByName(batch.select(*existing.columns))
+
+
 def replace_entries(existing: DataFrame, batch: DataFrame) -> DataFrame:
     """Stored entries with those of the batch replaced or added."""
-    untouched = existing.join(batch.select("entry_id"), "entry_id", "left_anti")
-    return untouched.select(*existing.columns).unionByName(batch.select(*existing.columns))
+    return replace_rows(existing, batch, "entry_id")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from effortlens.functions.timeutil import local_today, month_bounds
 from effortlens.operators import daily, dims, monthly, open_tasks, reports, weekly
 from effortlens.operators.daily import BASELINE_REACH_DAYS
+from effortlens.plans.effort import refresh_effort, stored_effort
 from effortlens.plans.warehouse import Warehouse
 from effortlens.sources.report_sink import publish_report
 from effortlens.sources.tables import read_snapshots
@@ -19,26 +20,27 @@ from effortlens.sources.tables import read_snapshots
 def publish_reports(
     spark: SparkSession, warehouse: Warehouse, run_ts: datetime
 ) -> dict[str, bool]:
-    """Write the three reports; the tasks are read and aggregated once for all of them."""
-    effort = reports.monthly_effort(warehouse.unique(spark)).persist()
-    try:
-        return {
-            kind: publish_report(
-                reports.report_from_effort(effort, kind), kind, warehouse.reports, run_ts
-            )
-            for kind in reports.REPORT_KEYS
-        }
-    finally:
-        effort.unpersist()
+    """Write the three reports from the stored totals.
+
+    Only months that merges have touched since the last time are read and aggregated again.
+    """
+    refresh_effort(spark, warehouse)
+    effort = stored_effort(spark, warehouse)
+    return {
+        kind: publish_report(
+            reports.report_from_effort(effort, kind), kind, warehouse.reports, run_ts
+        )
+        for kind in reports.REPORT_KEYS
+    }
 
 
 def seed_dimensions(spark: SparkSession, warehouse: Warehouse, run_ts: datetime) -> None:
     """Refresh the project and user dimensions from the latest task versions."""
     unique = warehouse.unique(spark)
     known = warehouse.projects(spark)
-    known.replace(dims.upsert_projects(known.read().drop("part"), unique, run_ts))
+    known.replace(dims.upsert_projects(known.read(), unique, run_ts))
     people = warehouse.users(spark)
-    people.replace(dims.upsert_users(people.read().drop("part"), unique, run_ts))
+    people.replace(dims.upsert_users(people.read(), unique, run_ts))
 
 
 @dataclass(frozen=True)
@@ -53,7 +55,7 @@ def monthly_digest(
 ) -> MonthlyDigest:
     """Digest of a month, by default the latest that has completions.
 
-    Which month that is stands in the table's manifest, so one month is read either way.
+    Which month that is stands in the names of folders, so one month is read either way.
     """
     month = month or warehouse.latest_month(spark)
     if month is None:

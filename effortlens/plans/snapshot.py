@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from effortlens import schema
 from effortlens.functions.timeutil import local_today
 from effortlens.operators import normalize, projects, scans
+from effortlens.plans.current import fold_landing
 from effortlens.plans.publish import WeeklyPlan, weekly_plan
 from effortlens.plans.warehouse import Landing, Warehouse
 from effortlens.sources import landing as land
+from effortlens.sources.quarantine import accepted
 from effortlens.sources.tables import append_snapshot
 
 
@@ -34,26 +36,30 @@ def take_snapshot(
 ) -> SnapshotOutcome:
     """Store the open tasks of all active projects as of a local day, today by default.
 
-    The same day stamps the rows and decides what is overdue. Landing folders keep every
-    version of a payload; only the newest of each project, task and subtask counts.
+    The same day stamps the rows and decides what is overdue. What is open now stands in the
+    current tables, into which newly landed payloads are folded first; landed history is not
+    read again.
     """
     as_of = as_of or local_today(run_ts)
-    known = scans.latest_payloads(land.read_projects(spark, landing.projects), "gid")
-    listed = projects.active_projects(known)
-    lines, offered = Observation("lines"), Observation("offered")
-    landed = land.count_malformed(land.read_tasks(spark, landing.tasks), lines)
-    newest = scans.latest_payloads(landed, "project_gid", "gid")
-    tasks = projects.of_projects(newest, listed)
-    apart = None
-    if landing.subtasks:
-        apart = scans.latest_payloads(
-            land.read_subtasks(spark, landing.subtasks), "parent_gid", "gid"
-        )
-    items = normalize.task_items(scans.still_open(tasks), apart)
-    rows = normalize.snapshot_rows(normalize.open_task_rows(items), as_of, run_ts)
-    keyed = schema.count_rejected(rows, schema.OPEN_TASKS_SNAPSHOT, offered)
-    append_snapshot(keyed, warehouse.snapshots, idempotent, as_of)
-    return SnapshotOutcome(as_of, offered.get["rejected"], lines.get["malformed"])
+    listing = accepted(
+        land.read_projects(spark, landing.projects),
+        "projects",
+        ("gid",),
+        warehouse.quarantine(spark),
+        run_ts,
+    )
+    now = fold_landing(spark, landing, warehouse, run_ts)
+    with listing as listed:
+        known = projects.active_projects(scans.latest_payloads(listed.rows, "gid"))
+        tasks = projects.of_projects(scans.still_open(now.tasks), known)
+        items = normalize.task_items(tasks, now.subtasks)
+        rows = normalize.snapshot_rows(normalize.open_task_rows(items), as_of, run_ts)
+        offered = Observation("offered")
+        keyed = schema.count_rejected(rows, schema.OPEN_TASKS_SNAPSHOT, offered)
+        append_snapshot(keyed, warehouse.snapshots, idempotent, as_of)
+    rejected = schema.figures_of(offered, rejected=0)["rejected"]
+    keyless = now.keyless + listed.keyless + rejected
+    return SnapshotOutcome(as_of, keyless, now.malformed + listed.malformed)
 
 
 @dataclass(frozen=True)

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
-from effortlens.functions.timeutil import day_start_utc
+from effortlens.functions.timeutil import day_start_utc, ntz_literal, parse_mark
 from effortlens.operators import metrics, normalize, projects, scans, upsert
+from effortlens.plans.current import fold_landing
 from effortlens.plans.publish import DailyDigest, daily_digest
 from effortlens.plans.warehouse import Landing, Warehouse
+from effortlens.schema import figures_of
 from effortlens.sources import landing as land
-from effortlens.sources.tables import KeyedTable, MergeResult
+from effortlens.sources.quarantine import accepted
+from effortlens.sources.tables import MergeResult
 
 
 @dataclass(frozen=True)
@@ -46,12 +50,6 @@ class SyncOutcome:
     merge: MergeResult
 
 
-def _watermark(table: KeyedTable) -> datetime | None:
-    """Latest modification held, from the table's manifest."""
-    text = table.high_water()
-    return datetime.strptime(text, "%Y-%m-%dT%H:%M:%S.%fZ") if text else None
-
-
 def sync_completed(
     spark: SparkSession,
     landing: Landing,
@@ -61,42 +59,52 @@ def sync_completed(
 ) -> SyncOutcome:
     """Bring the completed-task table up to date with what has been landed.
 
-    One pass over the landed payloads of the chosen projects; the merge rewrites only
-    the months it touches and fills the minute columns of the rows it rewrites.
+    Newly landed payloads are folded into the current tables first. A sync that goes on from
+    the last one then takes what was first seen since: fresh parents with all their subtasks,
+    and fresh subtasks of all parents that are open or past the cutoff, whenever these landed.
+    Tasks of a project that was changed since count as fresh.
     """
     table = warehouse.completed(spark)
+    _, last_run, mark = table.last_logged()
     needs_watermark = not (options.full_sync or options.backfill_subtasks)
-    watermark = _watermark(table) if needs_watermark else None
+    watermark = parse_mark(mark) if needs_watermark and mark else None
     cutoff = scans.completed_since_cutoff(
         watermark, options.override(), options.backfill_subtasks, options.full_sync
     )
-
-    known = scans.latest_payloads(land.read_projects(spark, landing.projects), "gid")
-    listed = projects.active_projects(known)
-    chosen = projects.named_like(listed, options.project_filter)
-    # What was modified after the watermark was landed on its day or later.
-    since = cutoff.date() - timedelta(days=1) if watermark and cutoff == watermark else None
-    lines = Observation("lines")
-    landed = land.count_malformed(land.read_tasks(spark, landing.tasks, since), lines)
-    tasks = projects.of_projects(landed, chosen)
-    apart = None
-    if landing.subtasks:
-        apart = scans.latest_payloads(
-            land.read_subtasks(spark, landing.subtasks), "parent_gid", "gid"
-        )
-    recent = scans.completed_since(tasks, cutoff, options.cutoff_by)
-    items = normalize.task_items(recent, apart)
-    rows = normalize.completed_task_rows(items, options.include_incomplete_subtasks)
-
-    seen = Observation("sync")
-    batch = metrics.observed(upsert.stage_batch(rows, run_ts), seen)
-    merged = table.merge(
-        upsert.latest_in_batch(batch), upsert.merge_tasks, finish=upsert.backfill_minutes
+    listing = accepted(
+        land.read_projects(spark, landing.projects),
+        "projects",
+        ("gid",),
+        warehouse.quarantine(spark),
+        run_ts,
     )
-    figures = seen.get
-    malformed = lines.get["malformed"]
+    now = fold_landing(spark, landing, warehouse, run_ts)
+    with listing as listed:
+        known = projects.active_projects(scans.latest_payloads(listed.rows, "gid"))
+        chosen = projects.named_like(known, options.project_filter)
+        tasks = projects.of_projects(now.tasks, chosen)
+        recent = scans.completed_since(tasks, cutoff, options.cutoff_by)
+        if watermark is None or last_run is None:
+            items = normalize.task_items(recent, now.subtasks)
+        else:
+            new = F.col("seen_at") >= ntz_literal(last_run)
+            moved = projects.changed_since(chosen, last_run - timedelta(days=1))
+            marked = recent.join(moved.withColumn("moved", F.lit(True)), "project_gid", "left")
+            fresh = new | F.coalesce("moved", F.lit(False))
+            items = normalize.fresh_items(marked, now.subtasks, fresh, new)
+        rows = normalize.completed_task_rows(items, options.include_incomplete_subtasks)
+        seen = Observation("sync")
+        batch = metrics.observed(upsert.stage_batch(rows, run_ts), seen)
+        merged = table.merge(
+            upsert.latest_in_batch(batch),
+            upsert.merge_tasks,
+            finish=upsert.backfill_minutes,
+            stamp=run_ts,
+        )
+    figures = figures_of(seen, tasks_processed=0, errors=0)
+    lost = now.malformed + now.keyless + listed.malformed + listed.keyless
     return SyncOutcome(
-        run_ts, figures["tasks_processed"], figures["errors"] + malformed, cutoff, merged
+        run_ts, figures["tasks_processed"], figures["errors"] + lost, cutoff, merged
     )
 
 
@@ -112,12 +120,22 @@ def sync_time_entries(
 ) -> MergeResult:
     """Replace the landed entries of a day range, by default of yesterday (local)."""
     first = first or scans.yesterday(run_ts)
-    landed = land.read_time_entries(spark, landing.time_entries)
-    entries = scans.entries_between(landed, first, last or first, user_gid, project_gid)
-    batch = upsert.stage_entries(normalize.time_entry_rows(entries), run_ts)
-    return warehouse.entries(spark).merge(
-        batch, lambda stored, new, small: upsert.replace_entries(stored, new)
+    landed = scans.entries_between(
+        land.read_time_entries(spark, landing.time_entries),
+        first,
+        last or first,
+        user_gid,
+        project_gid,
+        keep=F.col(land.MALFORMED).isNotNull(),
     )
+    aside = warehouse.quarantine(spark)
+    with accepted(landed, "time_entries", ("gid",), aside, run_ts) as entries:
+        batch = upsert.stage_entries(normalize.time_entry_rows(entries.rows), run_ts)
+        merged = warehouse.entries(spark).merge(
+            batch, lambda stored, new, small: upsert.replace_entries(stored, new)
+        )
+        lost = entries.malformed + entries.keyless
+        return replace(merged, rejected=merged.rejected + lost)
 
 
 @dataclass(frozen=True)

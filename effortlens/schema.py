@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,7 @@ _TYPES: dict[str, T.DataType] = {
     "double": T.DoubleType(),
     "boolean": T.BooleanType(),
     "int": T.IntegerType(),
+    "long": T.LongType(),
     "date": T.DateType(),
     "instant": T.TimestampNTZType(),
 }
@@ -72,7 +74,23 @@ TIME_ENTRY = T.StructType(
     ]
 )
 
+# The newest landed version of a payload, and when the run that first saw it started.
+_SEEN = T.StructField("seen_at", T.TimestampNTZType())
+
+
+def _keyed(payload: T.StructType, *keys: str) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, f.name not in keys) for f in payload])
+
+
+CURRENT_TASK = _keyed(TASK, "gid").add(_SEEN)
+CURRENT_SUBTASK = _keyed(DETACHED_SUBTASK, "gid", "parent_gid").add(_SEEN)
+
 # Stored tables.
+QUARANTINE = _struct(
+    "source string, line_sha256 string, line string, reason string, copies long, noticed_at instant",
+    required=("source", "line_sha256"),
+)
+
 COMPLETED_TASKS = _struct(
     "task_id string, task_name string, project_id string, project_name string, "
     "assignee_name string, completed_at instant, created_at instant, due_on date, "
@@ -135,6 +153,18 @@ def count_rejected(df: DataFrame, schema: T.StructType, observation: Observation
     return reject_null_keys(counted, schema)
 
 
+def figures_of(observation: Observation, **without: object) -> dict:
+    """Figures of an action that has run; ``without`` where Spark saw that there was no input.
+
+    A plan that is known to be empty is not run, and then nothing is observed.
+    """
+    try:
+        found = observation.get
+    except Py4JJavaError:
+        found = {}
+    return {**without, **{k: v for k, v in found.items() if v is not None}}
+
+
 def reject_null_keys(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Keep only rows whose required columns are all present."""
     for name in required_columns(schema):

@@ -1,24 +1,22 @@
-"""Stored tables: keyed parquet tables that take merges, and the snapshot table.
-
-Plain parquet has no MERGE, and overwriting the files a query reads destroys them. A
-keyed table therefore never changes a file: a merge writes the partitions it touches
-under a new commit folder, then appends a manifest naming the folder that now holds
-each partition. Readers follow the newest manifest and see either all of a merge or
-none of it; a job that dies half-way leaves only files nobody reads. A version is
-written under a name of its own, so of two writers that start from the same version the
-second fails and can run again. Versions beyond the last ``retain`` are removed with the
-data that only they name.
+"""Stored tables: plain parquet folders that take merges, and the snapshot table.
+
+A stored table is partitioned by a label (a month, say) and a bucket of its key, so a merge
+rewrites only the partitions that hold or receive a row of its batch. What they will hold is
+written beside the table first, then their names, and then each takes its place. A job that dies
+before the names are written has changed nothing; one that dies later is finished by the next
+call, since a partition's new content stays beside the table until it has taken its place. (A
+dynamic partition overwrite removes partitions before it renames their new content, with no
+record of it, and would have to write the rows a second time.) One writer at a time.
 """
 
 from __future__ import annotations
 
-import re
+import json
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
-from datetime import date
+from dataclasses import dataclass
+from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,151 +26,133 @@ from effortlens.functions.timeutil import iso_millis, local_month
 from effortlens.sources import folders
 
 UNDATED = "none"
+BUCKET = "key_bucket"
 
-_MANIFEST = T.StructType(
-    [
-        T.StructField("label", T.StringType()),
-        T.StructField("commit_id", T.StringType()),
-        T.StructField("stream_id", T.StringType()),
-        T.StructField("stream_batch", T.LongType()),
-        T.StructField("version", T.IntegerType()),
-        T.StructField("high_water", T.StringType()),
-    ]
-)
-
-
-class WriteConflict(RuntimeError):
-    """Another writer has published the version that this one was about to."""
+_LOG = "number long, stamp timestamp_ntz, rows long, rejected long, mark string, labels array<string>"
 
 
 @dataclass(frozen=True)
 class Layout:
-    """How a keyed table is laid out: its key, its partitions and the order inside them."""
+    """How a table is laid out: its key, its partitions and the order inside them."""
 
     schema: T.StructType
-    key: str
-    label: str
-    label_of: Callable[[], Column]
-    cluster_by: tuple[str, ...]
+    key: tuple[str, ...]
+    label: str | None = None
+    label_of: Callable[[], Column] | None = None
+    cluster_by: tuple[str, ...] = ()
+    # What the log keeps of a batch, as text: the latest modification, say.
+    mark_of: Callable[[], Column] | None = None
+
+    @property
+    def parts(self) -> list[str]:
+        return [BUCKET] if self.label is None else [self.label, BUCKET]
 
 
 def _month_or_undated(month: Column) -> Column:
     return F.coalesce(month, F.lit(UNDATED))
 
 
+def _last_modified() -> Column:
+    return iso_millis(F.max("modified_at"))
+
+
 COMPLETED_TASKS = Layout(
     schema.COMPLETED_TASKS,
-    key="task_id",
-    label="completed_month_jst",
-    label_of=lambda: _month_or_undated(local_month(F.col("completed_at"))),
-    cluster_by=("project_gid", "assignee_gid"),
+    ("task_id",),
+    "completed_month_jst",
+    lambda: _month_or_undated(local_month(F.col("completed_at"))),
+    ("project_gid", "assignee_gid"),
+    _last_modified,
 )
 
 TIME_ENTRIES = Layout(
     schema.TIME_ENTRIES,
-    key="entry_id",
-    label="entered_month",
-    label_of=lambda: _month_or_undated(F.substring(F.col("entered_on").cast("string"), 1, 7)),
-    cluster_by=("entered_on", "project_name", "user_name"),
+    ("entry_id",),
+    "entered_month",
+    lambda: _month_or_undated(F.substring(F.col("entered_on").cast("string"), 1, 7)),
+    ("entered_on", "project_name", "user_name"),
+    _last_modified,
 )
 
-# Dimensions are rewritten as a whole, so they have one partition.
-DIM_PROJECTS = Layout(
-    schema.DIM_PROJECTS, "project_gid", "part", lambda: F.lit("all"), ("project_gid",)
-)
-DIM_USERS = Layout(
-    schema.DIM_USERS, "assignee_gid", "part", lambda: F.lit("all"), ("assignee_gid",)
-)
+DIM_PROJECTS = Layout(schema.DIM_PROJECTS, ("project_gid",))
+DIM_USERS = Layout(schema.DIM_USERS, ("assignee_gid",))
 
+# The newest landed version of every task and subtask.
+CURRENT_TASKS = Layout(schema.CURRENT_TASK, ("project_gid", "gid"), cluster_by=("project_gid",))
+CURRENT_SUBTASKS = Layout(
+    schema.CURRENT_SUBTASK, ("parent_gid", "gid"), cluster_by=("parent_gid",)
+)
 
-@dataclass
-class _State:
-    version: int = 0
-    segments: dict[str, str] = field(default_factory=dict)
-    streams: dict[str, int] = field(default_factory=dict)
-    high_water: str | None = None
+QUARANTINE = Layout(schema.QUARANTINE, ("source", "line_sha256"), cluster_by=("source",))
 
 
 @dataclass(frozen=True)
 class MergeResult:
-    version: int
     rows: int
-    rewritten: tuple[str, ...]
+    rewritten: tuple[str, ...] = ()  # partitions, as their folders are named
     rejected: int = 0
 
+    @property
+    def labels(self) -> tuple[str, ...]:
+        """Labels of the rewritten partitions."""
+        return tuple(sorted({p.split("/")[0].split("=", 1)[1] for p in self.rewritten}))
 
-class KeyedTable:
-    """A parquet table with one row per key, partitioned by month."""
 
-    def __init__(self, spark: SparkSession, path: str, layout: Layout, retain: int = 20):
+class StoredTable:
+    """A parquet table with one row per key; ``buckets`` stays what it was at the first merge."""
+
+    def __init__(self, spark: SparkSession, path: str, layout: Layout, buckets: int = 1):
         self.spark = spark
-        self.retain = retain
-        self.rejected = 0  # keyless rows that the last ``replace`` left out
         self.layout = layout
+        self.buckets = buckets
         self.path = path.rstrip("/")
-        self._data = f"{path.rstrip('/')}/data"
-        self._manifests = f"{path.rstrip('/')}/manifests"
-        self._staging = f"{path.rstrip('/')}/staging"
+        self._log = f"{self.path}/_log"
+        self._staging = f"{self.path}/_staging"
+        self._pending = f"{self.path}/_pending"
+        self._rows = f"{self._pending}/rows"
+        self._due = f"{self._pending}/due.json"
 
     # Reading
 
-    def _state(self) -> _State:
-        """What the newest manifest says; only the names of the others are looked at."""
-        versions = self._versions()
-        return self._manifest(max(versions)) if versions else _State()
-
-    def _versions(self) -> list[int]:
-        """Complete versions, of which there are about ``retain``."""
-        names = folders.names_in(self.spark, self._manifests)
-        numbers = [int(n) for name in names for n in re.findall(r"^version=(\d+)$", name)]
-        newest = max(numbers, default=0)
-        # Only the newest can be one that a dying writer did not finish.
-        done = "_SUCCESS" in folders.names_in(self.spark, f"{self._manifests}/version={newest}")
-        return [n for n in numbers if n < newest or done]
-
-    def _manifest(self, version: int) -> _State:
-        # One row per month or stream, however large the table is.
-        folder = f"{self._manifests}/version={version}"
-        rows = self.spark.read.schema(_MANIFEST).parquet(folder).collect()
-        return _State(
-            version,
-            {r.label: r.commit_id for r in rows if r.label is not None},
-            {r.stream_id: r.stream_batch for r in rows if r.stream_id is not None},
-            max((r.high_water for r in rows if r.high_water), default=None),
-        )
+    def read(self, labels: Sequence[str] | None = None) -> DataFrame:
+        """Rows with their partition label; only the given partitions if named."""
+        return self._stored(labels).drop(BUCKET)
+
+    def _stored(self, labels: Sequence[str] | None = None) -> DataFrame:
+        kinds = {BUCKET: T.IntegerType()}
+        fields = [T.StructField(f.name, f.dataType) for f in self.layout.schema]
+        fields += [T.StructField(p, kinds.get(p, T.StringType())) for p in self.layout.parts]
+        held = [n for n in folders.names_in(self.spark, self.path) if "=" in n]
+        if labels is not None:  # only their folders are listed
+            held = sorted(set(held) & {f"{self.layout.label}={label}" for label in labels})
+        if not held:
+            return self.spark.createDataFrame([], T.StructType(fields))
+        reader = self.spark.read.schema(T.StructType(fields)).option("basePath", self.path)
+        return reader.parquet(*([self.path] if labels is None else [f"{self.path}/{n}" for n in held]))
 
     def labels(self) -> list[str]:
-        """Labels of the partitions that hold rows."""
-        return sorted(self._state().segments)
+        """Labels of the partitions that hold rows, from the names of folders."""
+        named = [n for n in folders.names_in(self.spark, self.path) if n.startswith(f"{self.layout.label}=")]
+        return sorted(
+            n.split("=", 1)[1]
+            for n in named
+            if any("=" in b for b in folders.names_in(self.spark, f"{self.path}/{n}"))
+        )
 
-    def high_water(self) -> str | None:
-        """Latest modification ever written, from the manifest alone; null without any."""
-        return self._state().high_water
+    def log(self) -> DataFrame:
+        """One row per merge: number, stamp, rows, rejected, mark and labels touched."""
+        if not folders.names_in(self.spark, self._log):
+            return self.spark.createDataFrame([], _LOG)
+        return self.spark.read.schema(_LOG).json(self._log)
 
-    def version(self) -> int:
-        return self._state().version
+    def last_logged(self) -> tuple[int, datetime | None, str | None]:
+        """Number of the last merge, latest stamp and highest mark; 0 and nulls without any."""
+        newest = self.log().agg(F.max("number"), F.max("stamp"), F.max("mark")).first()
+        return newest[0] or 0, newest[1], newest[2]
 
-    def read(self, labels: Sequence[str] | None = None) -> DataFrame:
-        """Current rows with their partition label; only the given partitions if named."""
-        return self._read(self._state(), labels)
-
-    def _read(self, state: _State, labels: Sequence[str] | None = None) -> DataFrame:
-        wanted = state.segments if labels is None else set(labels) & set(state.segments)
-        stored = T.StructType(
-            [
-                *[T.StructField(f.name, f.dataType) for f in self.layout.schema],
-                T.StructField("commit_id", T.StringType()),
-                T.StructField(self.layout.label, T.StringType()),
-            ]
-        )
-        if not wanted:
-            return self.spark.createDataFrame([], stored).drop("commit_id")
-        folders = [
-            f"{self._data}/commit_id={state.segments[w]}/{self.layout.label}={w}"
-            for w in sorted(wanted)
-        ]
-        reader = self.spark.read.schema(stored).option("basePath", self._data)
-        return reader.parquet(*folders).drop("commit_id")
+    def high_water(self) -> str | None:
+        """Highest mark of all merges, from the log alone; null without any."""
+        return self.last_logged()[2]
 
     # Writing
 
@@ -181,156 +161,142 @@ class KeyedTable:
         batch: DataFrame,
         combine: Callable[[DataFrame, DataFrame, bool], DataFrame],
         finish: Callable[[DataFrame], DataFrame] = lambda rows: rows,
-        stream: tuple[str, int] | None = None,
+        stamp: datetime | None = None,
+        mark: str | None = None,
     ) -> MergeResult:
-        """Merge a batch of one row per key and publish the outcome as a new version.
+        """Merge a batch of one row per key.
 
         Rewritten are the partitions that hold an old row of a batch key and those that
-        receive a new one; a row that changes month leaves its old place. The batch is
+        receive a new one; a row that changes its label leaves its old place. The batch is
         written down first, so that its size is known before a join is chosen:
-        ``combine(target, batch, small)`` is told whether Spark may broadcast it.
-        ``finish`` is applied to every rewritten row. A ``stream`` position already
-        recorded is skipped, which makes a replayed micro-batch harmless.
+        ``combine(target, batch, small)`` is told whether Spark may broadcast it. ``finish`` is
+        applied to every rewritten row. The same batch may be merged again without harm.
         """
-        state = self._state()
-        if stream is not None and state.streams.get(stream[0], -1) >= stream[1]:
-            return MergeResult(state.version, 0, ())
-
+        self.recover()
         folder = f"{self._staging}/{uuid.uuid4().hex}"
         try:
-            return self._merge(state, *self._stage(batch, folder), combine, finish, stream)
+            staged, seen, rejected = self._stage(batch, folder)
+            mark = mark or seen["mark"]
+            if not seen["rows"]:
+                if stamp is not None:
+                    number = self.last_logged()[0] + 1
+                    noted = {"number": number, "stamp": stamp.isoformat(), "rows": 0}
+                    self._note({**noted, "rejected": rejected, "mark": mark, "labels": []})
+                return MergeResult(0, (), rejected)
+            stored = self._stored().filter(F.col(BUCKET).isin(*seen["buckets"]))
+            touched = self._touched(stored, staged)
+            names = [f.name for f in self.layout.schema]
+            target = stored.filter(self._place().isin(*touched)).select(*names)
+            merged = combine(target, staged.select(*names), self._is_small(folder))
+            self._switch(finish(merged), touched, stamp, seen["rows"], rejected, mark)
+            return MergeResult(seen["rows"], tuple(sorted(touched)), rejected)
         finally:
             folders.delete(self.spark, folder)
 
-    def _merge(self, state, staged, rows, rejected, combine, finish, stream) -> MergeResult:
-        if rows == 0:
-            return MergeResult(state.version, 0, (), rejected)
-        current = self._read(state)
-        touched = self._touched(current, staged)
-
-        names = [f.name for f in self.layout.schema]
-        target = self._read(state, touched).select(*names)
-        merged = finish(combine(target, staged.select(*names), self._is_small(staged)))
-        commit, present, latest = self._write(self._balanced(merged))
-        kept = {k: v for k, v in state.segments.items() if k not in touched}
-        streams = {**state.streams, **({stream[0]: stream[1]} if stream else {})}
-        published = _State(
-            state.version + 1,
-            {**kept, **{label: commit for label in present}},
-            streams,
-            max((w for w in (latest, state.high_water) if w), default=None),
-        )
-        self._publish(published)
-        return MergeResult(published.version, rows, tuple(sorted(touched)), rejected)
-
     def rewrite(
         self, transform: Callable[[DataFrame], DataFrame] = lambda rows: rows
-    ) -> int:
-        """Rewrite the whole table, range-clustered, with a row-wise change applied.
-
-        Ranges over the month, the cluster columns and the key give files that cover
-        disjoint stretches of a month; a month or project of any size spans as many
-        files as it needs.
-        """
-        state = self._state()
+    ) -> None:
+        """Rewrite the whole table in cluster order, with a row-wise change applied."""
+        self.recover()
         names = [f.name for f in self.layout.schema]
-        rows = self._labelled(transform(self._read(state).select(*names)))
-        order = [self.layout.label, *self.layout.cluster_by, self.layout.key]
-        ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        commit, present, latest = self._write(ranged)
-        published = _State(
-            state.version + 1, {label: commit for label in present}, state.streams, latest
-        )
-        self._publish(published)
-        return published.version
+        self._switch(transform(self._stored().select(*names)), self._places(), None, 0, 0, None)
 
     def replace(self, rows: DataFrame) -> int:
-        """Publish ``rows`` as the table's whole new content; they may be read from it."""
-        state = self._state()
+        """Make ``rows`` the whole content, and say how many lack a key; they may be read from it."""
+        self.recover()
         offered = Observation("offered")
         complete = schema.count_rejected(rows, self.layout.schema, offered)
-        commit, present, latest = self._write(self._balanced(complete))
-        published = _State(
-            state.version + 1, {label: commit for label in present}, state.streams, latest
-        )
-        self._publish(published)
-        self.rejected = offered.get["rejected"]
-        return published.version
-
-    def _labelled(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn(self.layout.label, self.layout.label_of())
-
-    def _balanced(self, rows: DataFrame) -> DataFrame:
-        """Rows of a month together, a large month split over several tasks by Spark."""
-        labelled = self._labelled(rows).hint("rebalance", self.layout.label)
-        return labelled.sortWithinPartitions(self.layout.label, *self.layout.cluster_by)
-
-    def _stage(self, batch: DataFrame, folder: str) -> tuple[DataFrame, int, int]:
-        """The batch at rest, its rows, and those left out because a required value lacks."""
+        self._switch(complete, self._places(), None, 0, 0, None)
+        return schema.figures_of(offered, rejected=0)["rejected"]
+
+    def recover(self) -> None:
+        """Finish a merge that died while its partitions were put in place."""
+        due = folders.read_text(self.spark, self._due)
+        if due is not None:
+            self._put_in_place(json.loads(due))
+        folders.delete(self.spark, self._pending)
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(*self.layout.key), F.lit(self.buckets)).cast("int")
+        if self.layout.label is not None:
+            rows = rows.withColumn(self.layout.label, self.layout.label_of())
+        return rows.withColumn(BUCKET, bucket)
+
+    def _place(self) -> Column:
+        """Name of a row's partition folder."""
+        parts = [F.concat(F.lit(f"{p}="), F.col(p).cast("string")) for p in self.layout.parts]
+        return F.concat_ws("/", *parts)
+
+    def _places(self) -> list[str]:
+        return [r[0] for r in self._stored().select(self._place()).distinct().collect()]
+
+    def _stage(self, batch: DataFrame, folder: str) -> tuple[DataFrame, dict, int]:
+        """The batch at rest, figures of it, and rows left out because a required value lacks."""
         counted, offered = Observation("staged"), Observation("offered")
         complete = schema.count_rejected(batch, self.layout.schema, offered)
-        labelled = self._labelled(complete).observe(counted, F.count(F.lit(1)).alias("rows"))
-        labelled.write.parquet(folder)
-        staged = self.spark.read.schema(labelled.schema).parquet(folder)
-        return staged, counted.get["rows"], offered.get["rejected"]
-
-    def _touched(self, current: DataFrame, staged: DataFrame) -> list[str]:
-        """Months of the batch's new rows and of the rows they replace."""
-        label, key = self.layout.label, self.layout.key
-        old = current.select(key, label).join(staged.select(key), key, "left_semi")
-        months = old.select(label).unionByName(staged.select(label)).distinct()
-        return [row[0] for row in months.collect()]
-
-    def _is_small(self, staged: DataFrame) -> bool:
+        mark = self.layout.mark_of() if self.layout.mark_of else F.max(F.lit(None).cast("string"))
+        placed = self._placed(complete).observe(
+            counted,
+            F.count(F.lit(1)).alias("rows"),
+            F.collect_set(BUCKET).alias("buckets"),
+            mark.alias("mark"),
+        )
+        placed.write.parquet(folder)
+        staged = self.spark.read.schema(placed.schema).parquet(folder)
+        seen = schema.figures_of(counted, rows=0, buckets=[], mark=None)
+        return staged, seen, schema.figures_of(offered, rejected=0)["rejected"]
+
+    def _touched(self, stored: DataFrame, staged: DataFrame) -> list[str]:
+        """Partitions of the batch's new rows and of the rows they replace."""
+        new = staged.select(self._place().alias("place"))
+        if self.layout.label is not None:  # else a key has the same place always
+            key = list(self.layout.key)
+            old = stored.select(*key, *self.layout.parts).join(staged.select(*key), key, "left_semi")
+            new = new.unionByName(old.select(self._place().alias("place")))
+        return [row[0] for row in new.distinct().collect()]
+
+    def _is_small(self, folder: str) -> bool:
         """Whether the written batch is within Spark's own broadcast threshold."""
-        folder = staged.inputFiles()[0].rsplit("/", 1)[0]
         files = self.spark.read.format("binaryFile").load(folder)
         size = files.agg(F.sum("length")).first()[0]
-        limit = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-        return size <= _bytes(limit)
-
-    def _write(self, labelled: DataFrame) -> tuple[str, list[str], str | None]:
-        """The commit, the labels that have rows, and the latest modification written."""
-        commit = uuid.uuid4().hex
-        seen = Observation("written")
-        dated = "modified_at" in labelled.columns
-        latest = iso_millis(F.max("modified_at")) if dated else F.lit(None).cast("string")
-        observed = labelled.observe(
-            seen, F.collect_set(self.layout.label).alias("labels"), latest.alias("latest")
-        )
-        observed.write.partitionBy(self.layout.label).parquet(
-            f"{self._data}/commit_id={commit}"
-        )
-        return commit, list(seen.get["labels"]), seen.get["latest"]
-
-    def _publish(self, state: _State) -> None:
-        v = state.version
-        rows = [(None, None, None, None, v, state.high_water)]
-        rows += [(k, c, None, None, v, None) for k, c in state.segments.items()]
-        rows += [(None, None, k, b, v, None) for k, b in state.streams.items()]
-        manifest = self.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
-        try:
-            manifest.write.mode("errorifexists").parquet(f"{self._manifests}/version={v}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
-            raise WriteConflict(f"version {v} has been published by another writer") from error
-        self._forget()
-
-    def _forget(self) -> None:
-        """Remove the versions beyond ``retain`` and the data that no other names."""
-        versions = sorted(self._versions())
-        old, kept = versions[: -self.retain], versions[-self.retain :]
-        if not old:
-            return
-        named = {s for v in kept for s in self._manifest(v).segments.items()}
-        for version in old:
-            for label, commit in set(self._manifest(version).segments.items()) - named:
-                folder = f"{self._data}/commit_id={commit}"
-                folders.delete(self.spark, f"{folder}/{self.layout.label}={label}")
-                if set(folders.names_in(self.spark, folder)) <= {"_SUCCESS"}:
-                    folders.delete(self.spark, folder)
-            folders.delete(self.spark, f"{self._manifests}/version={version}")
+        return size <= _bytes(self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+
+    def _switch(self, rows: DataFrame, touched: list[str], stamp, count, rejected, mark) -> None:
+        """Write down what the touched partitions will hold, then put it in place."""
+        seen = Observation("switched")
+        balanced = self._placed(rows).hint("rebalance", *self.layout.parts)
+        held = F.collect_set(self._place()).alias("places")
+        ordered = balanced.sortWithinPartitions(*self.layout.parts, *self.layout.cluster_by)
+        writer = ordered.observe(seen, held).write.mode("overwrite")
+        writer.partitionBy(*self.layout.parts).parquet(self._rows)
+        places = sorted(schema.figures_of(seen, places=[])["places"])
+        due = {
+            "number": self.last_logged()[0] + 1,
+            "stamp": stamp and stamp.isoformat(),
+            "rows": count,
+            "rejected": rejected,
+            "mark": mark,
+            "filled": places,
+            "emptied": sorted(set(touched) - set(places)),
+        }
+        folders.write_text(self.spark, self._due, json.dumps(due))
+        self._put_in_place(due)
+        folders.delete(self.spark, self._pending)
+
+    def _put_in_place(self, due: dict) -> None:
+        """Move partitions to the table; those that are there already have no copy any more."""
+        for place in due["filled"]:
+            if folders.exists(self.spark, f"{self._rows}/{place}"):
+                folders.put(self.spark, f"{self._rows}/{place}", f"{self.path}/{place}")
+        for place in due["emptied"]:
+            folders.delete(self.spark, f"{self.path}/{place}")
+        labels = {p.split("/")[0].split("=", 1)[1] for p in due["filled"] + due["emptied"]}
+        kept = {k: v for k, v in due.items() if k not in ("filled", "emptied")}
+        self._note({**kept, "labels": sorted(labels)})
+
+    def _note(self, merge: dict) -> None:
+        file = f"{self._log}/merge-{merge['number']:09d}.json"
+        folders.write_text(self.spark, file, json.dumps(merge) + "\n")
 
 
 def _bytes(text: str) -> int:

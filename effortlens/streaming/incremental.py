@@ -6,64 +6,140 @@ import hashlib
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from effortlens.operators import normalize, projects, scans, upsert
+from effortlens import schema
+from effortlens.functions.timeutil import parse_instant
+from effortlens.operators import metrics, normalize, projects, scans, upsert
 from effortlens.session import checkpoint_folder
-from effortlens.sources.tables import KeyedTable
+from effortlens.sources import folders
+from effortlens.sources.landing import MALFORMED
+from effortlens.sources.quarantine import refusal, refused_lines, set_aside
+from effortlens.sources.tables import StoredTable
+
+OBSERVED = "sync"
 
 
 def _utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def _sorted_out(landed: DataFrame, source: str, keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame | None]:
+    """Usable rows, and the others as lines with their source and reason."""
+    if MALFORMED not in landed.columns:
+        landed = landed.withColumn(MALFORMED, F.lit(None).cast("string"))
+    marked = landed.withColumn("refused_for", refusal(keys))
+    good = marked.filter(F.col("refused_for").isNull()).drop(MALFORMED, "refused_for")
+    payload = F.to_json(F.struct(*[c for c in landed.columns if c != MALFORMED]))
+    bad = marked.filter(F.col("refused_for").isNotNull()).select(
+        F.lit(source).alias("source"),
+        F.coalesce(MALFORMED, payload).alias(MALFORMED),
+        "refused_for",
+    )
+    return good, bad
+
+
+def streamed_items(tasks: DataFrame, subtasks: DataFrame | None) -> DataFrame:
+    """Items of the tasks that arrive, and of every parent and subtask that have met.
+
+    Detached subtasks are a stream of their own. Spark keeps both sides of the join in its
+    state, by parent, so a subtask finds its parent and a parent its subtasks however far apart
+    they land. ``parent_instant`` tells versions of a parent apart.
+    """
+    instant = parse_instant(F.col("modified_at")).alias("parent_instant")
+    if subtasks is None:
+        return normalize.task_items(tasks).withColumn(
+            "parent_instant", F.lit(None).cast("timestamp_ntz")
+        )
+    parents = tasks.filter(F.col("num_subtasks") > 0).select(
+        "project_gid", "project_name", F.col("gid").alias("parent_gid"), instant
+    )
+    children = normalize.child_items(parents, subtasks, also=("parent_instant",))
+    own = normalize.own_items(tasks).withColumn("parent_instant", F.lit(None).cast("timestamp_ntz"))
+    return own.unionByName(children)
+
+
+def _newest_pairs(rows: DataFrame) -> DataFrame:
+    """Of each task and project the newest version, with the newest version of its parent."""
+    order = [F.col("modified_at").desc_nulls_last(), F.col("parent_instant").desc_nulls_last()]
+    newest = F.row_number().over(Window.partitionBy("task_id", "project_gid").orderBy(*order))
+    ranked = rows.withColumn("pair_rank", newest).filter("pair_rank = 1")
+    return ranked.drop("pair_rank", "parent_instant")
+
+
 def task_upsert_stream(
     tasks: DataFrame,
-    table: KeyedTable,
+    table: StoredTable,
     checkpoint: str | None = None,
     include_incomplete_subtasks: bool = False,
     clock: Callable[[], datetime] = _utc_now,
     listing: Callable[[], DataFrame] | None = None,
     project_filter: str | None = None,
-    subtasks: Callable[[], DataFrame] | None = None,
+    subtasks: DataFrame | None = None,
+    quarantine: StoredTable | None = None,
 ) -> DataStreamWriter:
     """Writer that merges each micro-batch of the task stream; the caller starts it.
 
-    ``listing`` and ``subtasks`` read the landed projects and detached subtasks anew for each
-    micro-batch, which then keeps the tasks of active, matching projects only, as the batch
-    sync does. Subtasks come in with their parent's payload.
+    ``listing`` reads the landed projects anew for each micro-batch, which then keeps the rows
+    of active, matching projects only, as the batch sync does. ``subtasks`` is the stream of
+    detached subtasks. Lines that cannot be used go to ``quarantine``.
 
     The checkpoint takes the place of a modification watermark; it defaults to a folder
-    of the table's own below the one the cluster names for checkpoints. Each merge records the
-    query and micro-batch it came from in the version it publishes, so a micro-batch
-    replayed after a failure between merge and checkpoint is not merged again.
+    of the table's own below the one the cluster names for checkpoints. A micro-batch that is
+    replayed after a failure merges the same rows again, which changes nothing; stored rows of
+    a later modification stay. Figures of every micro-batch are observed as ``OBSERVED``, see
+    ``streaming.metrics``.
     """
+    good, bad = _sorted_out(tasks, "tasks", ("project_gid", "gid"))
+    apart = None
+    if subtasks is not None:
+        apart, more = _sorted_out(subtasks, "subtasks", ("parent_gid", "gid"))
+        bad = bad.unionByName(more)
+    rows = normalize.task_rows(streamed_items(good, apart), "parent_instant", "completed")
+    both = rows.unionByName(bad, allowMissingColumns=True)
+    is_row = F.col("source").isNull()
+    is_done = F.coalesce(normalize.is_completed_row(include_incomplete_subtasks), F.lit(False))
+    observed = both.observe(
+        OBSERVED,
+        *metrics.figures(["task_id"], is_row & is_done),
+        F.count_if(~is_row).alias("refused"),
+    )
 
-    def merge(payloads: DataFrame, batch_id: int) -> None:
-        context = payloads.sparkSession.sparkContext
-        query_id = context.getLocalProperty("sql.streaming.queryId")
-        if listing is not None:
-            known = projects.active_projects(scans.latest_payloads(listing(), "gid"))
-            chosen = projects.named_like(known, project_filter)
-            payloads = projects.of_projects(payloads, chosen)
-        apart = None
-        if subtasks is not None:
-            apart = scans.latest_payloads(subtasks(), "parent_gid", "gid")
-        items = normalize.task_items(payloads, apart)
-        rows = normalize.completed_task_rows(items, include_incomplete_subtasks)
-        batch = upsert.latest_in_batch(upsert.stage_batch(rows, clock()))
-        table.merge(
-            batch,
-            upsert.merge_tasks,
-            finish=upsert.backfill_minutes,
-            stream=(query_id, batch_id) if query_id else None,
-        )
+    def merge(landed: DataFrame, batch_id: int) -> None:
+        spark = landed.sparkSession
+        folder = folders.new_below(f"{table.path}/_staging")
+        try:
+            # Written once: state and figures belong to one pass over the micro-batch.
+            landed.write.parquet(folder)
+            parsed = spark.read.schema(landed.schema).parquet(folder)
+            arrived = parsed.filter(is_row).drop("source", MALFORMED, "refused_for")
+            if listing is not None:
+                known = projects.active_projects(scans.latest_payloads(listing(), "gid"))
+                chosen = projects.named_like(known, project_filter)
+                arrived = projects.of_projects(arrived, chosen)
+            now = clock()
+            # What is newest is told before what is completed, as in the batch sync.
+            staged = upsert.stage_batch(_newest_pairs(arrived).filter(is_done), now)
+            table.merge(
+                upsert.latest_in_batch(staged),
+                lambda stored, new, small: upsert.merge_tasks(stored, new, small, keep_newer=True),
+                finish=upsert.backfill_minutes,
+                stamp=now,
+            )
+            if quarantine is not None:
+                refused = parsed.filter(~is_row)
+                for source in ("tasks", "subtasks"):
+                    lines = refused.filter(F.col("source") == source).select(MALFORMED, "refused_for")
+                    set_aside(refused_lines(lines, source, now), quarantine)
+        finally:
+            folders.delete(spark, folder)
 
     own = hashlib.sha256(table.path.encode()).hexdigest()[:16]
     folder = checkpoint or checkpoint_folder(table.spark, f"task-upsert-{own}")
     return (
-        tasks.writeStream.foreachBatch(merge)
+        observed.writeStream.foreachBatch(merge)
         .option("checkpointLocation", folder)
         .trigger(availableNow=True)
     )

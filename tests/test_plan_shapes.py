@@ -10,7 +10,8 @@ import __spark_entry__ as registry
 from effortlens.checks.queries import all_queries
 from effortlens import schema
 from effortlens.checks import fixtures as fx
-from effortlens.operators import daily, open_tasks, reports, upsert, views, weekly
+from effortlens.operators import audit, daily, open_tasks, reports, scans, upsert, views, weekly
+from effortlens.sources import landing as land
 from effortlens.sources import tables
 
 
@@ -53,7 +54,7 @@ def test_no_query_makes_pairs_or_runs_python(spark, sf_dir):
 
 @pytest.fixture(scope="module")
 def stored(spark, sf_dir, tmp_path_factory):
-    table = tables.KeyedTable(
+    table = tables.StoredTable(
         spark, str(tmp_path_factory.mktemp("stored")), tables.COMPLETED_TASKS
     )
     batch = schema.conform(fx.raw_tasks(spark, sf_dir), schema.COMPLETED_TASKS)
@@ -74,7 +75,7 @@ def test_stored_day_scan_is_pruned_pushed_and_unshuffled(spark, stored):
     assert all("1998-06" in f for f in unique.inputFiles())
 
 
-def test_watermark_and_latest_month_come_from_the_manifest(spark, stored):
+def test_watermark_and_latest_month_come_without_a_scan(spark, stored):
     newest = stored.read().agg(F.max("modified_at")).first()[0]
     assert stored.high_water() == newest.strftime("%Y-%m-%dT%H:%M:%S.") + "000Z"
     months = [r[0] for r in stored.read().select("completed_month_jst").distinct().collect()]
@@ -119,6 +120,38 @@ def test_allow_list_is_a_filter_and_overdue_is_one_partition(spark, sf_dir, tmp_
     )
 
 
+def test_long_id_list_is_told_by_a_map_before_any_shuffle(spark, completed_rows):
+    rows = spark.range(0, 20_000).select(
+        F.concat(F.lit("t"), "id").alias("task_id"),
+        F.when(F.col("id") % 4 == 0, F.concat(F.lit("t"), (F.col("id") + 1).cast("string"))).alias("parent_task_id"),
+    )
+    tasks = schema.conform(rows, schema.COMPLETED_TASKS)
+    ids = spark.range(0, 20_000, 500).select(F.concat(F.lit("t"), F.col("id") + 1).alias("id"))
+    few = audit.maybe_listed(tasks, ids)
+    exact = audit.of_task_ids(tasks, ids)
+    # Listed ids t1, t501, ... and their children t0, t500, ...
+    assert exact.count() == 80 and 80 <= few.count() <= 90
+    plan = plan_of(few)
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    assert audit.id_map(ids).count() <= audit.MAP_BITS // 32768
+    assert exact.filter(F.col("task_id").isin("t500", "t501")).count() == 2
+
+
+def test_entries_are_read_by_the_folders_of_their_days(spark, sf_dir, tmp_path):
+    landing = fx.land_entries(spark, sf_dir, str(tmp_path))
+    entries = scans.entries_between(
+        land.read_time_entries(spark, landing.time_entries), *fx.ENTRY_DAYS,
+        keep=F.col(land.MALFORMED).isNotNull(),
+    )
+    filters = plan_of(entries).split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    assert "entered_on" in filters and "1998" not in filters
+    everything = spark.read.schema(schema.TIME_ENTRY).json(landing.time_entries)
+    assert {r.entered_on for r in everything.select("entered_on").distinct().collect()} >= {"soon"}
+    payloads = fx.time_entry_payloads(spark, sf_dir)
+    want = scans.entries_between(payloads, *fx.ENTRY_DAYS).select("gid", "entered_on")
+    assert sorted(entries.select("gid", "entered_on").collect()) == sorted(want.collect())
+
+
 def test_totals_agree_across_reports(spark, sf_dir):
     """Projects add up to the month, and pairs add up to assignees."""
     unique = views.unique_tasks(fx.completed_tasks(spark, sf_dir)).cache()

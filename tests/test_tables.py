@@ -1,6 +1,6 @@
 """Stored tables: what a reader sees after merges, moves, failures and reruns."""
 
-import os
+import json
 from datetime import date, datetime
 from pathlib import Path
 
@@ -8,15 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from effortlens import schema
-from effortlens.operators import upsert
-from effortlens.sources import folders, tables
+from effortlens.operators import reports, upsert
+from effortlens.sources import folders, report_sink, tables
 
 JAN, FEB, MAR = datetime(2024, 1, 10), datetime(2024, 2, 10), datetime(2024, 3, 10)
 
 
-@pytest.fixture
-def table(spark, tmp_path):
-    return tables.KeyedTable(spark, str(tmp_path / "tasks"), tables.COMPLETED_TASKS)
+@pytest.fixture(params=[1, 3])
+def table(spark, tmp_path, request):
+    return tables.StoredTable(spark, str(tmp_path / "tasks"), tables.COMPLETED_TASKS, request.param)
 
 
 def merge(table, batch, **kw):
@@ -28,8 +28,8 @@ def months(table):
 
 
 def test_empty_table_reads_as_empty(table):
-    assert table.version() == 0
     assert table.read().count() == 0
+    assert table.labels() == [] and table.last_logged() == (0, None, None)
 
 
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
@@ -46,39 +46,33 @@ def test_row_that_changes_month_is_there_once(spark, table, completed_rows, thre
             ),
         )
         result = merge(table, completed_rows({"task_id": "a", "completed_at": FEB}))
-        assert result.rewritten == ("2024-01", "2024-02")
+        assert result.labels == ("2024-01", "2024-02")
         merge(table, completed_rows({"task_id": "c"}))
         expected = {"a": "2024-02", "b": "2024-01", "c": "none", "m": "2024-03"}
         assert months(table) == expected
         merge(table, completed_rows({"task_id": "b", "completed_at": MAR}))
         assert months(table) == {**expected, "b": "2024-03"}
         assert table.read(["2024-01"]).count() == 0
-        assert table.version() == 4
+        assert table.labels() == ["2024-02", "2024-03", "none"]
+        assert table.last_logged()[0] == 4
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_untouched_months_keep_their_files(table, completed_rows):
-    merge(
-        table,
-        completed_rows(
-            {"task_id": "a", "completed_at": JAN}, {"task_id": "b", "completed_at": FEB}
-        ),
-    )
-    january = set(table.read(["2024-01"]).inputFiles())
-    merge(table, completed_rows({"task_id": "b", "completed_at": FEB, "task_name": "n"}))
-    assert set(table.read(["2024-01"]).inputFiles()) == january
-
-
-def test_reader_keeps_its_version(table, completed_rows):
-    merge(table, completed_rows({"task_id": "a", "task_name": "v1", "completed_at": JAN}))
-    before = table.read()
-    merge(table, completed_rows({"task_id": "a", "task_name": "v2", "completed_at": JAN}))
-    assert before.first().task_name == "v1"
-    assert table.read().first().task_name == "v2"
+def test_one_changed_row_rewrites_one_bucket(spark, tmp_path, completed_rows):
+    table = tables.StoredTable(spark, str(tmp_path / "t"), tables.COMPLETED_TASKS, 4)
+    rows = [{"task_id": f"t{i}", "completed_at": (JAN, FEB)[i % 2]} for i in range(60)]
+    first = merge(table, completed_rows(*rows))
+    assert len(first.rewritten) == 8
+    before = set(table.read().inputFiles())
+    result = merge(table, completed_rows({**rows[7], "task_name": "new"}))
+    assert len(result.rewritten) == 1 and result.labels == ("2024-02",)
+    kept = before & set(table.read().inputFiles())
+    assert len(before - kept) == 1
+    assert table.read().count() == 60
 
 
-def test_failed_merge_changes_nothing(spark, table, completed_rows):
+def test_failed_merge_changes_nothing(table, completed_rows):
     merge(table, completed_rows({"task_id": "a", "task_name": "v1", "completed_at": JAN}))
 
     def broken(rows):
@@ -90,28 +84,93 @@ def test_failed_merge_changes_nothing(spark, table, completed_rows):
             completed_rows({"task_id": "a", "task_name": "v2", "completed_at": JAN}),
             finish=broken,
         )
-    assert table.version() == 1
+    assert table.last_logged()[0] == 1
     assert table.read().first().task_name == "v1"
     merge(table, completed_rows({"task_id": "a", "task_name": "v3", "completed_at": JAN}))
     assert [r.task_name for r in table.read().collect()] == ["v3"]
 
 
-def test_rows_without_key_are_rejected_and_empty_batch_is_no_version(spark, table):
+@pytest.mark.parametrize("steps", range(12))
+def test_a_merge_killed_at_any_step_is_finished_by_the_next_call(
+    spark, tmp_path, completed_rows, monkeypatch, steps
+):
+    """The process dies before the n-th change of the file system of a second merge."""
+    table = tables.StoredTable(spark, str(tmp_path / "t"), tables.COMPLETED_TASKS, 2)
+    merge(table, completed_rows(
+        {"task_id": "a", "task_name": "v1", "project_gid": "p", "completed_at": JAN},
+        {"task_id": "b", "completed_at": JAN},
+        {"task_id": "c", "completed_at": FEB},
+        {"task_id": "alone", "completed_at": MAR},
+    ))
+    batch = completed_rows(
+        {"task_id": "a", "task_name": "v2", "completed_at": FEB},
+        {"task_id": "alone", "completed_at": FEB},
+        {"task_id": "new", "completed_at": JAN},
+    )
+    done = 0
+    real = {name: getattr(folders, name) for name in ("put", "delete", "write_text")}
+
+    def until(name):
+        def run(*args):
+            nonlocal done
+            done += 1
+            if done > steps:
+                raise KeyboardInterrupt("killed")
+            return real[name](*args)
+
+        return run
+
+    for name in real:
+        monkeypatch.setattr(folders, name, until(name))
+    finished = True
+    try:
+        merge(table, batch)
+    except KeyboardInterrupt:
+        finished = False
+    for name, function in real.items():
+        monkeypatch.setattr(folders, name, function)
+    merge(table, batch)
+    rows = {r.task_id: r for r in table.read().collect()}
+    assert table.read().count() == 5 and not (tmp_path / "t" / "_pending").exists()
+    assert {k: r.completed_month_jst for k, r in rows.items()} == {
+        "a": "2024-02", "b": "2024-01", "c": "2024-02", "alone": "2024-02", "new": "2024-01",
+    }
+    # The stored project outlives the crash: the batch has none.
+    assert (rows["a"].task_name, rows["a"].project_gid) == ("v2", "p")
+    assert "2024-03" not in table.labels() and (finished or steps < 12)
+
+
+def test_rows_without_key_are_rejected_and_an_empty_batch_changes_nothing(spark, table):
     rows = spark.createDataFrame(
         [(None, JAN)], "task_id string, completed_at timestamp_ntz"
     ).withColumn("inserted_at", F.lit("2024-01-01").cast("timestamp_ntz"))
     result = merge(table, schema.conform(rows, schema.COMPLETED_TASKS))
-    assert (result.rows, table.version()) == (0, 0)
+    assert (result.rows, result.rejected, table.last_logged()[0]) == (0, 1, 0)
 
 
-def test_replayed_micro_batch_is_skipped(table, completed_rows):
+def test_a_batch_merged_again_changes_nothing(table, completed_rows):
     first = completed_rows({"task_id": "a", "task_name": "v1", "completed_at": JAN})
-    merge(table, first, stream=("q", 0))
-    merge(table, completed_rows({"task_id": "a", "task_name": "v2", "completed_at": JAN}),
-          stream=("q", 1))
-    assert merge(table, first, stream=("q", 0)).rows == 0
-    assert table.read().first().task_name == "v2"
-    assert merge(table, first, stream=("another", 0)).rows == 1
+    merge(table, first)
+    before = [tuple(r) for r in table.read().collect()]
+    assert merge(table, first).rows == 1
+    assert [tuple(r) for r in table.read().collect()] == before
+
+
+def test_log_says_when_and_what_was_merged(table, completed_rows):
+    merge(table, completed_rows({"task_id": "a", "completed_at": JAN, "modified_at": FEB}), stamp=MAR)
+    merge(table, completed_rows({"task_id": "a", "completed_at": FEB, "modified_at": JAN}))
+    rows = sorted(table.log().collect(), key=lambda r: r.number)
+    assert [(r.rows, r.rejected, r.labels) for r in rows] == [
+        (1, 0, ["2024-01"]), (1, 0, ["2024-01", "2024-02"]),
+    ]
+    assert table.last_logged() == (2, MAR, "2024-02-10T00:00:00.000Z")
+
+
+def test_replaced_content_leaves_nothing_behind(spark, table, completed_rows):
+    merge(table, completed_rows({"task_id": "a", "completed_at": JAN}, {"task_id": "b"}))
+    assert table.replace(table.read().filter("task_id = 'b'").select(*completed_rows().columns)) == 0
+    assert months(table) == {"b": "none"}
+    assert table.replace(completed_rows()) == 0 and table.read().count() == 0
 
 
 def test_minutes_are_filled_while_merging(table, completed_rows):
@@ -202,45 +261,61 @@ def test_snapshot_read_is_partition_pruned(spark, tmp_path):
     assert kpi.first().open_count == 1
 
 
-def test_nothing_is_left_behind_outside_the_table(tmp_path, table, completed_rows):
-    merge(table, completed_rows({"task_id": "a", "completed_at": JAN}))
-    assert os.listdir(tmp_path) == ["tasks"]
-    assert {p.name for p in Path(tmp_path / "tasks").iterdir()} == {
-        "data",
-        "manifests",
-        "staging",
-    }
-
-
-def test_the_second_of_two_writers_fails(spark, tmp_path, completed_rows):
-    table = tables.KeyedTable(spark, str(tmp_path / "t"), tables.COMPLETED_TASKS)
-    rows = completed_rows({"task_id": "a", "completed_at": datetime(2024, 1, 5)})
-    late = table._state()
-    table.merge(rows, upsert.merge_tasks)
-    late.version = 1
-    with pytest.raises(tables.WriteConflict):
-        table._publish(late)
-    assert [r.task_id for r in table.read().collect()] == ["a"]
-
-
-def test_old_versions_and_staging_do_not_pile_up(spark, tmp_path, completed_rows):
-    table = tables.KeyedTable(spark, str(tmp_path / "t"), tables.COMPLETED_TASKS, retain=3)
-    for n in range(1, 9):
-        month = datetime(2024, 1 + n % 2, 5)
-        row = {"task_id": f"t{n}", "completed_at": month, "modified_at": month}
-        table.merge(completed_rows(row), upsert.merge_tasks)
-    assert table.version() == 8 and table.read().count() == 8
-    names = sorted(p.name for p in (tmp_path / "t" / "manifests").iterdir() if p.is_dir())
-    assert names == ["version=6", "version=7", "version=8"]
-    held = [p for p in (tmp_path / "t" / "data").glob("commit_id=*/completed_month_jst=*")]
-    assert len(held) <= 4
-    assert not list((tmp_path / "t" / "staging").glob("*"))
-
-
-def test_report_is_replaced_as_a_whole(spark, tmp_path):
-    for source, name in (("new1", "one"), ("new2", "two")):
-        folder = str(tmp_path / source)
-        spark.createDataFrame([(name,)], "a string").write.csv(folder)
-        folders.move(spark, folder, str(tmp_path / "final"))
-    assert [r[0] for r in spark.read.csv(str(tmp_path / "final")).collect()] == ["two"]
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["final"]
+def test_nothing_is_left_behind(tmp_path, table, completed_rows):
+    for n in range(4):
+        merge(table, completed_rows({"task_id": f"t{n}", "completed_at": JAN}))
+    assert [p.name for p in tmp_path.iterdir()] == ["tasks"]
+    names = {p.name for p in (tmp_path / "tasks").iterdir()}
+    assert names == {"completed_month_jst=2024-01", "_log", "_staging"}
+    assert not list((tmp_path / "tasks" / "_staging").glob("*"))
+
+
+def effort(spark, *rows):
+    return spark.createDataFrame(
+        [("2024-01", name, n, 1.5, 2.0) for name, n in rows],
+        "month string, project_name string, tasks_count long, total_actual_hours double, "
+        "total_estimated_hours double",
+    )
+
+
+def published(spark, folder, rows):
+    shown = reports.sheet(rows, JAN).schema
+    return [r[1] for r in report_sink.read_report(spark, "project", folder, shown).collect()]
+
+
+def test_readers_take_the_newest_complete_version(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "reports")
+    one, two = effort(spark, ("one", 1)), effort(spark, ("two", 2))
+    assert published(spark, folder, one) == []
+    assert report_sink.publish_report(one, "project", folder, JAN)
+    broken = two.withColumn(
+        "project_name", F.when(F.rand() < 2, F.raise_error(F.lit("lost")).cast("string"))
+    )
+    with pytest.raises(Exception, match="lost"):
+        report_sink.publish_report(broken, "project", folder, JAN)
+    assert published(spark, folder, one) == ["one"]
+
+    # A job that dies after its files, before the mark: readers stay with the old version.
+    assert report_sink.publish_report(two, "project", folder, JAN)
+    current = Path(report_sink.published_folder(spark, "project", folder))
+    (current / "_SUCCESS").unlink()
+    assert published(spark, folder, one) == ["one"]
+    assert report_sink.publish_report(two, "project", folder, JAN)
+    assert published(spark, folder, one) == ["two"]
+    # One that dies before old versions are removed leaves the new one current.
+    monkeypatch.setattr(folders, "delete", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+    with pytest.raises(OSError):
+        report_sink.publish_report(effort(spark, ("three", 3)), "project", folder, JAN, keep=1)
+    monkeypatch.undo()
+    assert published(spark, folder, one) == ["three"]
+    assert report_sink.publish_report(one, "project", folder, JAN)
+    kept = list((Path(folder) / reports.OUTPUT_NAMES["project"]).iterdir())
+    assert len(kept) == 2
+
+
+def test_small_files_are_read_as_written(spark, tmp_path):
+    file = str(tmp_path / "a" / "note.json")
+    assert folders.read_text(spark, file) is None
+    for text in ("", json.dumps({"k": "é"})):
+        folders.write_text(spark, file, text)
+        assert folders.read_text(spark, file) == text
