@@ -12,7 +12,6 @@ from effortlens.sources import folders
 from effortlens.sources.tables import UNDATED
 
 _EFFORT = "project_name string, assignee_name string, tasks long, actual double, estimated double, month string"
-_DONE = "number long"
 
 
 def stored_effort(spark: SparkSession, house: Warehouse) -> DataFrame:
@@ -30,15 +29,19 @@ def stale_months(spark: SparkSession, house: Warehouse) -> tuple[list[str], int]
     """
     table = house.completed(spark)
     number = table.last_logged()[0]
-    done = f"{house.monthly_effort}/_done"
-    if not folders.names_in(spark, done):
+    done = folders.read_text(spark, _done(house))
+    if done is None:
         return [m for m in table.labels() if m != UNDATED], number
-    last = spark.read.schema(_DONE).json(done).agg(F.max("number")).first()[0]
-    later = table.log().filter(F.col("number") > last)
+    later = table.log(after=int(done))
     months = later.select(F.explode("labels").alias("month")).distinct()
     return sorted(r.month for r in months.collect() if r.month != UNDATED), number
 
 
+def _done(house: Warehouse) -> str:
+    """Where the number of the last merge stands that the totals take account of."""
+    return f"{house.monthly_effort}/_merged-until"
+
+
 def month_totals(spark: SparkSession, house: Warehouse, months: list[str]) -> DataFrame:
     """Totals of the given months, from the partitions of these alone."""
     tasks = house.completed(spark).read(months)
@@ -59,6 +62,5 @@ def refresh_effort(spark: SparkSession, house: Warehouse) -> list[str]:
         table = house.completed(spark)
         for month in set(months) - set(table.labels()):
             folders.delete(spark, f"{house.monthly_effort}/month={month}")
-    noted = spark.createDataFrame([(number,)], _DONE).coalesce(1)
-    noted.write.mode("append").json(f"{house.monthly_effort}/_done")
+    folders.write_text(spark, _done(house), str(number))
     return months

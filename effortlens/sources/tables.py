@@ -139,16 +139,30 @@ class StoredTable:
             if any("=" in b for b in folders.names_in(self.spark, f"{self.path}/{n}"))
         )
 
-    def log(self) -> DataFrame:
-        """One row per merge: number, stamp, rows, rejected, mark and labels touched."""
-        if not folders.names_in(self.spark, self._log):
+    def log(self, after: int = 0) -> DataFrame:
+        """One row per merge after the given one: number, stamp, rows, rejected, mark, labels.
+
+        ``stamp`` and ``mark`` are the highest up to this merge.
+        """
+        later = [n for n in self._logged() if int(n[6:15]) > after]
+        if not later:
             return self.spark.createDataFrame([], _LOG)
-        return self.spark.read.schema(_LOG).json(self._log)
+        return self.spark.read.schema(_LOG).json([f"{self._log}/{n}" for n in later])
+
+    def _logged(self) -> list[str]:
+        return [n for n in folders.names_in(self.spark, self._log) if n.startswith("merge-") and n.endswith(".json")]
 
     def last_logged(self) -> tuple[int, datetime | None, str | None]:
-        """Number of the last merge, latest stamp and highest mark; 0 and nulls without any."""
-        newest = self.log().agg(F.max("number"), F.max("stamp"), F.max("mark")).first()
-        return newest[0] or 0, newest[1], newest[2]
+        """Number of the last merge, latest stamp and highest mark; 0 and nulls without any.
+
+        They stand in the last merge's file, so the log's length does not matter.
+        """
+        newest = max(self._logged(), default=None)
+        if newest is None:
+            return 0, None, None
+        last = json.loads(folders.read_text(self.spark, f"{self._log}/{newest}"))
+        stamp = last["stamp"] and datetime.fromisoformat(last["stamp"])
+        return last["number"], stamp, last["mark"]
 
     def high_water(self) -> str | None:
         """Highest mark of all merges, from the log alone; null without any."""
@@ -179,9 +193,7 @@ class StoredTable:
             mark = mark or seen["mark"]
             if not seen["rows"]:
                 if stamp is not None:
-                    number = self.last_logged()[0] + 1
-                    noted = {"number": number, "stamp": stamp.isoformat(), "rows": 0}
-                    self._note({**noted, "rejected": rejected, "mark": mark, "labels": []})
+                    self._note({**self._next(stamp, 0, rejected, mark), "labels": []})
                 return MergeResult(0, (), rejected)
             stored = self._stored().filter(F.col(BUCKET).isin(*seen["buckets"]))
             touched = self._touched(stored, staged)
@@ -271,11 +283,7 @@ class StoredTable:
         writer.partitionBy(*self.layout.parts).parquet(self._rows)
         places = sorted(schema.figures_of(seen, places=[])["places"])
         due = {
-            "number": self.last_logged()[0] + 1,
-            "stamp": stamp and stamp.isoformat(),
-            "rows": count,
-            "rejected": rejected,
-            "mark": mark,
+            **self._next(stamp, count, rejected, mark),
             "filled": places,
             "emptied": sorted(set(touched) - set(places)),
         }
@@ -294,6 +302,18 @@ class StoredTable:
         kept = {k: v for k, v in due.items() if k not in ("filled", "emptied")}
         self._note({**kept, "labels": sorted(labels)})
 
+    def _next(self, stamp, count, rejected, mark) -> dict:
+        """The log's next entry."""
+        number, latest, highest = self.last_logged()
+        stamp = max((t for t in (stamp, latest) if t), default=None)
+        return {
+            "number": number + 1,
+            "stamp": stamp and stamp.isoformat(),
+            "rows": count,
+            "rejected": rejected,
+            "mark": max((m for m in (mark, highest) if m), default=None),
+        }
+
     def _note(self, merge: dict) -> None:
         file = f"{self._log}/merge-{merge['number']:09d}.json"
         folders.write_text(self.spark, file, json.dumps(merge) + "\n")
