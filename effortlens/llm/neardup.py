@@ -46,6 +46,7 @@ from effortlens.llm.storage import written
 from effortlens.llm.words import mix, shingles, slices
 
 SHINGLE = 5
+SIGNED_TEXTS = 512
 SIMILARITY = 0.8
 BANDS = 28
 ROWS = 5
@@ -137,7 +138,8 @@ def _sorted(code: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def band_codes(texts: pa.Array, bands: int, rows: int, counted: bool) -> pa.Array:
     """For each text one hash per band; no bands where there are no words."""
     parts = []
-    for at, to, words in slices(texts):
+    # Darts go with the number of signatures, not with bytes: many short texts need most.
+    for at, to, words in slices(texts, most=SIGNED_TEXTS):
         code, text = shingles(words, SHINGLE)
         weight = None
         if counted:

@@ -14,8 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+SLICE_TEXTS = 4096
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.zeros(256, np.uint8)
@@ -40,14 +42,17 @@ class _Powers:
 
     @classmethod
     def upto(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            inverse = pow(cls.base, -1, 1 << 64)
-            size = max(n, SLICE_BYTES + 1)
-            cls.up, cls.down = (
-                np.concatenate([[np.uint64(1)], np.cumprod(np.full(size, b, np.uint64))])
-                for b in (np.uint64(cls.base), np.uint64(inverse))
-            )
-        return cls.up, cls.down
+        if len(cls.up) >= n:
+            return cls.up, cls.down
+        inverse = pow(cls.base, -1, 1 << 64)
+        size = max(n, SLICE_BYTES + 1)
+        up, down = (
+            np.concatenate([[np.uint64(1)], np.cumprod(np.full(size, b, np.uint64))])
+            for b in (np.uint64(cls.base), np.uint64(inverse))
+        )
+        if size == SLICE_BYTES + 1:  # longer ones, for a word of that length, are not kept
+            cls.up, cls.down = up, down
+        return up, down
 
 
 @dataclass
@@ -97,21 +102,37 @@ def _find(data: np.ndarray, offsets: np.ndarray) -> Words:
     after = np.concatenate([inside[1:], [False]])
     start = np.flatnonzero(inside & (fresh[:-1] | ~before))
     end = np.flatnonzero(inside & (fresh[1:] | ~after)) + 1
-    up, down = _Powers.upto(size + 1)
-    run = np.concatenate([[np.uint64(0)], np.cumsum(lower * up[:size], dtype=np.uint64)])
-    code = (run[end] - run[start]) * down[start]
+    code = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):  # a few words at a time, however long the text
+        to = max(at + 1, int(np.searchsorted(end, start[at] + SLICE_BYTES, "right")))
+        low, high = start[at], end[to - 1]
+        up, down = _Powers.upto(int(high - low) + 1)
+        run = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(lower[low:high] * up[: high - low], dtype=np.uint64, out=run[1:])
+        code[at:to] = (run[end[at:to] - low] - run[start[at:to] - low]) * down[start[at:to] - low]
+        at = to
     first = np.searchsorted(start, offsets)
     return Words(lower, start, end, first, mix(code + (end - start).astype(np.uint64)))
 
 
-def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, Words]]:
-    """Words of consecutive ranges of texts, each of about ``size`` bytes: (from, to, words)."""
-    data, offsets = text_bytes(texts)
-    at, n = 0, len(offsets) - 1
+def slices(
+    texts: pa.Array, size: int = SLICE_BYTES, most: int = SLICE_TEXTS
+) -> Iterator[tuple[int, int, Words]]:
+    """Words of consecutive ranges of texts: (from, to, words).
+
+    A range is of about ``size`` bytes and at most ``most`` texts; only these are copied.
+    """
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths, dtype=np.int64)
+    at, n = 0, len(texts)
     while at < n:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
-        part = offsets[at : to + 1]
-        yield at, to, _find(data[part[0] : part[-1]], part - part[0])
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        to = min(to, at + most)
+        yield at, to, _find(*text_bytes(texts.slice(at, to - at)))
         at = to
 
 

@@ -130,3 +130,26 @@ def test_best_fit_packs_all_pieces_near_the_optimum():
         assert sum(ends) <= 1.1 * sum(lengths)
     assert packing.best_fit([], (8,)) == ([], [], [])
     assert packing.best_fit([5], (8, 16), [9, 1])[2] == [8]
+
+
+def test_many_short_texts_and_a_very_long_one_need_little_memory():
+    import tracemalloc
+
+    import numpy as np
+
+    draw = np.random.default_rng(1)
+    short = pa.array([" ".join(f"w{x}" for x in draw.integers(0, 9999, 15)) for _ in range(10_000)])
+    long = pa.array([" ".join(f"w{i}" for i in range(300_000))])  # several slices long
+    tracemalloc.start()
+    try:
+        codes = neardup.band_codes(short, 28, 5, False)
+        assert tracemalloc.get_traced_memory()[1] < 150 << 20
+    finally:
+        tracemalloc.stop()
+    # One by one the codes are the same.
+    for i in (0, 511, 512, 9_999):
+        assert neardup.band_codes(short.slice(i, 1), 28, 5, False)[0] == codes[i]
+    whole = [w for _, _, w in words.slices(long)]
+    assert len(whole) == 1 and len(whole[0].hash) == 300_000
+    alone = next(words.slices(pa.array(["w299999"])))[2]
+    assert whole[0].hash[-1] == alone.hash[0]
