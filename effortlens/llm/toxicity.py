@@ -18,12 +18,13 @@ joined to the texts. The scores are the same either way, and see texts only.
 
 Defined results: a null or wordless text has all features 0, as a text without evidence;
 without toxic or without ordinary rows to learn from every score is 0; repeated rows are
-scored alike; an empty table gives an empty result; other columns pass through untouched.
+scored alike; an empty table gives an empty result; other columns pass through untouched. Equal
+rows of ``labels`` count once; an id labelled both ways counts in both classes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from effortlens.llm.idmap import maybe_among
 from effortlens.llm.quality import logistic
 from effortlens.llm.splits import is_held_out
 from effortlens.llm.storage import written
@@ -44,6 +46,7 @@ STRONGEST = 4
 STRONG_ENOUGH = 5.0  # evidence beyond this counts less
 THRESHOLD = 0.3
 SLICE_BYTES = 2 << 20  # of text whose words are told apart at a time
+KEPT_WORDS = 1 << 19  # words that a task remembers, about 8 MiB; beyond, it starts anew
 
 _U = np.uint64
 _START, _STOP = 1, 2
@@ -147,6 +150,34 @@ def _summaries(value: np.ndarray, text: np.ndarray, counts: np.ndarray) -> np.nd
     return np.column_stack([mean, top_mean, np.minimum(top_mean, STRONG_ENOUGH), middle])
 
 
+class WordValues:
+    """Values of words that a task has met, by hash; forgets all when it holds ``KEPT_WORDS``."""
+
+    def __init__(self):
+        self.code, self.value = np.zeros(0, np.uint64), np.zeros(0)
+
+    def missing(self, code: np.ndarray) -> np.ndarray:
+        """Which of these distinct hashes are not known."""
+        if not len(self.code):
+            return np.ones(len(code), bool)
+        at = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
+        return self.code[at] != code
+
+    def add(self, code: np.ndarray, value: np.ndarray) -> None:
+        code = np.concatenate([self.code, code])
+        order = np.argsort(code)
+        self.code, self.value = code[order], np.concatenate([self.value, value])[order]
+
+    def of(self, code: np.ndarray, rate: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """The values of distinct hashes; ``rate`` gives those of the unknown, by their indices."""
+        if len(self.code) > KEPT_WORDS:
+            self.__init__()
+        new = np.flatnonzero(self.missing(code))
+        if len(new):
+            self.add(code[new], rate(new))
+        return self.value[np.searchsorted(self.code, code)]
+
+
 @dataclass
 class ToxicityModel:
     shared: Table
@@ -171,18 +202,24 @@ class ToxicityModel:
         word = g.word[g.event]
         return np.bincount(word, ratio, len(which))
 
-    def features(self, texts: pa.Array) -> np.ndarray:
-        """For each text the mean evidence of its words, of its strongest ones, and the median."""
+    def features(self, texts: pa.Array, known: WordValues | None = None) -> np.ndarray:
+        """For each text the mean evidence of its words, of its strongest ones, and the median.
+
+        ``known`` holds the evidence of words met before, so that a task rates each word once.
+        """
+        known = known or WordValues()
         parts = [np.zeros((0, 4))]
         for at, to, words in slices(texts, SLICE_BYTES):
             n = to - at
-            _, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
-            value = self.evidence(words, first)[inverse] if len(first) else np.zeros(0)
+            code, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
+            value = np.zeros(0)
+            if len(code):
+                value = known.of(code, lambda new: self.evidence(words, first[new]))[inverse]
             parts.append(_summaries(value, words.text, words.counts))
         return np.concatenate(parts)
 
-    def score(self, texts: pa.Array) -> np.ndarray:
-        x = self.features(texts)
+    def score(self, texts: pa.Array, known: WordValues | None = None) -> np.ndarray:
+        x = self.features(texts, known)
         if self.weights is None:
             return np.zeros(len(x))
         logit = self.weights[0] + x @ self.weights[1:]
@@ -303,12 +340,18 @@ def _smoothed(rows: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def _corpus_words(texts: DataFrame) -> DataFrame:
-    """The distinct words of all texts; a task sends each of its words once per slice."""
+    """The distinct words of all texts; a task sends a word again only after ``KEPT_WORDS``."""
 
     def distinct(batches):
+        sent = WordValues()
         for batch in batches:
             for _, _, words in slices(batch.column(0), SLICE_BYTES):
-                _, first = np.unique(words.hash, return_index=True)
+                code, first = np.unique(words.hash, return_index=True)
+                if len(sent.code) > KEPT_WORDS:
+                    sent = WordValues()
+                new = sent.missing(code)
+                code, first = code[new], first[new]
+                sent.add(code, np.zeros(len(code)))
                 yield pa.RecordBatch.from_pydict(
                     {"word": pa.array([words.lower[words.start[i] : words.end[i]].tobytes() for i in first], pa.binary())}
                 )
@@ -354,14 +397,17 @@ def fit_toxicity(
 ) -> ToxicityModel | JoinedModel:
     """Count the models and fit the calibration; ``docs`` is scanned whole for shared counts."""
     named = labels.select(F.col(doc_id).alias("id"), F.col(label).alias("y"))
-    usable = named.filter("id is not null and y in (0, 1)").filter(~is_held_out(F.col("id")))
+    usable = named.filter("id is not null and y in (0, 1)").filter(~is_held_out(F.col("id"))).distinct()
     # A quarter of the rows calibrates, the rest is counted.
     usable = usable.withColumn("part", F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(4)))
     order = (F.xxhash64("id"), F.col("id"))
     calibrating = usable.filter("part = 0").orderBy(*order).limit(CALIBRATION_ROWS)
     sample = written(usable.filter("part > 0").unionByName(calibrating), "labelled-ids")
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    labelled = written(texts.join(sample, "id").select("text", "y", "part"), "labelled-texts")
+    # Labels grow with the texts, so both are shuffled at every size, without the other texts.
+    listed = maybe_among(texts, "id", sample.select("id"))
+    labelled = listed.join(sample.hint("merge"), "id").select("text", "y", "part")
+    labelled = written(labelled, "labelled-texts")
     vocabulary = _corpus_words(docs.select(F.col(text).alias("text")))
     counts = [written(_type_counts(vocabulary), "shared-grams")]
     for y in (1, 0):
@@ -392,9 +438,11 @@ def _measured(model: ToxicityModel | JoinedModel, df: DataFrame, text: str) -> D
     whole = F.col(f"row.`{text}`")
     if isinstance(model, ToxicityModel):
 
+        known = WordValues()  # each task unpacks one of its own
+
         @F.arrow_udf("array<double>")
         def measure(texts: pa.Array) -> pa.Array:
-            return pa.array(list(model.features(texts)), pa.list_(pa.float64()))
+            return pa.array(list(model.features(texts, known)), pa.list_(pa.float64()))
 
         return rows.select("row", measure(whole).alias("x"))
     keyed = rows.withColumns(_keyed(whole))
@@ -422,8 +470,10 @@ def toxicity_score(model: ToxicityModel, text: Column) -> Column:
     if not isinstance(model, ToxicityModel):
         raise ValueError("the model's tables are joined: use score_texts")
 
+    known = WordValues()  # each task unpacks one of its own
+
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array(model.score(texts))
+        return pa.array(model.score(texts, known))
 
     return score(text)

@@ -5,6 +5,7 @@ import hashlib
 import io
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ from effortlens.llm import (
     warc,
 )
 from effortlens.llm.storage import shared_folder
+from effortlens.llm.words import slices
 
 LONG = " ".join(f"w{i}" for i in range(30_000))
 # Rows with nulls, repeats, and columns named like those that operators add.
@@ -315,3 +317,36 @@ def test_top_k_over_many_blocks_and_groups(spark):
 
 def test_no_file_is_left_in_the_repository():
     assert not list(Path(warc.__file__).parent.glob("*.gz"))
+
+
+def test_id_map_keeps_all_listed_rows(spark):
+    from effortlens.llm.idmap import maybe_among
+
+    rows = spark.range(20000).withColumn("x", F.lit(1)).unionByName(
+        spark.createDataFrame([(None, 2)], "id long, x int")
+    )
+    ids = spark.range(0, 20000, 40).select(F.col("id").cast("int").alias("k"))
+    got = {r.id for r in maybe_among(rows, "id", ids).collect()}
+    assert set(range(0, 20000, 40)) <= got and len(got) < 600 and None not in got
+    assert maybe_among(rows, "id", ids.limit(0)).count() == 0
+
+
+def test_toxicity_rates_words_alike_whatever_a_task_remembers(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = _array(*[" ".join(f"w{n}" for n in rng.integers(0, 40, 12)) for _ in range(50)])
+    counts = [toxicity.Table(*_grams_of(f"w{i} w{i + 7} vile{i}")) for i in (1, 2, 3)]
+    model = toxicity.ToxicityModel(*counts)
+    plain = np.concatenate([model.features(texts.slice(i, 1)) for i in range(50)])
+    for most in (toxicity.KEPT_WORDS, 5):
+        monkeypatch.setattr(toxicity, "KEPT_WORDS", most)
+        known = toxicity.WordValues()
+        kept = np.concatenate([model.features(texts.slice(i, 10), known) for i in range(0, 50, 10)])
+        assert np.array_equal(plain, kept) and len(set(plain[:, 0])) > 20
+
+
+def _grams_of(text):
+    words = next(slices(_array(text)))[2]
+    grams = toxicity.Grams(words, np.arange(len(words.start)))
+    gram, context = grams.longest()
+    code, at, n = np.unique(gram[grams.event], return_index=True, return_counts=True)
+    return code, context[grams.event][at], n
