@@ -1,7 +1,8 @@
 """Personal data in whole texts, in DataFrame functions only.
 
-Patterns propose spans; checks confirm them (address parts, digit counts, Luhn, mod 97); the
-words just before a span move its score. A pattern's matches come from ``regexp_extract_all``
+Patterns propose spans; checks confirm them (address parts, digit counts, Luhn, mod 97, weighted
+sums); words within ``CONTEXT`` code points on either side of a span, up to the next span of its
+kind and after it to the end of the clause, raise its score. A pattern's matches come from ``regexp_extract_all``
 and the text between them from ``split``, so the position of a match is the running sum of
 piece lengths, in code points; sums run over blocks, which keeps texts with very many matches
 cheap. A text that lacks a kind's key character is not searched for the kind at all.
@@ -10,8 +11,10 @@ The patterns below are equivalent to the plain ones of each kind but match in li
 without recursion: runs are possessive, and a match may start inside a run of its first
 characters only where the match before ended.
 
-Kinds: email, ip, card, phone, and iban on top of these. A base kind's span is reported
-whatever its score; an iban needs its check digits and a score of at least ``MIN_SCORE``.
+Kinds: email, ip, card and phone; on top of these iban, imei, routing (bank numbers of nine
+digits) and ssn. A base kind's span is reported whatever its score. The others need their check
+and a score of at least ``MIN_SCORE``: an iban's check digits reach it alone, while the same
+nine or fifteen digits are a span near words that say what they are and none elsewhere.
 
 Defined results: a null text counts as empty and has no spans; repeated rows are searched
 alike; an empty table gives an empty result; other columns pass through untouched.
@@ -50,10 +53,27 @@ KINDS = {
         None,
         "iban|account|bank|konto|compte|cuenta",
     ),
+    "imei": (
+        r"(?<![0-9])[0-9]{15}(?![0-9])",
+        None,
+        "imei|device|handset|phone|mobile",
+    ),
+    "routing": (
+        r"(?<![0-9])[0-9]{9}(?![0-9])",
+        None,
+        "routing|aba|bank|wire|transfer|account",
+    ),
+    "ssn": (
+        r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+        "-",
+        "ssn|social|security|tax",
+    ),
 }
 BASE = ("email", "ip", "card", "phone")
 CONTEXT = 40
 START_SCORE = 0.6
+WEAK_SCORE = 0.3  # of kinds whose check passes by chance: one in ten, or nearly always
+WEAK = ("imei", "routing", "ssn")
 CONTEXT_SCORE = 0.3
 MIN_SCORE = 0.5
 _BLOCK = 256
@@ -130,6 +150,14 @@ def _confirmed(kind: str, value: Column) -> Column:
     if kind == "iban":
         bare = F.replace(value, F.lit(" "), F.lit(""))
         return F.when(F.length(bare).between(15, 34), mod97(bare)).otherwise(False)
+    if kind == "imei":
+        return luhn(value)
+    if kind == "routing":
+        digit = [F.substring(value, i, 1).cast("int") for i in range(1, 10)]
+        total = sum((d * w for d, w in zip(digit, (3, 7, 1) * 3, strict=True)), F.lit(0))
+        return (total > 0) & (total % 10 == 0)
+    if kind == "ssn":  # no such area, group or serial number is given out
+        return ~value.rlike("^(?:000|666|9)|-00-|-0000$")
     return F.lit(True)
 
 
@@ -177,8 +205,12 @@ def find_spans(df: DataFrame, text: str = "text", spans: str = "spans") -> DataF
 
         def span(value: Column, i: Column) -> Column:
             stop = F.get(f"{kind}_stops", i)
-            near = F.lower(F.right(F.get(f"{kind}_gaps", i), F.lit(CONTEXT)))
-            score = START_SCORE + F.when(near.rlike(words), CONTEXT_SCORE).otherwise(0.0)
+            before = F.right(F.get(f"{kind}_gaps", i), F.lit(CONTEXT))
+            after = F.left(F.get(f"{kind}_gaps", i + 1), F.lit(CONTEXT))
+            after = F.regexp_extract(after, r"^[^,.;:!?\n]*", 0)
+            near = F.lower(F.concat(before, F.lit("\n"), after)).rlike(rf"\b(?:{words})")
+            start = WEAK_SCORE if kind in WEAK else START_SCORE
+            score = start + F.when(near, CONTEXT_SCORE).otherwise(0.0)
             return F.when(
                 _confirmed(kind, value) & (score >= (0.0 if kind in BASE else MIN_SCORE)),
                 F.struct(

@@ -114,6 +114,7 @@ def op7_pii(spark, sf_dir):
         *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE],
         F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"),
         pii.listed(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"),
     )
 
 

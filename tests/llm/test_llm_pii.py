@@ -86,3 +86,24 @@ def test_redaction_and_empty_tables(spark):
     rows = spark.createDataFrame([("é me@x.org +1 234 567 8901.",), (None,)], "text string")
     assert [r.text for r in pii.redact(rows).collect()] == ["é <EMAIL> <PHONE>.", None]
     assert pii.find_spans(rows.limit(0)).count() == 0
+
+
+def test_context_on_either_side_decides_weak_kinds(spark):
+    texts = [
+        "routing number 021000021 here",
+        "021000021 is my bank",
+        "lot 021000021 of screws",
+        "routing number 021000022",
+        "device 490154203237518",
+        "total 490154203237518",
+        "SSN: 078-05-1120, ssn 666-05-1120, ssn 078-00-1120",
+        "part 078-05-1120",
+        "shipaba 021000021",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    found = {
+        r.n: [(s.kind, s.value, round(s.score, 6)) for s in r.spans if s.kind in pii.WEAK]
+        for r in pii.find_spans(rows).collect()
+    }
+    routing, imei = ("routing", "021000021", 0.6), ("imei", "490154203237518", 0.6)
+    assert found == {0: [routing], 1: [routing], 2: [], 3: [], 4: [imei], 5: [], 6: [("ssn", "078-05-1120", 0.6)], 7: [], 8: []}
