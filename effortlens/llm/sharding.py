@@ -50,9 +50,9 @@ def shard_records(
     """All records with ``shard``, ``slot`` (gapless from 0 in a shard) and ``grown_shard``."""
     placed = df.select(
         F.struct("*").alias("record"),
-        rendezvous(F.col(key), shards, seed).alias("shard"),
-        record_bytes(F.col(text)).alias("size"),
-        F.xxhash64(F.lit(seed + 1), *df.columns).alias("draw"),
+        rendezvous(F.col(f"`{key}`"), shards, seed).alias("shard"),
+        record_bytes(F.col(f"`{text}`")).alias("size"),
+        F.xxhash64(F.lit(seed + 1), *[F.col(f"`{c}`") for c in df.columns]).alias("draw"),
     )
     sizes = {
         r["shard"]: r["size"]
