@@ -21,7 +21,9 @@ Defined results: vectors that are null or hold null or non-finite components, an
 without id, take no part; shorter vectors count as padded with zeros; ties go to the smaller
 id; each row is a candidate of its own, also when repeated, but never for a query of its own
 id; an id that several query rows share is asked once, with the least vector; an empty table
-gives an empty result. Other columns are not read.
+gives an empty result; where the width times the square of the largest whole component reaches
+2**63, so that a score might pass a long, the search stops with an error. Other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -176,15 +178,6 @@ def _dealt(cluster: Column, first: list[int], parts: list[int], salt: Column) ->
     return (start + F.pmod(salt, count)).cast("int")
 
 
-def _members(first: list[int], parts: list[int]) -> list[list[int]]:
-    """Pivots of each block."""
-    out: list[list[int]] = [[] for _ in range(max(a + n for a, n in zip(first, parts, strict=True)))]
-    for pivot, (a, n) in enumerate(zip(first, parts, strict=True)):
-        for b in range(a, a + n):
-            out[b].append(pivot)
-    return out
-
-
 class _Ball:
     def __init__(self, centre: np.ndarray, radius: float):
         self.centre, self.radius, self.norm = centre, radius, float(np.linalg.norm(centre))
@@ -272,7 +265,10 @@ def exact_top_k(
             sizes[r["cluster"]], radii[r["cluster"]] = r["n"], r["far"]
         return sizes, radii
 
-    width = placed.agg(F.max("width")).first()[0]
+    largest = F.greatest(F.array_max("v").cast("double"), -F.array_min("v").cast("double"))
+    width, top = placed.agg(F.max("width"), F.max(largest)).first()
+    if top is not None and width * top * top >= 2.0**63:
+        raise OverflowError("a component is too large to be scored in whole numbers")
     centres = np.pad(pivots, ((0, 0), (0, width - pivots.shape[1])))
     data_sizes, data_radii = by_pivot(placed)
     query_sizes, query_radii = by_pivot(asked)
