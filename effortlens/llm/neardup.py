@@ -26,7 +26,8 @@ Similarities are exact, from the full shingle sets of bucket members only.
 Defined results: ``class_id`` is the least doc_id of the class. Texts that are equal, also
 when empty, are one class; a text without words is near no other text; fewer than 5 words make
 one shingle. A null text or a null doc_id is a class of its own. Rows that share a doc_id are
-one document. Other columns are not read; ``dedup`` returns the columns it was given, one row
+one document: all texts that an id has are one class, with the links of each of them (doc_ids
+near 2**63 are taken by such texts). Other columns are not read; ``dedup`` returns the columns it was given, one row
 per class.
 """
 
@@ -175,10 +176,14 @@ def shingle_sets(texts: pa.Array, counted: bool) -> pa.Array:
 
 
 class _Links:
-    """Finds the classes of ``members`` (vid, bucket, degree) with the sets of ``features``."""
+    """Finds the classes of ``members`` (vid, bucket, degree) with the sets of ``features``.
 
-    def __init__(self, members: DataFrame, features: DataFrame, similarity: float):
+    ``given`` are links (u, v of vids) that hold from the start.
+    """
+
+    def __init__(self, members: DataFrame, features: DataFrame, similarity: float, given: DataFrame):
         self.members, self.features, self.similarity = members, features, similarity
+        self.given = given
         self.labels: DataFrame | None = None  # vertex, label of vids in classes of two or more
 
     def _labelled(self, rows: DataFrame) -> DataFrame:
@@ -228,7 +233,8 @@ class _Links:
             F.col("vid").alias("u"), F.col("leader").alias("v")
         )
         measured = written(self._measured(pairs.distinct()), "leader-similarities")
-        self._merge(measured.filter(F.col("similarity") >= self.similarity).select("u", "v"))
+        links = measured.filter(F.col("similarity") >= self.similarity).select("u", "v")
+        self._merge(links.unionByName(self.given))
         return led, measured
 
     def run(self) -> DataFrame:
@@ -297,6 +303,37 @@ class _Links:
             members = active.select("bucket", "vid", "leader", "distance", led.alias("led"))
 
 
+def _vertices(usable: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct texts (``k1, k2, owner, vid, bands``), and links between the texts of one id.
+
+    A text's owner is its least id, and its vid the owner. Of several texts with one owner only
+    the least keeps it; the others take a number made from their hash, beyond all ids.
+    """
+    texts = written(
+        usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("owner"), F.first("bands").alias("bands")),
+        "distinct-texts",
+    )
+    key = F.struct("k1", "k2")
+    shared = written(
+        usable.groupBy("doc_id").agg(F.min(key).alias("least"), F.max(key).alias("most"))
+        .filter("least <> most")
+        .select("doc_id", "least"),
+        "ids-of-several-texts",
+    )
+    again = F.col("least").isNotNull() & (F.col("least") != key)
+    made = F.lit((1 << 63) - 1) - F.pmod(F.xxhash64("k1", "k2"), F.lit(1 << 61))
+    owned = texts.join(shared.withColumnRenamed("doc_id", "owner"), "owner", "left")
+    vertices = written(
+        owned.select("k1", "k2", "owner", F.when(again, made).otherwise(F.col("owner")).alias("vid"), "bands"),
+        "vertices",
+    )
+    of_id = usable.join(shared, "doc_id").select("doc_id", "k1", "k2").distinct()
+    of_id = written(of_id.join(vertices, ["k1", "k2"]).select("doc_id", "vid"), "texts-of-ids")
+    first = of_id.groupBy("doc_id").agg(F.min("vid").alias("u"))
+    links = of_id.join(first, "doc_id").select("u", F.col("vid").alias("v")).filter("u <> v")
+    return vertices, links
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -329,10 +366,7 @@ def near_duplicates(
         "signatures",
     )
     usable = scanned.filter("doc_id is not null and k2 is not null")
-    texts = written(
-        usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("vid"), F.first("bands").alias("bands")),
-        "distinct-texts",
-    )
+    texts, given = _vertices(usable)
     rows_of = texts.select("vid", F.explode("bands").alias("bucket")).distinct()
     crowded = written(
         rows_of.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "buckets"
@@ -341,19 +375,15 @@ def near_duplicates(
     # How central an id is: members of its buckets, all told.
     wanted = written(crowd.groupBy("vid").agg(F.sum("n").alias("degree")), "candidates")
     members = written(crowd.drop("n").join(wanted, "vid"), "bucket-members")
-    # One text for each candidate: an id that several texts share goes by the least of them.
-    near = texts.join(wanted, "vid", "left_semi").groupBy("vid").agg(F.min(F.struct("k1", "k2")).alias("k"))
+    near = texts.join(wanted, "vid", "left_semi").select(F.col("owner").alias("doc_id"), "k1", "k2", "vid")
     named = named.withColumns({"k1": k1, "k2": k2})
     features = written(
-        named.join(
-            near,
-            (named["doc_id"] == near["vid"])
-            & (named["k1"] == near["k.k1"])
-            & (named["k2"] == near["k.k2"]),
-        ).select("vid", shingled("text").alias("shingles")),
+        named.join(near, ["doc_id", "k1", "k2"]).select("vid", shingled("text").alias("shingles")),
         "shingle-sets",
     )
-    labels = _Links(members, features, similarity).run()
+    if features.count() > wanted.count():  # rows repeated with their id
+        features = written(features.dropDuplicates(["vid"]), "shingle-sets")
+    labels = _Links(members, features, similarity, given).run()
 
     # Copies join their text's least id, and rows of one id are one document.
     copies = texts.select("k1", "k2", "vid").join(labels, F.col("vid") == F.col("vertex"), "left")

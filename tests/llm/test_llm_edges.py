@@ -350,3 +350,38 @@ def _grams_of(text):
     gram, context = grams.longest()
     code, at, n = np.unique(gram[grams.event], return_index=True, return_counts=True)
     return code, context[grams.event][at], n
+
+
+def test_texts_of_one_id_are_one_class_with_all_links(spark):
+    a = " ".join(f"a{i}" for i in range(60))
+    b = " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (2, b), (2, b + " z"), (3, a + " z"), (2, b), (9, b + " y"), (8, "other words here")]
+    rows += [(5, a + " q"), (5, "c d e f g h"), (6, "c d e f g h")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.class_id) for r in neardup.near_duplicates(frame).collect()}
+    assert found == {(1, 1), (3, 1), (5, 1), (6, 1), (2, 2), (9, 2), (8, 8)}
+    joined = frame.unionByName(spark.createDataFrame([(2, a)], frame.schema))
+    found = {(r.doc_id, r.class_id) for r in neardup.near_duplicates(joined).collect()}
+    assert found == {(i, 1) for i in (1, 2, 3, 5, 6, 9)} | {(8, 8)}
+    assert {r.doc_id for r in neardup.dedup(joined).collect()} == {1, 8}
+
+
+def test_sharding_takes_any_column_name(spark):
+    frame = spark.createDataFrame([(i, "t", i) for i in range(9)], "doc_id long, text string, `a.b c` int")
+    rows = sharding.shard_records(frame, 2).collect()
+    assert sorted(r["a.b c"] for r in rows) == list(range(9))
+
+
+def test_archives_are_read_by_as_many_tasks_as_files(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", chr(65 + i) * 3000) for i in range(8)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(8)
+    made = warc.write_warc(frame, str(tmp_path / "w"), file_bytes=1)
+    read = warc.read_warc(spark, str(tmp_path / "w"))
+    assert read.rdd.getNumPartitions() == made.count() > 4 and read.count() == 8
+
+
+def test_top_k_stops_where_scores_might_pass_a_long(spark):
+    for big in (1e300, -1e300, 1e7 * 1024):
+        frame = spark.createDataFrame([(0, [big, 1.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
+        with pytest.raises(OverflowError):
+            topk.exact_top_k(frame, F.lit(True), 1)
