@@ -13,14 +13,19 @@ with probability equal to their weighted Jaccard similarity.
 Links: equal texts are grouped first and only their least id goes on. Bands of equal
 coordinates make buckets. Round one checks each bucket member against the bucket's most
 central one, which shares most buckets with others (the text that copies were made from, as
-a rule); components of the links found leave most buckets with one class. In every further
-round some members of a bucket lead, and all its members of other classes are checked against
-them; only members outside the bucket's largest class need to lead, each once. A round takes
-as many as keep its pairs below ``PAIRS`` times the members that the corpus has in buckets,
-drawn by hash, so no round makes all pairs of a bucket, whatever it holds. When none is left
-to lead, two members of different classes have been compared, as one of them has led, or are
-apart for sure: Jaccard distance is a metric, and their distances from the bucket's first
-leader, all measured in round one, differ by more than 0.2.
+a rule); components of the links found leave most buckets with one class. Members of the other
+buckets are peeled: shingles that no other member left has cannot be common to two of them, so a
+text with too few others is similar to none and goes, which leaves more shingles alone in turn.
+In every further round some members of a bucket lead, and all its members of other classes are
+checked against them; only members outside the bucket's largest class need to lead, each once.
+A round takes as many as keep its comparisons below ``PAIRS`` times the members that the corpus
+has in buckets, drawn by hash, so no round makes all pairs of a bucket, whatever it holds.
+When none is left to lead, two members of different classes have been compared, as one of them
+has led, or are apart for sure. Three bounds rule pairs out while they are joined, and none of
+them a pair that is similar enough: Jaccard distance is a metric, and their distances from the
+bucket's first leader, all measured in round one, differ by more than 0.2; the shingles that
+the two share with anyone are too few; or odd sketches (bits saying whether a slot holds an odd
+number of shingles) differ in more places than their sets may.
 Similarities are exact, from the full shingle sets of bucket members only.
 
 Defined results: ``class_id`` is the least doc_id of the class. Texts that are equal, also
@@ -39,7 +44,7 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from effortlens.llm.components import components
@@ -52,7 +57,9 @@ SIMILARITY = 0.8
 BANDS = 28
 ROWS = 5
 LEADERS = 16  # of a bucket in one round, about, at least
-PAIRS = 4  # pairs of a round per bucket member of the corpus, about, beyond LEADERS each
+PAIRS = 32  # comparisons of a round per bucket member of the corpus, beyond LEADERS each
+PEELED = 0.05  # share of the members that a pass of peeling must remove for another one
+SKETCH_WORDS = 16  # longs of an odd sketch: texts of up to some 2,000 words are told apart
 SEED = 0x5EED
 
 _U = np.uint64
@@ -175,6 +182,27 @@ def shingle_sets(texts: pa.Array, counted: bool) -> pa.Array:
     return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
 
 
+def odd_sketches(sets: pa.Array) -> pa.Array:
+    """For each set of hashes ``SKETCH_WORDS`` longs, of bits telling slots of an odd number.
+
+    A slot that differs holds a hash of one of two sets alone, so sets differ in at least as many
+    hashes as their sketches differ in bits.
+    """
+    if isinstance(sets, pa.ChunkedArray):
+        sets = sets.combine_chunks()
+    bits = 64 * SKETCH_WORDS
+    parts = []
+    for at in range(0, len(sets), SIGNED_TEXTS):
+        some = sets.slice(at, SIGNED_TEXTS)
+        counts = pc.fill_null(pc.list_value_length(some), 0).to_numpy(zero_copy_only=False)
+        code = some.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        slot = np.repeat(np.arange(len(some)), counts) * bits + (mix(code) % _U(bits)).astype(np.int64)
+        odd = (np.bincount(slot, minlength=len(some) * bits) & 1).astype(np.uint8)
+        words = np.packbits(odd).view(np.int64).reshape(len(some), SKETCH_WORDS)
+        parts.append(pa.array(list(words), pa.list_(pa.int64())))
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
+
+
 class _Links:
     """Finds the classes of ``members`` (vid, bucket, degree) with the sets of ``features``.
 
@@ -237,11 +265,92 @@ class _Links:
         self._merge(links.unionByName(self.given))
         return led, measured
 
+    def _profiles(self, rows: DataFrame) -> DataFrame:
+        """``size`` and ``sketch`` of the set of each vid in ``rows``."""
+
+        @F.arrow_udf("array<long>")
+        def sketched(sets: pa.Array) -> pa.Array:
+            return odd_sketches(sets)
+
+        ids = rows.select("vid").distinct()
+        sets = self.features.join(ids, "vid", "left_semi")
+        return written(
+            sets.select("vid", F.size("shingles").alias("size"), sketched("shingles").alias("sketch")),
+            "profiles",
+        )
+
+    def _peeled(self, rows: DataFrame) -> DataFrame:
+        """The ``rows`` (bucket, vid, size, ...) that may have a link, with ``shared``.
+
+        ``shared`` counts a text's shingles that another text of the rows has too. A text that
+        is similar enough to one of ``size`` b has at least s / (1 + s) * (a + b) in common with
+        it, and b is at least s * a and the least size in the bucket. Every pass but the last
+        removes a share of the rows, so all passes together read a multiple of the first.
+        """
+        s, before = self.similarity, rows.count()
+        while True:
+            ids = rows.select("vid").distinct()
+            grams = self.features.join(ids, "vid", "left_semi").select(
+                "vid", F.explode("shingles").alias("gram")
+            )
+            # A shingle of many texts reaches its reducer as one row per task.
+            alone = (
+                grams.groupBy("gram")
+                .agg(F.min("vid").alias("vid"), F.count("*").alias("holders"))
+                .filter("holders = 1")
+                .groupBy("vid")
+                .agg(F.count("*").alias("alone"))
+            )
+            shared = F.col("size") - F.coalesce("alone", F.lit(0))
+            counted = written(
+                rows.drop("shared").join(alone, "vid", "left").withColumn("shared", shared).drop("alone"),
+                "shared-shingles",
+            )
+            least = counted.groupBy("bucket").agg(F.min("size").alias("least"))
+            other = F.greatest("least", s * F.col("size"))
+            enough = F.col("shared") * (1 + s) + 1e-6 >= s * (F.col("size") + other)
+            rows = written(counted.join(least, "bucket").filter(enough).drop("least"), "peeled-members")
+            left = rows.count()
+            if left >= (1 - PEELED) * before:
+                return rows
+            before = left
+
+    def _mixed_members(self, first: DataFrame, measured: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Members of buckets of several classes that may have another link, and their profiles."""
+        labelled = written(self._labelled(first), "labelled-members")
+        several = labelled.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b"))
+        rows = labelled.join(several.filter("a < b").select("bucket"), "bucket").drop("label")
+        of_leader = measured.select(
+            F.col("u").alias("vid"), F.col("v").alias("leader"), "similarity"
+        )
+        distance = F.when(F.col("vid") == F.col("leader"), 0.0).otherwise(1 - F.col("similarity"))
+        rows = rows.join(of_leader, ["vid", "leader"], "left")
+        rows = written(rows.select("bucket", "vid", distance.alias("distance")), "mixed-members")
+        profiles = self._profiles(rows)
+        return self._peeled(rows.join(profiles.drop("sketch"), "vid")), profiles
+
+    def _may_link(self) -> Column:
+        """Whether no bound rules out the pair of members ``x`` and ``y``."""
+        s = self.similarity
+        both = F.col("x.size") + F.col("y.size")
+        apart = F.abs(F.col("x.distance") - F.col("y.distance"))
+        common = F.least("x.shared", "y.shared") * (1 + s)
+        differ = sum(
+            F.bit_count(F.get("x.sketch", F.lit(i)).bitwiseXOR(F.get("y.sketch", F.lit(i))))
+            for i in range(SKETCH_WORDS)
+        )
+        return (
+            (apart <= 1 - s + 1e-9)
+            & (common + 1e-6 >= s * both)
+            & (differ * (1 + s) <= (1 - s) * both + 1e-6)
+        )
+
     def run(self) -> DataFrame:
         """``vertex`` and ``label`` of all texts in classes of two or more."""
         first, measured = self._first_round()
         budget = PAIRS * first.count()
-        members = first.select("bucket", "vid", "leader", F.lit(False).alias("led"))
+        members, profiles = self._mixed_members(first, measured)
+        members = members.withColumn("led", F.lit(False))
         for turn in count():
             labelled = written(self._labelled(members), "labelled-members")
             classes = labelled.groupBy("bucket", "label").agg(
@@ -268,39 +377,29 @@ class _Links:
             place = F.pmod(F.xxhash64(F.lit(turn), "vid"), F.lit(1 << 30)) / float(1 << 30)
             leads = ~F.col("led") & (F.col("label") != F.col("top")) & (place < share)
             active = labelled.join(mixed, "bucket").withColumn("leads", leads)
-            if turn == 0:
-                of_leader = measured.select(
-                    F.col("u").alias("vid"), F.col("v").alias("leader"), "similarity"
+            active = written(active.select(*labelled.columns, "leads"), "leading-members")
+            sides = active.join(profiles.drop("size"), "vid")
+            pairs = (
+                sides.alias("y")
+                .join(
+                    sides.filter("leads").alias("x"),
+                    (F.col("x.bucket") == F.col("y.bucket"))
+                    & (F.col("x.label") != F.col("y.label"))
+                    & self._may_link(),
                 )
-                distance = F.when(F.col("vid") == F.col("leader"), 0.0).otherwise(
-                    1 - F.col("similarity")
+                .select(
+                    F.col("x.vid").alias("u"),
+                    F.col("x.label").alias("lu"),
+                    F.col("y.vid").alias("v"),
+                    F.col("y.label").alias("lv"),
                 )
-                active = active.join(of_leader, ["vid", "leader"], "left")
-                active = active.withColumn("distance", distance)
-            active = written(
-                active.select("bucket", "vid", "leader", "led", "label", "leads", "distance"),
-                "mixed-members",
-            )
-            leading = active.filter("leads").select(
-                "bucket",
-                F.col("vid").alias("u"),
-                F.col("label").alias("lu"),
-                F.col("distance").alias("du"),
-            )
-            # Jaccard distance is a metric: members that differ more in their distance from the
-            # bucket's first leader are no less far from each other.
-            apart = F.abs(F.col("du") - F.col("distance"))
-            pairs = (
-                active.join(leading, "bucket")
-                .filter((F.col("label") != F.col("lu")) & (apart <= 1 - self.similarity + 1e-9))
-                .select("u", "lu", F.col("vid").alias("v"), F.col("label").alias("lv"))
                 .distinct()
             )
             links = self._measured(pairs).filter(F.col("similarity") >= self.similarity)
             found = links.select(F.col("lu").alias("u"), F.col("lv").alias("v")).distinct()
             self._merge(written(found, "links"))
             led = F.col("led") | F.col("leads")
-            members = active.select("bucket", "vid", "leader", "distance", led.alias("led"))
+            members = active.select(*members.drop("led").columns, led.alias("led"))
 
 
 def _vertices(usable: DataFrame) -> tuple[DataFrame, DataFrame]:

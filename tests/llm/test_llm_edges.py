@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import io
+import random
 from pathlib import Path
 
 import numpy as np
@@ -344,6 +345,43 @@ def test_toxicity_rates_words_alike_whatever_a_task_remembers(monkeypatch):
         assert np.array_equal(plain, kept) and len(set(plain[:, 0])) > 20
 
 
+@pytest.mark.parametrize("counted", [False, True])
+def test_families_of_mostly_unlike_copies_match_brute_force(spark, counted):
+    """Copies with any number of edits, copies of these, and edits that many copies share."""
+    from test_llm_queries import classes_of
+
+    draw = random.Random(11)
+    base = [f"x{i}" for i in range(150)]
+    texts = [base]
+    for n in range(1, 400):
+        text = list(draw.choice(texts) if n % 4 == 0 else base)
+        for _ in range(draw.choice((1, 4, 6, 7, 8, 9, 12))):
+            at = draw.randrange(len(text))
+            new = f"y{draw.randrange(4)}" if n % 3 == 0 else f"z{n}.{at}"
+            text[at : at + draw.randrange(3)] = [new]
+        texts.append(text)
+    rows = [(n, " ".join(t)) for n, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(frame, counted=counted).collect()}
+    assert got == classes_of(dict(rows))
+    assert 20 < len(set(got.values())) < 380
+
+
+def test_sketches_differ_in_no_more_places_than_sets():
+    import pyarrow as pa
+
+    draw = np.random.default_rng(3)
+    pool = draw.integers(-(1 << 63), (1 << 63) - 1, 4000)
+    sets = [set(draw.choice(pool, n, replace=False).tolist()) for n in draw.integers(0, 3000, 40)]
+    sets.append(sets[0] ^ set(pool[:5].tolist()))
+    bits = np.array(neardup.odd_sketches(pa.array([list(s) for s in sets], pa.list_(pa.int64()))).to_pylist())
+    assert bits.shape == (41, neardup.SKETCH_WORDS)
+    for x, a in zip(bits, sets, strict=True):
+        for y, b in zip(bits, sets, strict=True):
+            differ = np.bitwise_count((x ^ y).view(np.uint64)).sum()
+            assert differ <= len(a ^ b) and (differ == 5 or len(a ^ b) != 5)
+
+
 def _grams_of(text):
     words = next(slices(_array(text)))[2]
     grams = toxicity.Grams(words, np.arange(len(words.start)))
