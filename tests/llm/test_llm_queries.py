@@ -2,14 +2,17 @@
 
 import hashlib
 import re
+import struct
+import zlib
 from collections import defaultdict
 
 import compare
 import pytest
+import xxhash
 
 import __spark_entry__ as registry
 import corpus_pipeline
-from effortlens.llm import oracle, queries
+from effortlens.llm import oracle, queries, sharding
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -79,6 +82,24 @@ def test_shards_hold_all_documents(spark, sf_dir, documents):
     assert set(slots) <= set(range(8))
 
 
+def test_shards_sizes_and_digests_match_brute_force(spark, sf_dir, documents):
+    def shard(doc_id, shards):
+        bids = []
+        for s in range(shards):
+            code = 42
+            for value, form in ((sharding.SEED, "<i"), (s, "<i"), (doc_id, "<q")):
+                code = xxhash.xxh64_intdigest(struct.pack(form, value), code)
+            bids.append((code - (code >> 63 << 64), s))
+        return max(bids)[1]
+
+    want = []
+    for d in documents:
+        raw = (d["text"] or "").encode()
+        want.append((d["doc_id"], len(raw) + 1, zlib.crc32(raw), "key", shard(d["doc_id"], 8), shard(d["doc_id"], 9)))
+    got = queries.op1_sharding(spark, sf_dir).drop("slot").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_near_duplicates_match_brute_force(spark, sf_dir, documents):
     want = classes_of({d["doc_id"]: d["text"] for d in documents})
     got = {r.doc_id: r.class_id for r in queries.op5_minhash_near_dedup(spark, sf_dir).collect()}

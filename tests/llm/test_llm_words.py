@@ -132,6 +132,39 @@ def test_best_fit_packs_all_pieces_near_the_optimum():
     assert packing.best_fit([5], (8, 16), [9, 1])[2] == [8]
 
 
+def plain_best_fit(lengths, sizes):
+    """The packing rule said plainly: every bin and every later length is looked at."""
+    room, opened, bins, offsets = [], [], [], []
+    for at, need in enumerate(lengths):
+        fits = [b for b, left in enumerate(room) if left >= need]
+        if fits:
+            b = min(fits, key=lambda b: (room[b], b))
+        else:
+            costs = []
+            for size in (s for s in sizes if s >= need):
+                free = size
+                for later in lengths[at:]:
+                    free -= later if later <= free else 0
+                costs.append((size / (size - free), size))
+            b = len(room)
+            opened.append(min(costs)[1])
+            room.append(opened[b])
+        bins.append(b)
+        offsets.append(opened[b] - room[b])
+        room[b] -= need
+    used = [size - left for size, left in zip(opened, room, strict=True)]
+    return bins, offsets, [min(s for s in sizes if s >= u) for u in used]
+
+
+def test_best_fit_equals_its_plain_rule():
+    rng = random.Random(2)
+    for sizes in ((8, 16, 32, 64), (256, 512, 1024, 2048), (10,)):
+        for _ in range(25):
+            top = rng.choice((1, max(sizes) // 3 or 1, max(sizes)))
+            lengths = sorted((rng.randint(1, top) for _ in range(rng.randrange(90))), reverse=True)
+            assert packing.best_fit(lengths, sizes) == plain_best_fit(lengths, sizes)
+
+
 def test_many_short_texts_and_a_very_long_one_need_little_memory():
     import tracemalloc
 
