@@ -57,7 +57,8 @@ def refresh_effort(spark: SparkSession, house: Warehouse) -> list[str]:
     months, number = stale_months(spark, house)
     if months:
         totals = month_totals(spark, house, months)
-        held = totals.coalesce(1).write.mode("overwrite").partitionBy("month")
+        # A month's totals go to files of the advised size, whatever their number.
+        held = totals.hint("rebalance", "month").write.mode("overwrite").partitionBy("month")
         held.option("partitionOverwriteMode", "dynamic").parquet(house.monthly_effort)
         table = house.completed(spark)
         for month in set(months) - set(table.labels()):

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from effortlens.operators import normalize, reports, upsert
+from effortlens.plans.effort import refresh_effort, stored_effort
 from effortlens.plans.publish import (
     daily_digest,
     is_monthly_digest_due,
@@ -25,7 +26,7 @@ from effortlens.plans.warehouse import Landing, Warehouse
 from effortlens.session import checkpoint_folder
 from effortlens.sources import landing as source
 from effortlens.sources.report_sink import published_folder
-from effortlens.sources.tables import COMPLETED_TASKS, StoredTable, read_snapshots
+from effortlens.sources.tables import COMPLETED_TASKS, StoredTable, append_snapshot, read_snapshots
 from effortlens.streaming.incremental import task_upsert_stream
 
 RUN = datetime(2024, 6, 1, 3)
@@ -363,3 +364,42 @@ def test_stream_keeps_to_active_projects_like_the_batch(spark, folders, land, tm
     batch = house.completed(spark).read().select(columns)
     assert streamed == sorted(map(tuple, batch.collect()), key=str)
     assert {r[columns.index("task_id")] for r in streamed} == {"may", "april", "app", "app2", "c"}
+
+
+def test_totals_of_a_large_month_are_written_by_many_tasks(spark, tmp_path, completed_rows):
+    """The totals grow with the people; no task may have to hold and write all of them."""
+    house, number = Warehouse(str(tmp_path / "house")), F.col("id")
+    one = completed_rows({"task_id": "x", "completed_at": datetime(2024, 5, 2), "actual_minutes": 6.0})
+    one = one.drop("task_id", "assignee_name")
+    rows = one.crossJoin(spark.range(4000)).withColumns(
+        {"task_id": number.cast("string"), "assignee_name": F.concat(F.lit("Person "), number)}
+    )
+    house.completed(spark).merge(rows.drop("id"), upsert.merge_tasks)
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    }
+    for name, size in small.items():
+        spark.conf.set(name, size)
+    try:
+        refresh_effort(spark, house)
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    assert len(list((tmp_path / "house/monthly_effort/month=2024-05").glob("part-*"))) > 1
+    held = stored_effort(spark, house)
+    assert held.count() == 4000 and held.agg(F.sum("actual")).first()[0] == 24000
+
+
+def test_a_snapshot_that_is_stored_again_is_not_joined_again(spark, sf_dir, monkeypatch):
+    from effortlens.checks import queries
+
+    read = []
+
+    def noting(rows, path, *more):
+        read.extend(rows.inputFiles())
+        return append_snapshot(rows, path, *more)
+
+    monkeypatch.setattr(queries, "append_snapshot", noting)
+    queries.all_queries()["snapshot_append"](spark, sf_dir)
+    assert read and not any("lineitem" in f or "part.parquet" in f for f in read)
