@@ -6,8 +6,9 @@ import hashlib
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from effortlens import schema
@@ -21,44 +22,52 @@ from effortlens.sources.tables import StoredTable
 
 OBSERVED = "sync"
 
+# Each takes the figures of micro-batches, by the query's id and the batch's number.
+WATCHERS: list[dict[tuple[str, int], dict[str, int]]] = []
+
 
 def _utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _sorted_out(landed: DataFrame, source: str, keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame | None]:
-    """Usable rows, and the others as lines with their source and reason."""
+def _marked(landed: DataFrame, source: str, keys: tuple[str, ...]) -> DataFrame:
+    """Landed rows with their source; of those that cannot be used the line and why."""
     if MALFORMED not in landed.columns:
         landed = landed.withColumn(MALFORMED, F.lit(None).cast("string"))
-    marked = landed.withColumn("refused_for", refusal(keys))
-    good = marked.filter(F.col("refused_for").isNull()).drop(MALFORMED, "refused_for")
     payload = F.to_json(F.struct(*[c for c in landed.columns if c != MALFORMED]))
-    bad = marked.filter(F.col("refused_for").isNotNull()).select(
-        F.lit(source).alias("source"),
-        F.coalesce(MALFORMED, payload).alias(MALFORMED),
-        "refused_for",
-    )
-    return good, bad
+    marked = landed.withColumns({"source": F.lit(source), "refused_for": refusal(keys)})
+    line = F.when(F.col("refused_for").isNotNull(), F.coalesce(MALFORMED, payload))
+    return marked.withColumn(MALFORMED, line)
+
 
+def _arrived(spark: SparkSession, folder: str, kinds: T.StructType, batches: list[int]) -> DataFrame | None:
+    """What given micro-batches brought; none without any."""
+    if not batches:
+        return None
+    return spark.read.schema(kinds).parquet(*[f"{folder}/batch={n}" for n in batches])
 
-def streamed_items(tasks: DataFrame, subtasks: DataFrame | None) -> DataFrame:
-    """Items of the tasks that arrive, and of every parent and subtask that have met.
 
-    Detached subtasks are a stream of their own. Spark keeps both sides of the join in its
-    state, by parent, so a subtask finds its parent and a parent its subtasks however far apart
-    they land. ``parent_instant`` tells versions of a parent apart.
+def streamed_items(
+    tasks: DataFrame, subtasks: DataFrame, old_tasks: DataFrame | None, old_subtasks: DataFrame | None
+) -> DataFrame:
+    """Items of the tasks that arrive, and of every parent and subtask that now meet.
+
+    A parent that arrives meets all subtasks so far, a subtask that arrives all parents before
+    it, so each pair of versions comes once, however far apart they land. ``parent_instant``
+    tells versions of a parent apart.
     """
     instant = parse_instant(F.col("modified_at")).alias("parent_instant")
-    if subtasks is None:
-        return normalize.task_items(tasks).withColumn(
-            "parent_instant", F.lit(None).cast("timestamp_ntz")
+
+    def children(parents: DataFrame, apart: DataFrame) -> DataFrame:
+        announced = parents.filter(F.col("num_subtasks") > 0).select(
+            "project_gid", "project_name", F.col("gid").alias("parent_gid"), instant
         )
-    parents = tasks.filter(F.col("num_subtasks") > 0).select(
-        "project_gid", "project_name", F.col("gid").alias("parent_gid"), instant
-    )
-    children = normalize.child_items(parents, subtasks, also=("parent_instant",))
+        return normalize.child_items(announced, apart, also=("parent_instant",))
+
     own = normalize.own_items(tasks).withColumn("parent_instant", F.lit(None).cast("timestamp_ntz"))
-    return own.unionByName(children)
+    known = subtasks if old_subtasks is None else subtasks.unionByName(old_subtasks)
+    items = own.unionByName(children(tasks, known))
+    return items if old_tasks is None else items.unionByName(children(old_tasks, subtasks))
 
 
 def _newest_pairs(rows: DataFrame) -> DataFrame:
@@ -89,32 +98,52 @@ def task_upsert_stream(
     The checkpoint takes the place of a modification watermark; it defaults to a folder
     of the table's own below the one the cluster names for checkpoints. A micro-batch that is
     replayed after a failure merges the same rows again, which changes nothing; stored rows of
-    a later modification stay. Figures of every micro-batch are observed as ``OBSERVED``, see
+    a later modification stay. With ``subtasks``, what each micro-batch brought is kept below the
+    checkpoint, packed by columns, for those it will meet later: nothing is held in memory
+    between micro-batches. Figures of every micro-batch are told to ``WATCHERS``, see
     ``streaming.metrics``.
     """
-    good, bad = _sorted_out(tasks, "tasks", ("project_gid", "gid"))
-    apart = None
+    landing = _marked(tasks, "tasks", ("project_gid", "gid"))
     if subtasks is not None:
-        apart, more = _sorted_out(subtasks, "subtasks", ("parent_gid", "gid"))
-        bad = bad.unionByName(more)
-    rows = normalize.task_rows(streamed_items(good, apart), "parent_instant", "completed")
-    both = rows.unionByName(bad, allowMissingColumns=True)
-    is_row = F.col("source").isNull()
+        apart = _marked(subtasks, "subtasks", ("parent_gid", "gid"))
+        landing = landing.unionByName(apart, allowMissingColumns=True)
     is_done = F.coalesce(normalize.is_completed_row(include_incomplete_subtasks), F.lit(False))
-    observed = both.observe(
-        OBSERVED,
-        *metrics.figures(["task_id"], is_row & is_done),
-        F.count_if(~is_row).alias("refused"),
-    )
+    own = hashlib.sha256(table.path.encode()).hexdigest()[:16]
+    folder = checkpoint or checkpoint_folder(table.spark, f"task-upsert-{own}")
+    kept = f"{folder.rstrip('/')}/arrived"
 
     def merge(landed: DataFrame, batch_id: int) -> None:
         spark = landed.sparkSession
-        folder = folders.new_below(f"{table.path}/_staging")
+        place = f"{kept}/batch={batch_id}"
         try:
-            # Written once: state and figures belong to one pass over the micro-batch.
-            landed.write.parquet(folder)
-            parsed = spark.read.schema(landed.schema).parquet(folder)
-            arrived = parsed.filter(is_row).drop("source", MALFORMED, "refused_for")
+            # Parsed once; a replay writes the same rows again.
+            landed.write.mode("overwrite").option("compression", "zstd").parquet(place)
+            parsed = _arrived(spark, kept, landed.schema, [batch_id])
+            usable = F.col("refused_for").isNull()
+            refused = parsed.filter(~usable)
+
+            def of(rows: DataFrame | None, source: str, like: DataFrame) -> DataFrame | None:
+                if rows is None:
+                    return None
+                names = [c for c in like.columns if c != MALFORMED]
+                return rows.filter(usable & (F.col("source") == source)).select(*names)
+
+            if subtasks is None:
+                items = normalize.task_items(of(parsed, "tasks", tasks))
+                items = items.withColumn("parent_instant", F.lit(None).cast("timestamp_ntz"))
+            else:
+                numbers = [int(n[6:]) for n in folders.names_in(spark, kept) if n.startswith("batch=")]
+                before = _arrived(spark, kept, landed.schema, [n for n in numbers if n < batch_id])
+                # Spark leaves out the join with what is known to be empty.
+                fresh = [of(parsed, "tasks", tasks), of(parsed, "subtasks", subtasks)]
+                items = streamed_items(
+                    *[rows.limit(0) if rows.isEmpty() else rows for rows in fresh],
+                    of(before, "tasks", tasks),
+                    of(before, "subtasks", subtasks),
+                )
+            rows = normalize.task_rows(items, "parent_instant", "completed")
+            seen = Observation(OBSERVED)
+            arrived = rows.observe(seen, *metrics.figures(["task_id"], is_done))
             if listing is not None:
                 known = projects.active_projects(scans.latest_payloads(listing(), "gid"))
                 chosen = projects.named_like(known, project_filter)
@@ -129,17 +158,20 @@ def task_upsert_stream(
                 stamp=now,
             )
             if quarantine is not None:
-                refused = parsed.filter(~is_row)
                 for source in ("tasks", "subtasks"):
                     lines = refused.filter(F.col("source") == source).select(MALFORMED, "refused_for")
                     set_aside(refused_lines(lines, source, now), quarantine)
+            if WATCHERS:
+                figures = schema.figures_of(seen, tasks_processed=0, errors=0)
+                query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+                for watcher in WATCHERS:
+                    watcher[query, batch_id] = {**figures, "refused": refused.count()}
         finally:
-            folders.delete(spark, folder)
+            if subtasks is None:
+                folders.delete(spark, place)
 
-    own = hashlib.sha256(table.path.encode()).hexdigest()[:16]
-    folder = checkpoint or checkpoint_folder(table.spark, f"task-upsert-{own}")
     return (
-        observed.writeStream.foreachBatch(merge)
+        landing.writeStream.foreachBatch(merge)
         .option("checkpointLocation", folder)
         .trigger(availableNow=True)
     )

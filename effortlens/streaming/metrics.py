@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from effortlens.sources import folders
-from effortlens.streaming.incremental import OBSERVED
+from effortlens.streaming.incremental import WATCHERS
 
 _ROW = (
     "query_id string, run_id string, batch_id long, started_at string, duration_ms long, "
@@ -27,6 +27,7 @@ class BatchMetrics(StreamingQueryListener):
         self.spark, self.path = spark, path
         self.ended: set[str] = set()  # runs whose last event has been seen
         self.failed: list[Exception] = []
+        self.figures: dict[tuple[str, int], dict[str, int]] = {}
         self._seen = threading.Condition()
 
     def onQueryStarted(self, event):
@@ -37,7 +38,7 @@ class BatchMetrics(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         progress = event.progress
-        figures = progress.observedMetrics.get(OBSERVED)
+        figures = self.figures.pop((str(progress.id), progress.batchId), None)
         if figures is None or not progress.numInputRows:
             return
         row = (
@@ -78,9 +79,11 @@ def stored_metrics(spark: SparkSession, path: str) -> Iterator[BatchMetrics]:
     """Store the figures of task streams that are started and end inside the context."""
     listener = BatchMetrics(spark, path)
     spark.streams.addListener(listener)
+    WATCHERS.append(listener.figures)
     try:
         yield listener
     finally:
+        WATCHERS[:] = [w for w in WATCHERS if w is not listener.figures]
         spark.streams.removeListener(listener)
 
 

@@ -340,3 +340,20 @@ def test_every_micro_batch_has_a_row_of_figures_restarts_included(spark, tmp_pat
     assert [(r.batch_id, r.tasks_processed, r.errors, r.refused) for r in rows] == [(0, 1, 0, 1), (1, 1, 0, 1)]
     assert len({r.query_id for r in rows}) == 1 and len({r.run_id for r in rows}) == 2
     assert ids(table) == ["C", "a"]
+
+
+def test_the_stream_keeps_no_rows_in_its_state(spark, tmp_path):
+    """Both sides of the late join stand packed below the checkpoint, none in a state store."""
+    lands = Landings(tmp_path / "landing", False)
+    lands.write("tasks", 1, [parent("P", day(1))])
+    lands.write("subtasks", 1, [child("C", "P", day(1), day(1)), child("D", "Q", day(1), day(1))])
+    table = StoredTable(spark, str(tmp_path / "streamed"), COMPLETED_TASKS)
+    house = Warehouse(str(tmp_path / "house"))
+    streamed(spark, lands.landing, table, tmp_path, house)
+    assert ids(table) == ["C"]
+    lands.write("tasks", 2, [parent("Q", day(2))])
+    lands.write("subtasks", 2, [child("E", "P", day(2), day(2))])
+    streamed(spark, lands.landing, table, tmp_path, house)
+    assert ids(table) == ["C", "D", "E"]
+    assert not (tmp_path / "checkpoint/state").exists()
+    assert sorted(f.name for f in (tmp_path / "checkpoint/arrived").iterdir()) == ["batch=0", "batch=1"]
