@@ -82,7 +82,7 @@ def accepted(
         day.cast("string").alias("day"),
     )
     try:
-        marked.write.parquet(folder)
+        marked.write.option("compression", "zstd").parquet(folder)
         parsed = spark.read.schema(marked.schema).parquet(folder)
         seen = schema.figures_of(counts, malformed=0, keyless=0, day=None)
         if seen["malformed"] + seen["keyless"]:
