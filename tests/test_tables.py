@@ -319,3 +319,32 @@ def test_small_files_are_read_as_written(spark, tmp_path):
     for text in ("", json.dumps({"k": "é"})):
         folders.write_text(spark, file, text)
         assert folders.read_text(spark, file) == text
+
+
+def test_a_large_batch_leaves_unnamed_rows_out_of_its_join(spark, table, completed_rows):
+    """Only stored rows whose key the batch names are combined; the result is as with all."""
+    one = completed_rows({"task_id": "x", "completed_at": JAN, "project_gid": "p"}).drop("task_id")
+
+    def tasks(first, last):
+        ids = spark.range(first, last).select(F.sha2(F.col("id").cast("string"), 256).alias("task_id"))
+        return schema.conform(ids.crossJoin(one), schema.COMPLETED_TASKS)
+
+    stored = tasks(0, 4000)
+    batch = tasks(3990, 8000).withColumns({"project_gid": F.lit(None).cast("string"), "task_name": F.lit("new")})
+    merge(table, stored)
+    met = []
+
+    def combine(target, new, small):
+        met.append(target.count())
+        return upsert.merge_tasks(target, new, small)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        assert table.merge(batch, combine).rows == 4010
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(met) == 10
+    names = stored.columns
+    expected = upsert.merge_tasks(stored, batch).select(names).collect()
+    assert sorted(map(tuple, table.read().select(names).collect()), key=str) == sorted(map(tuple, expected), key=str)
+    assert table.read().filter("task_name = 'new' and project_gid = 'p'").count() == 10
