@@ -114,8 +114,11 @@ def item_grams(items: DataFrame, item_id: str = "item_id", text: str = "text") -
             found += long
         return pa.array(found, _ARROW_GRAMS)
 
-    named = items.select(F.col(item_id).alias("item_id"), grams(F.col(text)).alias("grams"))
-    return named.filter("item_id is not null").select("item_id", F.inline("grams"))
+    named = items.select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
+    # Marked so, the function is not evaluated again for the filter that Spark infers of inline.
+    once = grams.asNondeterministic()
+    found = named.filter("item_id is not null").select("item_id", once("text").alias("grams"))
+    return found.select("item_id", F.inline("grams"))
 
 
 def bit_map(grams: DataFrame) -> np.ndarray:

@@ -52,16 +52,15 @@ N_FEATURES = 14
 def features(texts: pa.Array) -> np.ndarray:
     """A row of shape features for each text; all zero where it has no word."""
     parts = [np.zeros((0, N_FEATURES))]
-    data, offsets = text_bytes(texts)
     for at, to, w in slices(texts):
-        cut = offsets[at : to + 1]
-        raw, cut = data[cut[0] : cut[-1]], cut - cut[0]
+        raw, cut = text_bytes(texts.slice(at, to - at))
         n, size = to - at, np.maximum(np.diff(cut), 1)
         kind = _KIND[raw]
-        run = np.zeros((7, len(raw) + 1), np.int64)
-        for k in range(7):
-            np.cumsum(kind == k, out=run[k, 1:])
-        share = (run[:, cut[1:]] - run[:, cut[:-1]]) / size
+        share = np.empty((6, n))
+        run = np.zeros(len(raw) + 1, np.int64)  # of one kind at a time: 8 bytes a byte of text
+        for k in range(6):
+            np.cumsum(kind == k, out=run[1:])
+            share[k] = (run[cut[1:]] - run[cut[:-1]]) / size
         count = np.maximum(w.counts, 1)
         text = w.text
         length = (w.end - w.start).astype(float)
@@ -81,7 +80,7 @@ def features(texts: pa.Array) -> np.ndarray:
         gap_text = text[1:][text[1:] == text[:-1]]
         wide = np.bincount(gap_text, gap >= 3, n) / count
         x = np.column_stack(
-            [share[:6].T, np.log1p(mean), np.log(count), distinct / count, most / count]
+            [share.T, np.log1p(mean), np.log(count), distinct / count, most / count]
             + [again, short, long, wide]
         )
         x[w.counts == 0] = 0
@@ -165,13 +164,17 @@ def fit_documents(
 
 
 def evidence_column(model: DocumentModel, text: Column) -> Column:
-    """The document's own log-odds of being good."""
+    """The document's own log-odds of being good.
+
+    Marked as nondeterministic, though it is not: else Spark evaluates it once more for each
+    filter that it infers (of a join: that it is not null), in Python workers of their own.
+    """
 
     @F.arrow_udf("double")
     def evidence(texts: pa.Array) -> pa.Array:
         return pa.array(model.evidence(texts))
 
-    return evidence(text)
+    return evidence.asNondeterministic()(text)
 
 
 def _odds(p: Column) -> Column:
