@@ -19,6 +19,8 @@ from effortlens.functions.timeutil import ntz_literal, parse_day, parse_instant
 SUBTASK_PREFIX = "[Subtask] "  # fixed value
 
 _BODY = [field.name for field in schema.SUBTASK]
+# Of payloads that ``facts`` has read.
+_READ = ["assignee_name", "assignee_gid", "estimated_minutes", "actual_minutes"]
 
 
 def task_items(tasks: DataFrame, subtasks: DataFrame | None = None) -> DataFrame:
@@ -56,12 +58,16 @@ def _items_from_two_inputs(tasks: DataFrame, subtasks: DataFrame) -> DataFrame:
     return own_items(tasks).unionByName(child_items(announcing(tasks), subtasks))
 
 
+def _body(payloads: DataFrame) -> list[str]:
+    return [c for c in (*_BODY, *_READ) if c in payloads.columns]
+
+
 def own_items(tasks: DataFrame) -> DataFrame:
     """One row per task, without its subtasks."""
     return tasks.select(
         "project_gid",
         "project_name",
-        *_BODY,
+        *_body(tasks),
         F.lit(False).alias("is_subtask"),
         F.lit(None).cast("string").alias("parent_task_id"),
     )
@@ -80,7 +86,7 @@ def child_items(
     return subtasks.join(parents, "parent_gid").select(
         "project_gid",
         "project_name",
-        *_BODY,
+        *_body(subtasks),
         F.lit(True).alias("is_subtask"),
         F.col("parent_gid").alias("parent_task_id"),
         *also,
@@ -131,27 +137,55 @@ def completed_task_rows(
     items: DataFrame, include_incomplete_subtasks: bool = False
 ) -> DataFrame:
     """Completed tasks in the shape of the completed-task table, not yet stamped."""
-    return task_rows(items.filter(is_completed_row(include_incomplete_subtasks)))
+    return task_rows(completed_task_facts(items, include_incomplete_subtasks))
 
 
-def task_rows(items: DataFrame, *also: str) -> DataFrame:
-    """Items of any state in that shape; columns named in ``also`` are taken along."""
-    rows = with_effort(items)
-    return rows.select(
-        F.col("gid").alias("task_id"),
-        _display_name().alias("task_name"),
-        F.col("project_gid").alias("project_id"),
-        "project_gid",
-        "project_name",
+def completed_task_facts(
+    items: DataFrame, include_incomplete_subtasks: bool = False
+) -> DataFrame:
+    """What ``task_rows`` makes rows of completed tasks from."""
+    return task_facts(items.filter(is_completed_row(include_incomplete_subtasks)))
+
+
+def facts(payloads: DataFrame) -> DataFrame:
+    """Payloads or items with what is read out of their fields instead of these.
+
+    That is less to carry through joins and shuffles than texts and nested fields.
+    """
+    rest = [c for c in payloads.columns if c not in _BODY]
+    return with_effort(payloads).select(
+        *rest,
+        "gid",
+        "name",
+        "completed",
         F.col("assignee.name").alias("assignee_name"),
         F.col("assignee.gid").alias("assignee_gid"),
         parse_instant(F.col("completed_at")).alias("completed_at"),
         parse_instant(F.col("created_at")).alias("created_at"),
         parse_day(F.col("due_on")).alias("due_on"),
         parse_instant(F.col("modified_at")).alias("modified_at"),
-        F.col("estimated_minutes").alias("estimated_time"),
-        (F.col("actual_minutes") / 60.0).alias("actual_time"),
-        F.col("actual_minutes").alias("actual_time_raw"),
+        "estimated_minutes",
+        "actual_minutes",
+    )
+
+
+def task_facts(items: DataFrame, *also: str) -> DataFrame:
+    """Items, or facts of items, of any state: all that their rows can be made from.
+
+    Columns named in ``also`` are taken along.
+    """
+    read = items if "estimated_minutes" in items.columns else facts(items)
+    return read.select(
+        F.col("gid").alias("task_id"),
+        _display_name().alias("task_name"),
+        "project_gid",
+        "project_name",
+        "assignee_name",
+        "assignee_gid",
+        "completed_at",
+        "created_at",
+        "due_on",
+        "modified_at",
         "estimated_minutes",
         "actual_minutes",
         "is_subtask",
@@ -160,6 +194,21 @@ def task_rows(items: DataFrame, *also: str) -> DataFrame:
     )
 
 
+def task_rows(made_from: DataFrame) -> DataFrame:
+    """Rows in the shape of the completed-task table, with the columns that repeat others.
+
+    To be called on ``task_facts`` when these have been shuffled, since it only adds to them.
+    """
+    added = {
+        "project_id": F.col("project_gid"),
+        "estimated_time": F.col("estimated_minutes"),
+        "actual_time": F.col("actual_minutes") / 60.0,
+        "actual_time_raw": F.col("actual_minutes"),
+    }
+    names = [f.name for f in schema.COMPLETED_TASKS if f.name in {*made_from.columns, *added}]
+    return made_from.withColumns(added).select(*names)
+
+
 def open_task_rows(items: DataFrame) -> DataFrame:
     """Incomplete tasks and subtasks as flat rows, before the snapshot stamps."""
     rows = with_effort(items.filter(F.col("completed").isNull() | ~F.col("completed")))

@@ -60,42 +60,53 @@ def completed_since(tasks: DataFrame, cutoff: datetime, by: str = "completed") -
     return tasks.filter(is_open | recent)
 
 
-def version_of(payloads: DataFrame, *keys: str) -> Column:
-    """What tells an older version of a payload from a newer one; the greater is the newer.
-
-    First the modification instant, of the payload or of a subtask inside it; versions of one
-    instant are told apart by their other plain fields.
-    """
+def _instant_of(payloads: DataFrame) -> Column:
+    """When a payload was modified last, itself or a subtask inside it."""
     instant = parse_instant(F.col("modified_at"))
     if "subtasks" in payloads.columns:
         inner = F.transform("subtasks", lambda s: parse_instant(s["modified_at"]))
         instant = F.greatest(instant, F.array_max(inner))
+    return instant
+
+
+def _ties(payloads: DataFrame, keys: tuple[str, ...]) -> list[str]:
+    """Plain fields, which tell versions of one instant apart."""
     plain = [f.name for f in payloads.schema if f.dataType.typeName() in ("string", "boolean")]
-    ties = [F.col(c).cast("string").alias(c) for c in plain if c not in keys]
-    return F.struct(instant.alias("instant"), *ties)
+    return [c for c in plain if c not in keys]
+
+
+def _newest(versions: DataFrame, keys: tuple[str, ...], order: list[Column]) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return versions.withColumn("version_rank", rank).filter("version_rank = 1").drop("version_rank")
 
 
 def latest_payloads(payloads: DataFrame, *keys: str) -> DataFrame:
     """The newest landed version of each key.
 
     Landing folders keep every version; what is open or active *now* is known from the
-    newest one only. Each map task keeps one row per key before anything is shuffled.
+    newest one only. Each map task keeps one row per key before anything is shuffled, and a row
+    holds nothing twice: versions are put in order by its own fields.
     """
-    order = version_of(payloads, *keys).desc()
-    newest = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    return payloads.withColumn("version_rank", newest).filter("version_rank = 1").drop("version_rank")
+    order = [_instant_of(payloads).desc(), *[F.col(c).desc() for c in _ties(payloads, keys)]]
+    return _newest(payloads, keys, order)
 
 
-def newer_than(payloads: DataFrame, known: DataFrame, *keys: str) -> DataFrame:
-    """Of payloads, one per key, those that ``known`` lacks or holds in an older version.
+def newer_payloads(payloads: DataFrame, known: DataFrame, *keys: str, few: bool = False) -> DataFrame:
+    """The newest landed version of each key that ``known`` lacks or holds in an older version.
 
-    Of ``known`` only the keys and versions are read, and only those that meet a payload go on.
+    Landed and known versions are put in order together, so that either is shuffled once; of
+    ``known`` only keys and versions are read. With ``few`` payloads (their keys may be sent to all
+    tasks) known versions that meet none of them are not shuffled at all.
     """
-    held = known.select(*keys, version_of(known, *keys).alias("held"))
-    met = held.join(payloads.select(*keys), list(keys), "left_semi")
-    compared = payloads.withColumn("offered", version_of(payloads, *keys)).join(met, list(keys), "left")
-    newer = F.col("held").isNull() | (F.col("offered") > F.col("held"))
-    return compared.filter(newer).select(*payloads.columns)
+    ties = _ties(payloads, keys)
+    held = known.select(*keys, *ties, _instant_of(known).alias("instant"), F.lit(True).alias("held"))
+    if few:
+        held = held.join(payloads.select(*keys), list(keys), "left_semi")
+    offered = payloads.withColumns({"instant": _instant_of(payloads), "held": F.lit(False)})
+    versions = offered.unionByName(held, allowMissingColumns=True)
+    # Of equal versions the one that is held stays.
+    order = [F.col(c).desc() for c in ("instant", *ties, "held")]
+    return _newest(versions, keys, order).filter(~F.col("held")).select(*payloads.columns)
 
 
 def still_open(tasks: DataFrame) -> DataFrame:

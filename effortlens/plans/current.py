@@ -47,8 +47,8 @@ def _fold(
     since = date.fromisoformat(folded) - timedelta(days=1) if folded else None
     keys = table.layout.key
     with accepted(read(since), source, keys, house.quarantine(spark), run_ts) as landed:
-        newest = scans.latest_payloads(landed.rows.drop("landed_on"), *keys)
-        newer = scans.newer_than(newest, table.read(), *keys)
+        rows = landed.rows.drop("landed_on")
+        newer = scans.newer_payloads(rows, table.read(), *keys, few=landed.few)
         table.merge(
             newer.withColumn("seen_at", ntz_literal(run_ts)),
             lambda stored, new, small: replace_rows(stored, new, *keys),

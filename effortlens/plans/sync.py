@@ -92,11 +92,12 @@ def sync_completed(
             marked = recent.join(moved.withColumn("moved", F.lit(True)), "project_gid", "left")
             fresh = new | F.coalesce("moved", F.lit(False))
             items = normalize.fresh_items(marked, now.subtasks, fresh, new)
-        rows = normalize.completed_task_rows(items, options.include_incomplete_subtasks)
+        made_from = normalize.completed_task_facts(items, options.include_incomplete_subtasks)
         seen = Observation("sync")
-        batch = metrics.observed(upsert.stage_batch(rows, run_ts), seen)
+        batch = metrics.observed(made_from.withColumn("inserted_at", ntz_literal(run_ts)), seen)
+        newest = upsert.latest_in_batch(batch)
         merged = table.merge(
-            upsert.latest_in_batch(batch),
+            upsert.stage_batch(normalize.task_rows(newest), run_ts),
             upsert.merge_tasks,
             finish=upsert.backfill_minutes,
             stamp=run_ts,

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from effortlens import schema
 from effortlens.functions.timeutil import ntz_literal
 from effortlens.operators.upsert import absent_rows
+from effortlens.session import freed_shuffles
 from effortlens.sources import folders
 from effortlens.sources.landing import MALFORMED
-from effortlens.sources.tables import StoredTable
+from effortlens.sources.tables import StoredTable, may_be_sent
 
 UNREADABLE = "not readable"
 NO_KEY = "no key"
@@ -29,6 +30,7 @@ class Accepted:
     malformed: int = 0
     keyless: int = 0
     last_day: str | None = None  # latest landing day among the rows
+    few: bool = False  # whether Spark may broadcast them
 
 
 def refusal(keys: tuple[str, ...]) -> Column:
@@ -82,13 +84,15 @@ def accepted(
         day.cast("string").alias("day"),
     )
     try:
-        marked.write.option("compression", "zstd").parquet(folder)
+        with freed_shuffles(spark):
+            marked.write.option("compression", "zstd").parquet(folder)
         parsed = spark.read.schema(marked.schema).parquet(folder)
         seen = schema.figures_of(counts, malformed=0, keyless=0, day=None)
         if seen["malformed"] + seen["keyless"]:
             refused = parsed.filter(F.col("refused_for").isNotNull())
             set_aside(refused_lines(refused, source, noticed_at), table)
         good = parsed.filter(F.col("refused_for").isNull()).drop(MALFORMED, "refused_for")
-        yield Accepted(good, seen["malformed"], seen["keyless"], seen["day"])
+        few = may_be_sent(spark, folder)
+        yield Accepted(good, seen["malformed"], seen["keyless"], seen["day"], few)
     finally:
         folders.delete(spark, folder)

@@ -141,7 +141,7 @@ def task_upsert_stream(
                     of(before, "tasks", tasks),
                     of(before, "subtasks", subtasks),
                 )
-            rows = normalize.task_rows(items, "parent_instant", "completed")
+            rows = normalize.task_facts(items, "parent_instant", "completed")
             seen = Observation(OBSERVED)
             arrived = rows.observe(seen, *metrics.figures(["task_id"], is_done))
             if listing is not None:
@@ -150,7 +150,8 @@ def task_upsert_stream(
                 arrived = projects.of_projects(arrived, chosen)
             now = clock()
             # What is newest is told before what is completed, as in the batch sync.
-            staged = upsert.stage_batch(_newest_pairs(arrived).filter(is_done), now)
+            done = normalize.task_rows(_newest_pairs(arrived).filter(is_done))
+            staged = upsert.stage_batch(done, now)
             table.merge(
                 upsert.latest_in_batch(staged),
                 lambda stored, new, small: upsert.merge_tasks(stored, new, small, keep_newer=True),
