@@ -199,14 +199,26 @@ def task_rows(made_from: DataFrame) -> DataFrame:
 
     To be called on ``task_facts`` when these have been shuffled, since it only adds to them.
     """
-    added = {
-        "project_id": F.col("project_gid"),
-        "estimated_time": F.col("estimated_minutes"),
-        "actual_time": F.col("actual_minutes") / 60.0,
-        "actual_time_raw": F.col("actual_minutes"),
-    }
-    names = [f.name for f in schema.COMPLETED_TASKS if f.name in {*made_from.columns, *added}]
-    return made_from.withColumns(added).select(*names)
+    return made_from.select(
+        "task_id",
+        "task_name",
+        F.col("project_gid").alias("project_id"),
+        "project_gid",
+        "project_name",
+        "assignee_name",
+        "assignee_gid",
+        "completed_at",
+        "created_at",
+        "due_on",
+        "modified_at",
+        F.col("estimated_minutes").alias("estimated_time"),
+        (F.col("actual_minutes") / 60.0).alias("actual_time"),
+        F.col("actual_minutes").alias("actual_time_raw"),
+        "estimated_minutes",
+        "actual_minutes",
+        "is_subtask",
+        "parent_task_id",
+    )
 
 
 def open_task_rows(items: DataFrame) -> DataFrame:

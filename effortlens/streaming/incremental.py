@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from effortlens import schema
-from effortlens.functions.timeutil import parse_instant
+from effortlens.functions.timeutil import ntz_literal
 from effortlens.operators import metrics, normalize, projects, scans, upsert
-from effortlens.session import checkpoint_folder
+from effortlens.session import checkpoint_folder, freed_shuffles
 from effortlens.sources import folders
 from effortlens.sources.landing import MALFORMED
 from effortlens.sources.quarantine import refusal, refused_lines, set_aside
@@ -52,11 +52,12 @@ def streamed_items(
 ) -> DataFrame:
     """Items of the tasks that arrive, and of every parent and subtask that now meet.
 
+    Tasks and subtasks are facts of payloads, so that joins carry nothing else.
     A parent that arrives meets all subtasks so far, a subtask that arrives all parents before
     it, so each pair of versions comes once, however far apart they land. ``parent_instant``
     tells versions of a parent apart.
     """
-    instant = parse_instant(F.col("modified_at")).alias("parent_instant")
+    instant = F.col("modified_at").alias("parent_instant")
 
     def children(parents: DataFrame, apart: DataFrame) -> DataFrame:
         announced = parents.filter(F.col("num_subtasks") > 0).select(
@@ -70,6 +71,19 @@ def streamed_items(
     return items if old_tasks is None else items.unionByName(children(old_tasks, subtasks))
 
 
+def bare_facts(payloads: DataFrame, is_subtask: bool, include_incomplete_subtasks: bool) -> DataFrame:
+    """Facts of payloads; of those that no table will hold only what versions are told by.
+
+    They count, since the newest version of a task may be one that is open again.
+    """
+    read = normalize.facts(payloads).withColumn("is_subtask", F.lit(is_subtask))
+    is_done = F.coalesce(normalize.is_completed_row(include_incomplete_subtasks), F.lit(False))
+    told_by = ("gid", "parent_gid", "project_gid", "project_name", "num_subtasks",
+               "completed", "completed_at", "modified_at")
+    names = [c for c in read.columns if c != "is_subtask"]
+    return read.select(*[c if c in told_by else F.when(is_done, F.col(c)).alias(c) for c in names])
+
+
 def _newest_pairs(rows: DataFrame) -> DataFrame:
     """Of each task and project the newest version, with the newest version of its parent."""
     order = [F.col("modified_at").desc_nulls_last(), F.col("parent_instant").desc_nulls_last()]
@@ -117,7 +131,8 @@ def task_upsert_stream(
         place = f"{kept}/batch={batch_id}"
         try:
             # Parsed once; a replay writes the same rows again.
-            landed.write.mode("overwrite").option("compression", "zstd").parquet(place)
+            with freed_shuffles(spark):
+                landed.write.mode("overwrite").option("compression", "zstd").parquet(place)
             parsed = _arrived(spark, kept, landed.schema, [batch_id])
             usable = F.col("refused_for").isNull()
             refused = parsed.filter(~usable)
@@ -128,6 +143,12 @@ def task_upsert_stream(
                 names = [c for c in like.columns if c != MALFORMED]
                 return rows.filter(usable & (F.col("source") == source)).select(*names)
 
+            def bare(rows: DataFrame | None, source: str, like: DataFrame) -> DataFrame | None:
+                found = of(rows, source, like)
+                if found is None:
+                    return None
+                return bare_facts(found, source == "subtasks", include_incomplete_subtasks)
+
             if subtasks is None:
                 items = normalize.task_items(of(parsed, "tasks", tasks))
                 items = items.withColumn("parent_instant", F.lit(None).cast("timestamp_ntz"))
@@ -135,25 +156,25 @@ def task_upsert_stream(
                 numbers = [int(n[6:]) for n in folders.names_in(spark, kept) if n.startswith("batch=")]
                 before = _arrived(spark, kept, landed.schema, [n for n in numbers if n < batch_id])
                 # Spark leaves out the join with what is known to be empty.
-                fresh = [of(parsed, "tasks", tasks), of(parsed, "subtasks", subtasks)]
+                fresh = [bare(parsed, "tasks", tasks), bare(parsed, "subtasks", subtasks)]
                 items = streamed_items(
                     *[rows.limit(0) if rows.isEmpty() else rows for rows in fresh],
-                    of(before, "tasks", tasks),
-                    of(before, "subtasks", subtasks),
+                    bare(before, "tasks", tasks),
+                    bare(before, "subtasks", subtasks),
                 )
-            rows = normalize.task_facts(items, "parent_instant", "completed")
+            made_from = normalize.task_facts(items, "parent_instant", "completed")
             seen = Observation(OBSERVED)
-            arrived = rows.observe(seen, *metrics.figures(["task_id"], is_done))
+            arrived = made_from.observe(seen, *metrics.figures(["task_id"], is_done))
             if listing is not None:
                 known = projects.active_projects(scans.latest_payloads(listing(), "gid"))
                 chosen = projects.named_like(known, project_filter)
                 arrived = projects.of_projects(arrived, chosen)
             now = clock()
             # What is newest is told before what is completed, as in the batch sync.
-            done = normalize.task_rows(_newest_pairs(arrived).filter(is_done))
-            staged = upsert.stage_batch(done, now)
+            done = _newest_pairs(arrived).filter(is_done).withColumn("inserted_at", ntz_literal(now))
+            newest = upsert.latest_in_batch(done)
             table.merge(
-                upsert.latest_in_batch(staged),
+                upsert.stage_batch(normalize.task_rows(newest), now),
                 lambda stored, new, small: upsert.merge_tasks(stored, new, small, keep_newer=True),
                 finish=upsert.backfill_minutes,
                 stamp=now,

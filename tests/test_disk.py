@@ -10,6 +10,7 @@ from effortlens import schema
 from effortlens.operators import scans, upsert
 from effortlens.session import freed_shuffles
 from effortlens.sources import tables
+from effortlens.streaming.incremental import bare_facts, streamed_items
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -107,3 +108,58 @@ def test_landed_rows_are_shuffled_once_to_find_the_newer_ones(spark, tmp_path):
         frames.append(spark.read.schema(rows.schema).parquet(str(tmp_path / name)))
     newer = scans.newer_payloads(*frames, "project_gid", "gid")
     assert plan_of(newer).count("Exchange") == 1 and newer.count() == 0
+
+
+def test_a_rewrite_shuffles_only_partitions_of_many_small_files(spark, tmp_path):
+    table = tables.StoredTable(spark, str(tmp_path / "t"), tables.COMPLETED_TASKS, 2)
+    table.merge(many_tasks(spark, 1).withColumn("actual_time", F.lit(2.0)), upsert.merge_tasks)
+    assert "Exchange" not in plan_of(table._rewritten(upsert.backfill_minutes, []))
+    more = table.read(["2024-01"]).withColumn("task_id", F.concat(F.lit("x"), "task_id"))
+    for part in (0, 1):  # two more files in each place of one month
+        some = table._placed(more.filter(F.xxhash64("task_id") % 2 == part).coalesce(1))
+        some.write.mode("append").partitionBy(*table.layout.parts).parquet(table.path)
+    before = sorted(r.task_id for r in table.read().select("task_id").collect())
+    assert {n > 1 for p, (n, _) in table._files().items() if "2024-01" in p} == {True}
+    table.rewrite(upsert.backfill_minutes)
+    assert set(n for n, _ in table._files().values()) == {1}
+    assert sorted(r.task_id for r in table.read().select("task_id").collect()) == before
+    assert {r[0] for r in table.read().select("actual_minutes").distinct().collect()} == {120.0}
+    for name in table.read().inputFiles():
+        assert name.split("/")[-3].startswith("completed_month_jst=")
+
+
+def payloads(spark, kind, *rows):
+    made = [tuple(r.get(f.name) for f in kind) for r in rows]
+    return spark.createDataFrame(made, kind)
+
+
+def test_open_versions_carry_no_more_than_what_tells_them(spark):
+    body = {"parent_gid": "P", "name": "n", "created_at": "2024-01-01T00:00:00Z", "due_on": "2024-01-09",
+            "assignee": ("u", "Ann"), "actual_time_minutes": 5.0, "modified_at": "2024-01-02T00:00:00Z"}
+    rows = payloads(
+        spark,
+        schema.DETACHED_SUBTASK,
+        {**body, "gid": "done", "completed": True, "completed_at": "2024-01-02T00:00:00Z"},
+        {**body, "gid": "open", "completed": False},
+        {**body, "gid": "undated", "completed": True, "completed_at": "soon"},
+        {**body, "gid": "unknown"},
+    )
+    told = {"parent_gid", "gid", "completed", "completed_at", "modified_at"}
+    for include, full in ((False, {"done"}), (True, {"done", "open", "undated", "unknown"})):
+        got = {r.gid: r.asDict() for r in bare_facts(rows, True, include).collect()}
+        assert set(got) == {"done", "open", "undated", "unknown"}
+        for gid, row in got.items():
+            assert row["modified_at"] == datetime(2024, 1, 2) and row["parent_gid"] == "P"
+            rest = [row[c] for c in row if c not in told]
+            assert all(v is None for v in rest) == (gid not in full)
+        assert got["done"]["actual_minutes"] == 5.0 and got["done"]["assignee_name"] == "Ann"
+    parents = payloads(
+        spark, schema.TASK,
+        {"project_gid": "p", "project_name": "Site", "gid": "P", "completed": False, "num_subtasks": 1,
+         "modified_at": "2024-01-03T00:00:00Z"},
+    )
+    items = streamed_items(bare_facts(parents, False, False), bare_facts(rows, True, False), None, None)
+    found = {r.gid: r for r in items.collect()}
+    # A parent that is open still names its project to its subtasks.
+    assert found["done"].project_name == "Site" and found["done"].parent_task_id == "P"
+    assert len(found) == 5 and found["P"].is_subtask is False
